@@ -12,7 +12,11 @@ from cohortlens.operators import blocks, clean, distribution, model, rates, shap
 from cohortlens.plans import answers
 from cohortlens.plans.cleaning import clean_survey
 from cohortlens.plans.coded_lineitem import ROW_KEY, coded_lineitem
-from cohortlens.plans.modelling import train_test_report
+from cohortlens.plans.modelling import (
+    counted_combinations,
+    test_predictions,
+    train_test_report,
+)
 from cohortlens.sources import with_file_year
 from cohortlens.spec import CARDIO
 
@@ -85,8 +89,7 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combination_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = model.mark_split(model_rows(spark, sf_dir), ROW_KEY)
-    return model.collapse(marked, [model.TRAIN, model.LABEL, *CARDIO.features])
+    return counted_combinations(cleaned(spark, sf_dir), CARDIO, ROW_KEY)
 
 
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +101,7 @@ def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = model.hash_split(model_rows(spark, sf_dir), ROW_KEY)
-    counted = model.collapse(train, [model.LABEL, *CARDIO.features])
-    fitted = model.fit_logistic(counted, CARDIO.features, weight=model.WEIGHT)
-    return model.predictions(model.score(fitted, test), ROW_KEY)
+    return test_predictions(cleaned(spark, sf_dir), CARDIO, ROW_KEY)
 
 
 def orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.functions import fast_row_hash
 from cohortlens.operators.rates import rate_grain
 from cohortlens.plans import answers
 from cohortlens.plans.modelling import train_test_report
 from cohortlens.sinks import save_result
-from cohortlens.sources import ROW_KEY, read_cleaned
+from cohortlens.sources import ROW_KEY, read_cleaned, staged
 from cohortlens.spec import CARDIO, SurveySpec
 
 # Names of the result tables.
@@ -58,22 +59,21 @@ def analyze(
         save_result(result, output_dir, name)
         written.append(name)
 
-    grain = rate_grain(cleaned, [spec.age, spec.flags[0], spec.score, spec.year], spec.target)
-    grain = grain.persist()
-    try:
-        rate = answers.rate_from(grain)
-        save(AGE, answers.by_age(rate, spec))
-        save(AGE_LABELLED, answers.by_age_labelled(rate, spec, language))
-        save(PRESSURE, answers.by_pressure(rate, spec, language))
-        save(SCORE, answers.by_score(rate, spec))
-        save(YEAR, answers.by_year(rate, spec))
-        save(AGE_SCORE, answers.by_age_and_score(rate, spec))
-        save(MATRIX, answers.age_score_matrix(rate, spec, language))
-    finally:
-        grain.unpersist()
-    save(SAMPLE, answers.scaled_sample(cleaned, spec, key, sample_size, language))
+    keys = [spec.age, spec.flags[0], spec.score, spec.year]
+    rate = answers.rate_from(staged(rate_grain(cleaned, keys, spec.target)))
+    save(AGE, answers.by_age(rate, spec))
+    save(AGE_LABELLED, answers.by_age_labelled(rate, spec, language))
+    save(PRESSURE, answers.by_pressure(rate, spec, language))
+    save(SCORE, answers.by_score(rate, spec))
+    save(YEAR, answers.by_year(rate, spec))
+    save(AGE_SCORE, answers.by_age_and_score(rate, spec))
+    save(MATRIX, answers.age_score_matrix(rate, spec, language))
+    save(
+        SAMPLE,
+        answers.scaled_sample(cleaned, spec, key, sample_size, language, fast_row_hash),
+    )
     save(BOX, answers.scaled_box(cleaned, spec, language))
-    report = train_test_report(cleaned, spec, key, language)
+    report = train_test_report(cleaned, spec, key, language, fast_row_hash)
     if report is not None:
         save(METRICS, report.metrics)
         save(COEFFICIENTS, report.coefficients)

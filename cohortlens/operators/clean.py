@@ -12,7 +12,7 @@ from cohortlens.functions import additive_score, binary_flag
 
 def keep_valid_target(df: DataFrame, col: str, codes: Sequence[int]) -> DataFrame:
     """Rows whose outcome code is one of ``codes``; NULL never is."""
-    return df.where(F.col(col).isNotNull() & F.col(col).isin(*codes))
+    return df.where(F.col(col).isin(*codes))
 
 
 def add_target(df: DataFrame, col: str, yes: int, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlens.functions import bucket_of, row_hash
+from cohortlens.functions import Hasher, bucket_of, row_hash
 
 WHISKER = 1.5
 # Hash values are cut into this many ranges when a sample has a row limit.
@@ -36,16 +36,14 @@ def box_stats(df: DataFrame, by: str, value: str, decimals: int | None = None) -
         .agg(F.count(F.lit(1)).alias("n"))
     )
     points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    quartiles = counted.groupBy(by).agg(
-        F.sum("n").alias("n_values"), F.percentile(value, points, F.col("n")).alias("q")
-    )
+    quartiles = counted.groupBy(by).agg(F.percentile(value, points, F.col("n")).alias("q"))
     reach = F.lit(WHISKER) * (F.col("q")[2] - F.col("q")[0])
     inside = F.col(value).between(F.col("q")[0] - reach, F.col("q")[2] + reach)
     return (
         counted.join(quartiles, by)
         .groupBy(by)
         .agg(
-            F.first("n_values").alias("n_values"),
+            F.sum("n").alias("n_values"),
             F.first(F.col("q")[0]).alias("q1"),
             F.first(F.col("q")[1]).alias("median"),
             F.first(F.col("q")[2]).alias("q3"),
@@ -72,6 +70,7 @@ def hash_sample(
     per_mille: int,
     limit: int | None = None,
     salt: str = "",
+    hasher: Hasher = row_hash,
 ) -> DataFrame:
     """``columns`` of about ``per_mille`` of 1000 rows, chosen by the hash of ``key``.
 
@@ -82,7 +81,7 @@ def hash_sample(
     final sort sees little more than ``limit`` rows even if one key is very
     frequent.
     """
-    hashed = df.select(row_hash(key, salt).alias("_hash"), *columns)
+    hashed = df.select(hasher(key, salt).alias("_hash"), *columns)
     sampled = hashed.where(bucket_of(F.col("_hash")) < per_mille)
     if limit is None:
         return sampled.select(*columns)

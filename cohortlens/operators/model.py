@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlens.functions import bucket_of, row_hash
+from cohortlens.functions import Hasher, bucket_of, row_hash
 from cohortlens.spec import SurveySpec
 
 LABEL = "label"
@@ -24,31 +26,48 @@ TRAIN = "is_train"
 
 
 def model_frame(df: DataFrame, spec: SurveySpec, carry: Sequence[str] = ()) -> DataFrame:
-    """Label and features as doubles, complete rows within the closed bounds only."""
-    typed = df.select(
+    """Label and features as doubles, complete rows within the closed bounds only.
+
+    Filters are on the stored columns, so they reach the scan; the bounds already
+    exclude NULL and NaN in the columns they test.
+    """
+    bounded = {spec.age, spec.scaled, spec.sex}
+    complete = [c for c in (spec.target, *spec.features) if c not in bounded]
+    kinds = dict(df.dtypes)
+    numbers = [c for c in complete if kinds[c] in ("float", "double")]
+    return df.where(
+        reduce(and_, [F.col(c).isNotNull() for c in complete])
+        & reduce(and_, [~F.isnan(c) for c in numbers], F.lit(True))
+        & F.col(spec.age).between(*spec.age_range)
+        & F.col(spec.scaled).between(*spec.scaled_range)
+        & F.col(spec.sex).isin(*spec.sex_codes)
+    ).select(
         F.col(spec.target).cast("double").alias(LABEL),
         *[F.col(f).cast("double").alias(f) for f in spec.features],
         *carry,
     )
-    return typed.na.drop("any", subset=[LABEL, *spec.features]).where(
-        F.col(spec.age).between(*spec.age_range)
-        & F.col(spec.scaled).between(*spec.scaled_range)
-        & F.col(spec.sex).isin(*spec.sex_codes)
-    )
 
 
 def mark_split(
-    df: DataFrame, key: Sequence[str], train_per_mille: int = 800, salt: str = ""
+    df: DataFrame,
+    key: Sequence[str],
+    train_per_mille: int = 800,
+    salt: str = "",
+    hasher: Hasher = row_hash,
 ) -> DataFrame:
     """Add the split flag: hash bucket of ``key`` below ``train_per_mille`` of 1000."""
-    return df.withColumn(TRAIN, bucket_of(row_hash(key, salt)) < train_per_mille)
+    return df.withColumn(TRAIN, bucket_of(hasher(key, salt)) < train_per_mille)
 
 
 def hash_split(
-    df: DataFrame, key: Sequence[str], train_per_mille: int = 800, salt: str = ""
+    df: DataFrame,
+    key: Sequence[str],
+    train_per_mille: int = 800,
+    salt: str = "",
+    hasher: Hasher = row_hash,
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; together they are all rows, whatever the partitioning."""
-    marked = mark_split(df, key, train_per_mille, salt)
+    marked = mark_split(df, key, train_per_mille, salt, hasher)
     return marked.where(TRAIN).drop(TRAIN), marked.where(~F.col(TRAIN)).drop(TRAIN)
 
 
@@ -127,7 +146,7 @@ def coefficients(
     values = [float(v) for v in regression.coefficients]
     for stage in model.stages:
         if isinstance(stage, ElementwiseProduct):
-            values = [v * s for v, s in zip(values, stage.getScalingVec(), strict=True)]
+            values = [float(v * s) for v, s in zip(values, stage.getScalingVec(), strict=True)]
     rows = [(f, labels[f], v) for f, v in zip(features, values, strict=True)]
     table = SparkSession.active().createDataFrame(
         rows, f"feature string, `{label_column}` string, coefficient double"

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions import Hasher, row_hash
 from cohortlens.operators import distribution, rates
 from cohortlens.spec import SurveySpec
 
@@ -88,10 +89,12 @@ def scaled_sample(
     key: Sequence[str],
     limit: int | None = 100_000,
     language: str = "ko",
+    hasher: Hasher = row_hash,
 ) -> DataFrame:
     """A tenth of the outcome/number pairs inside the open range, at most ``limit``."""
     inside = distribution.in_open_range(cleaned, spec.scaled, *spec.scaled_range)
-    sample = distribution.hash_sample(inside, key, [spec.target, spec.scaled], 100, limit)
+    columns = [spec.target, spec.scaled]
+    sample = distribution.hash_sample(inside, key, columns, 100, limit, hasher=hasher)
     return rates.label_codes(sample, spec.target, spec.labels[language].outcome, OUTCOME_LABEL)
 
 

@@ -6,6 +6,8 @@ on the given tables at any scale.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +17,9 @@ from cohortlens.spec import CARDIO
 ROW_KEY = ("l_orderkey", "l_linenumber")
 
 
-def _pick(value: Column, *cases: tuple[int, int], other: int) -> Column:
-    """``other`` unless ``value`` equals the first item of a case."""
-    chosen = None
-    for match, code in cases:
-        chosen = (F if chosen is None else chosen).when(value == match, F.lit(code))
-    return chosen.otherwise(F.lit(other))
+def _pick(codes: Sequence[int | None], index: Column) -> Column:
+    """The code at ``index``, from 0; NULL past the end."""
+    return F.get(F.array(*[F.lit(code) for code in codes]), index.cast("int"))
 
 
 def coded_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +27,7 @@ def coded_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, order = F.col("l_linenumber"), F.col("l_orderkey")
     supplier, part = F.col("l_suppkey"), F.col("l_partkey")
     risk = (
-        F.round(F.col("l_discount") * 100).cast("int")
+        F.rint(F.col("l_discount") * 100).cast("int")
         + F.when(line.isin(1, 6), 3).otherwise(0)
         + F.when(order % 14 >= 8, 2).otherwise(0)
     )
@@ -39,19 +38,16 @@ def coded_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(risk >= 11, F.lit(1))
         .otherwise(F.lit(2))
         .alias("CVDINFR4"),
-        _pick(line, (1, 1), (2, 2), (3, 3), (4, 4), (5, 3), (6, 1), other=7).alias("BPHIGH4"),
-        F.when(supplier % 10 <= 3, F.lit(1))
-        .when(supplier % 10 <= 7, F.lit(2))
-        .when(supplier % 10 == 8, F.lit(7))
-        .alias("TOLDHI2"),
-        _pick(part % 8, (0, 1), (1, 2), (6, 4), (7, 9), other=3).alias("DIABETE3"),
+        F.coalesce(_pick([1, 2, 3, 4, 3, 1], line - 1), F.lit(7)).alias("BPHIGH4"),
+        _pick([1, 1, 1, 1, 2, 2, 2, 2, 7, None], supplier % 10).alias("TOLDHI2"),
+        _pick([1, 2, 3, 3, 3, 3, 4, 9], part % 8).alias("DIABETE3"),
         F.when(F.col("l_quantity") <= 20, F.lit(1))
         .when(F.col("l_quantity") <= 45, F.lit(2))
         .otherwise(F.lit(9))
         .alias("SMOKE100"),
         F.when(order % 50 == 0, F.lit(9)).otherwise((order % 2 + 1).cast("int")).alias("SEX"),
         (order % 14 + 1).cast("int").alias("_AGEG5YR"),
-        F.when(F.round(F.col("l_tax") * 100) == 8, F.lit(None))
+        F.when(F.rint(F.col("l_tax") * 100) == 8, F.lit(None))
         .otherwise(F.floor(F.col("l_extendedprice") / 12).cast("int").cast("float"))
         .alias("_BMI5"),
         *ROW_KEY,

@@ -9,7 +9,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions import Hasher, row_hash
 from cohortlens.operators import model
+from cohortlens.sources.staging import staged
 from cohortlens.spec import SurveySpec
 
 
@@ -20,29 +22,44 @@ class ModelReport:
     coefficients: DataFrame
 
 
-def collapsed_frame(cleaned: DataFrame, spec: SurveySpec, key: Sequence[str]) -> DataFrame:
+def counted_combinations(
+    cleaned: DataFrame, spec: SurveySpec, key: Sequence[str], hasher: Hasher = row_hash
+) -> DataFrame:
     """Model rows counted per split, label and features: the one pass over all rows."""
-    marked = model.mark_split(model.model_frame(cleaned, spec, key), key)
+    marked = model.mark_split(model.model_frame(cleaned, spec, key), key, hasher=hasher)
     return model.collapse(marked, [model.TRAIN, model.LABEL, *spec.features])
 
 
 def train_test_report(
-    cleaned: DataFrame, spec: SurveySpec, key: Sequence[str], language: str = "ko"
+    cleaned: DataFrame,
+    spec: SurveySpec,
+    key: Sequence[str],
+    language: str = "ko",
+    hasher: Hasher = row_hash,
 ) -> ModelReport | None:
     """Fit on the train rows, evaluate on the others; None without any model rows.
 
-    The collapsed frame is kept for the iterations and released at the end.
+    The counted combinations are written once, so that the iterations and the
+    evaluation never go back to the rows.
     """
     labels = spec.labels[language]
-    combos = collapsed_frame(cleaned, spec, key).persist()
-    try:
-        input_rows = combos.agg(F.sum(model.WEIGHT)).first()[0]
-        if not input_rows:
-            return None
-        train, test = combos.where(model.TRAIN), combos.where(~F.col(model.TRAIN))
-        fitted = model.fit_logistic(train, spec.features, weight=model.WEIGHT)
-        quality = model.metrics(model.score(fitted, test), input_rows, model.WEIGHT)
-    finally:
-        combos.unpersist()
+    combinations = staged(counted_combinations(cleaned, spec, key, hasher))
+    input_rows = combinations.agg(F.sum(model.WEIGHT)).first()[0]
+    if not input_rows:
+        return None
+    train = combinations.where(model.TRAIN)
+    test = combinations.where(~F.col(model.TRAIN))
+    fitted = model.fit_logistic(train, spec.features, weight=model.WEIGHT)
+    quality = model.metrics(model.score(fitted, test), input_rows, model.WEIGHT)
     weights = model.coefficients(fitted, spec.features, labels.features, labels.feature_column)
     return ModelReport(fitted, quality, weights)
+
+
+def test_predictions(
+    cleaned: DataFrame, spec: SurveySpec, key: Sequence[str], hasher: Hasher = row_hash
+) -> DataFrame:
+    """Every test row with the class and probability the fitted model gives it."""
+    train, test = model.hash_split(model.model_frame(cleaned, spec, key), key, hasher=hasher)
+    counted = staged(model.collapse(train, [model.LABEL, *spec.features]))
+    fitted = model.fit_logistic(counted, spec.features, weight=model.WEIGHT)
+    return model.predictions(model.score(fitted, test), key)
