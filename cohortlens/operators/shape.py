@@ -14,14 +14,18 @@ from cohortlens.spec import SurveySpec
 
 def keep_available(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The wanted columns that exist, in the wanted order."""
-    return df.select(*[c for c in columns if c in df.columns])
+    available = set(df.columns)
+    return df.select(*[c for c in columns if c in available])
 
 
 def align_columns(df: DataFrame, spec: SurveySpec, carry: Sequence[str] = ()) -> DataFrame:
     """All survey columns in order, absent ones as typed NULL, then ``carry``."""
+    available = df.columns
+    if available == [*spec.columns, *carry]:
+        return df
     return df.select(
         *[
-            F.col(c) if c in df.columns else F.lit(None).cast(spec.raw_type(c)).alias(c)
+            F.col(c) if c in available else F.lit(None).cast(spec.raw_type(c)).alias(c)
             for c in spec.columns
         ],
         *carry,
@@ -30,14 +34,12 @@ def align_columns(df: DataFrame, spec: SurveySpec, carry: Sequence[str] = ()) ->
 
 def lenient_cast(df: DataFrame, spec: SurveySpec) -> DataFrame:
     """Survey columns in their fixed types, in one projection; other columns as they are."""
-    return df.select(
-        *[
-            lenient(F.col(f.name), f.dataType, spec.raw_type(f.name)).alias(f.name)
-            if f.name in spec.columns
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    changed = {
+        f.name: lenient(F.col(f.name), f.dataType, spec.raw_type(f.name))
+        for f in df.schema.fields
+        if f.name in spec.columns and f.dataType != spec.raw_type(f.name)
+    }
+    return df.withColumns(changed) if changed else df
 
 
 def align_union(

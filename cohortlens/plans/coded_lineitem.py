@@ -6,50 +6,32 @@ on the given tables at any scale.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from cohortlens.operators.shape import align_columns
-from cohortlens.spec import CARDIO
+from cohortlens.spec import CARDIO, SUPPORTING_COLUMNS
 
 ROW_KEY = ("l_orderkey", "l_linenumber")
 
-
-def _pick(codes: Sequence[int | None], index: Column) -> Column:
-    """The code at ``index``, from 0; NULL past the end."""
-    return F.get(F.array(*[F.lit(code) for code in codes]), index.cast("int"))
+RULES = {
+    "YEAR": "year(l_shipdate)",
+    "CVDINFR4": """CASE
+        WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 7
+        WHEN l_suppkey % 25 = 0 THEN NULL
+        WHEN int(rint(l_discount * 100)) + if(l_linenumber IN (1, 6), 3, 0)
+            + if(l_orderkey % 14 >= 8, 2, 0) >= 11 THEN 1
+        ELSE 2 END""",
+    "BPHIGH4": "coalesce(get(array(1, 2, 3, 4, 3, 1), l_linenumber - 1), 7)",
+    "TOLDHI2": "get(array(1, 1, 1, 1, 2, 2, 2, 2, 7, NULL), int(l_suppkey % 10))",
+    "DIABETE3": "get(array(1, 2, 3, 3, 3, 3, 4, 9), int(l_partkey % 8))",
+    "SMOKE100": "CASE WHEN l_quantity <= 20 THEN 1 WHEN l_quantity <= 45 THEN 2 ELSE 9 END",
+    "SEX": "if(l_orderkey % 50 = 0, 9, int(l_orderkey % 2 + 1))",
+    "_AGEG5YR": "int(l_orderkey % 14 + 1)",
+    "_BMI5": "if(rint(l_tax * 100) = 8, NULL, float(int(floor(l_extendedprice / 12))))",
+    **dict.fromkeys(SUPPORTING_COLUMNS, "int(NULL)"),
+}
 
 
 def coded_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw survey columns (supporting ones NULL) plus the row key."""
-    line, order = F.col("l_linenumber"), F.col("l_orderkey")
-    supplier, part = F.col("l_suppkey"), F.col("l_partkey")
-    risk = (
-        F.rint(F.col("l_discount") * 100).cast("int")
-        + F.when(line.isin(1, 6), 3).otherwise(0)
-        + F.when(order % 14 >= 8, 2).otherwise(0)
-    )
-    coded = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.year("l_shipdate").alias("YEAR"),
-        F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), F.lit(7))
-        .when(supplier % 25 == 0, F.lit(None))
-        .when(risk >= 11, F.lit(1))
-        .otherwise(F.lit(2))
-        .alias("CVDINFR4"),
-        F.coalesce(_pick([1, 2, 3, 4, 3, 1], line - 1), F.lit(7)).alias("BPHIGH4"),
-        _pick([1, 1, 1, 1, 2, 2, 2, 2, 7, None], supplier % 10).alias("TOLDHI2"),
-        _pick([1, 2, 3, 3, 3, 3, 4, 9], part % 8).alias("DIABETE3"),
-        F.when(F.col("l_quantity") <= 20, F.lit(1))
-        .when(F.col("l_quantity") <= 45, F.lit(2))
-        .otherwise(F.lit(9))
-        .alias("SMOKE100"),
-        F.when(order % 50 == 0, F.lit(9)).otherwise((order % 2 + 1).cast("int")).alias("SEX"),
-        (order % 14 + 1).cast("int").alias("_AGEG5YR"),
-        F.when(F.rint(F.col("l_tax") * 100) == 8, F.lit(None))
-        .otherwise(F.floor(F.col("l_extendedprice") / 12).cast("int").cast("float"))
-        .alias("_BMI5"),
-        *ROW_KEY,
-    )
-    return align_columns(coded, CARDIO, ROW_KEY)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return lines.selectExpr(*[f"{RULES[c]} AS {c}" for c in CARDIO.columns], *ROW_KEY)
