@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.clean import preview, quality_report
@@ -23,22 +23,19 @@ def clean(
     landed: str | None = None,
     fmt: str = "parquet",
     rebalance: bool = False,
-) -> tuple[int, DataFrame]:
-    """Write the cleaned table; return its row count and the rows per year.
+) -> DataFrame:
+    """Write the cleaned table and return its rows per year.
 
     ``landed`` names the format of parts written by the collect job; without it
-    the input is ``part_YYYY_N.csv`` files. The raw input is read once: the total
-    is observed while writing, the years are counted on the written table.
+    the input is ``part_YYYY_N.csv`` files. The raw input is read once: the years
+    are counted on the written table, for Parquet without reading any column.
     """
     if landed:
         raw = read_parts(spark, source, spec, landed)
     else:
         raw = read_survey(spark, source, spec)
-    seen = Observation("cleaned")
-    cleaned = clean_survey(raw, spec).observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_cleaned(cleaned, target, spec.year, fmt, rebalance)
-    stored = read_cleaned(spark, target, spec, fmt=fmt)
-    return seen.get["rows"], quality_report(stored, spec.year)
+    write_cleaned(clean_survey(raw, spec), target, spec.year, fmt, rebalance)
+    return quality_report(read_cleaned(spark, target, spec, fmt=fmt), spec.year)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -51,7 +48,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("cohortlens-clean").getOrCreate()
     source = options.input[0] if options.landed else options.input
-    total, per_year = clean(
+    per_year = clean(
         spark,
         source,
         options.output,
@@ -60,7 +57,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         rebalance=options.rebalance,
     )
     per_year.show()
-    print("rows:", total)
+    print("rows:", per_year.agg(F.sum("row_count")).first()[0])
     stored = read_cleaned(spark, options.output, CARDIO, fmt=options.format)
     preview(stored, [CARDIO.year]).show()
 
