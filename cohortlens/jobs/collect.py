@@ -23,6 +23,7 @@ def collect(
     rows_per_file: int = ROWS_PER_FILE,
     fmt: str = "parquet",
     exact_chunks: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Known columns of every ``YYYY*.csv`` under ``source``, landed by year.
 
@@ -31,12 +32,13 @@ def collect(
     are never removed.
     """
     if max_chunks == 0 and not exact_chunks:
-        write_parts(read_yearly(spark, source, spec), target, spec.year, rows_per_file, fmt)
+        raw = read_yearly(spark, source, spec)
+        write_parts(raw, target, spec.year, rows_per_file, fmt, rebalance=rebalance)
         return
     file, split, row = POSITION_COLUMNS
     placed = staged(read_yearly(spark, source, spec, positions=True))
     numbered = number_chunks(placed, chunk_size, [file], split, row, max_chunks).drop(file)
-    write_parts(numbered, target, spec.year, rows_per_file, fmt, by_chunk=exact_chunks)
+    write_parts(numbered, target, spec.year, rows_per_file, fmt, exact_chunks, rebalance)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -48,6 +50,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
     parser.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--exact-chunks", action="store_true", help="one file per block")
+    parser.add_argument("--no-rebalance", action="store_true", help="write without a shuffle")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("cohortlens-collect").getOrCreate()
     collect(
@@ -59,6 +62,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         rows_per_file=options.rows_per_file,
         fmt=options.format,
         exact_chunks=options.exact_chunks,
+        rebalance=not options.no_rebalance,
     )
 
 

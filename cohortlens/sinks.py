@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators.blocks import CHUNK
 
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 10_000_000
 
 
 def write_parts(
@@ -17,19 +17,24 @@ def write_parts(
     rows_per_file: int = ROWS_PER_FILE,
     fmt: str = "parquet",
     by_chunk: bool = False,
+    rebalance: bool = False,
 ) -> None:
     """Land raw rows under ``uri``, one directory per year, replacing only those years.
 
-    Every task writes its own rows straight to the target file system. With
-    ``by_chunk`` the rows carry block numbers and each block becomes one file in
-    its own directory; a block is at most one chunk, so no task gets more.
+    Every task writes its own rows straight to the target file system. A split of
+    a wide extract leaves little once narrowed; ``rebalance`` shuffles the narrow
+    rows by year into full-sized files and splits a year too large for one task.
+    With ``by_chunk`` the rows carry block numbers and each block becomes one file
+    in its own directory; a block is at most one chunk, so no task gets more.
     """
     folders = [year]
     if by_chunk:
         folders.append(CHUNK)
         df = df.repartition(*folders)
-    elif CHUNK in df.columns:
+    else:
         df = df.drop(CHUNK)
+        if rebalance:
+            df = df.hint("rebalance", F.col(year))
     writer = (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

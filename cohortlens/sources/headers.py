@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# With this many files or fewer, one first-row read per file is cheaper than a
-# scan: it stops after the first buffer, however large the file.
+# A first-row read stops after the first buffer, however large the file, but the
+# driver starts one per file; a scan starts once, but reads every byte. These rates
+# decide which is cheaper. Few files are always read one by one.
 PROBE_FILES = 32
+PROBE_SECONDS = 0.05
+SCAN_BYTES_PER_CORE_SECOND = 100_000_000
 
 
 @dataclass(frozen=True)
@@ -54,11 +57,12 @@ def layout_names(header: str | None, wanted: Sequence[str]) -> tuple[str, ...]:
 
 
 def listed_files(spark: SparkSession, paths: Sequence[str], glob: str | None) -> DataFrame:
-    """``path`` and ``uri`` of every input file; contents are not read."""
+    """``path``, ``uri`` and ``length`` of every input file; contents are not read."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(list(paths)).select("path", F.col("_metadata.file_path").alias("uri"))
+    listed = reader.load(list(paths))
+    return listed.select("path", F.col("_metadata.file_path").alias("uri"), "length")
 
 
 def first_lines(
@@ -99,11 +103,12 @@ def header_groups(
     """
     paths = as_paths(paths)
     files = listed_files(spark, paths, glob)
-    few = files.limit(PROBE_FILES + 1).collect()
-    if not few:
+    size = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
+    if not size.n:
         raise ValueError(f"no input files in {paths}")
-    if len(few) <= PROBE_FILES:
-        found = ((row.path, _first_row(spark, row.path)) for row in few)
+    scan_seconds = size.bytes / SCAN_BYTES_PER_CORE_SECOND / spark.sparkContext.defaultParallelism
+    if size.n <= PROBE_FILES or size.n * PROBE_SECONDS <= scan_seconds:
+        found = ((row.path, _first_row(spark, row.path)) for row in files.toLocalIterator())
     else:
         headers = first_lines(spark, paths, glob, wanted)
         found = files.join(headers, "uri", "left").select("path", "header").toLocalIterator()

@@ -81,12 +81,23 @@ def test_headers_found_by_scan(spark, tmp_path, monkeypatch):
         write(tmp_path, f"part_2011_{i}.csv", f"{columns}\n{cells}\n")
     write(tmp_path, "part_2011_8.csv", "a,b\n5,6\n")
     write(tmp_path, "part_2011_9.csv", "")
+    monkeypatch.setattr(header_module, "_first_row", None)
     groups = header_groups(spark, str(tmp_path), CARDIO.columns)
     assert sorted(len(g.paths) for g in groups) == [1, 3, 3]
     found = values(read_survey(spark, str(tmp_path), CARDIO), "SEX", "CVDINFR4")
     assert found == [(None, None), *[(str(i), "1") for i in range(6)]]
 
 
+def test_large_files_are_probed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(header_module, "PROBE_FILES", 0)
+    monkeypatch.setattr(header_module, "SCAN_BYTES_PER_CORE_SECOND", 1e-6)
+    monkeypatch.setattr(header_module, "first_lines", None)
+    write(tmp_path, "part_2011_1.csv", "SEX,CVDINFR4\n1,2\n")
+    write(tmp_path, "part_2011_2.csv", "CVDINFR4,SEX\n2,1\n")
+    found = values(read_survey(spark, str(tmp_path), CARDIO), "SEX", "CVDINFR4")
+    assert found == [("1", "2"), ("1", "2")]
+
+
 def test_one_header_keeps_paths(spark, tmp_path):
     for i in range(3):
         write(tmp_path, f"part_2011_{i}.csv", "SEX,CVDINFR4\n1,2\n")
@@ -156,7 +167,7 @@ def test_chunks_follow_file_order(spark, tmp_path, cap):
 def test_landed_parts_round_trip(spark, parts, tmp_path, fmt):
     raw = read_survey(spark, str(parts), CARDIO)
     target = str(tmp_path / "landed")
-    sinks.write_parts(raw, target, fmt=fmt)
+    sinks.write_parts(raw, target, fmt=fmt, rebalance=True)
     assert values(read_parts(spark, target, CARDIO, fmt), *SHOWN) == EXPECTED
     only = raw.where("YEAR = 2011").limit(1)
     sinks.write_parts(only, target, fmt=fmt)
