@@ -199,6 +199,9 @@ def queries() -> dict[str, Query]:
         "labelled_age_rates": lambda s, d: answers.by_age_labelled(rate(s, d), CARDIO, LANGUAGE),
         "rate_matrix": lambda s, d: answers.age_score_matrix(rate(s, d), CARDIO, LANGUAGE),
         "bmi_box_stats": lambda s, d: answers.scaled_box(cleaned(s, d), CARDIO, LANGUAGE),
+        "bmi_box_stats_ranked": lambda s, d: answers.scaled_box(
+            cleaned(s, d), CARDIO, LANGUAGE, coded=False
+        ),
         "hash_sample": hash_sample(100_000),
         "hash_sample_capped": hash_sample(CAPPED_SAMPLE),
         "preview_top5": lambda s, d: clean.preview(cleaned(s, d), [CARDIO.year, *ROW_KEY]),
@@ -208,6 +211,9 @@ def queries() -> dict[str, Query]:
         "auc_by_score": lambda s, d: model.auc_by_score(
             cleaned(s, d), CARDIO.score, CARDIO.target
         ),
+        "auc_by_score_ranked": lambda s, d: model.auc_by_score(
+            cleaned(s, d), CARDIO.scaled, CARDIO.target, coded=False
+        ),
         "threshold_accuracy": lambda s, d: model.threshold_accuracy(
             cleaned(s, d), CARDIO.score, 2, CARDIO.target
         ),
@@ -301,6 +307,22 @@ FROM (
 WHERE h % 1000 < 100 ORDER BY h, Has_Disease, BMI_Real LIMIT {limit}"""
 
 
+def _auc_sql(score: str) -> str:
+    return f"""WITH {_CLEANED},
+graded AS (
+  SELECT {score} AS score, sum(Has_Disease) AS pos, sum(1 - Has_Disease) AS neg
+  FROM cleaned WHERE {score} IS NOT NULL GROUP BY {score}
+),
+won AS (
+  SELECT pos, neg,
+    CAST(pos AS DOUBLE) * (sum(neg) OVER (ORDER BY score) - CAST(neg AS DOUBLE) / 2) AS w
+  FROM graded
+)
+SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+  sum(w) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
+FROM won"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL whose result equals that of the query of the same name."""
     labels = CARDIO.labels[LANGUAGE]
@@ -321,6 +343,18 @@ def oracle_sql() -> dict[str, str]:
     age_by_score = f"""WITH {_CLEANED}
 SELECT _AGEG5YR AS age_group, Risk_Score AS risk_score, {_RATE} FROM cleaned
 WHERE {_KNOWN_AGE} AND Risk_Score IS NOT NULL GROUP BY _AGEG5YR, Risk_Score"""
+    box = f"""WITH {_CLEANED},
+inside AS (SELECT Has_Disease, BMI_Real FROM cleaned WHERE BMI_Real > 10 AND BMI_Real < 80),
+box AS (
+  SELECT Has_Disease, count(*) AS n_values, quantile_cont(BMI_Real, 0.25) AS q1,
+    quantile_cont(BMI_Real, 0.5) AS median, quantile_cont(BMI_Real, 0.75) AS q3
+  FROM inside GROUP BY Has_Disease
+)
+SELECT Has_Disease, n_values, least(q1, min(BMI_Real)) AS whisker_low, q1, median, q3,
+  greatest(q3, max(BMI_Real)) AS whisker_high, {outcome} AS disease_label
+FROM box JOIN inside USING (Has_Disease)
+WHERE BMI_Real BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
+GROUP BY Has_Disease, n_values, q1, median, q3"""
     numbered = f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_orderkey,
   (row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1)
     // {CHUNK_SIZE} + 1 AS chunk_no
@@ -358,18 +392,8 @@ FROM cleaned WHERE {_KNOWN_AGE} GROUP BY _AGEG5YR""",
         "rate_matrix": f"""WITH {_CLEANED}
 SELECT _AGEG5YR AS age_group, {cells}, {age} AS age_label
 FROM cleaned WHERE {_KNOWN_AGE} AND Risk_Score IS NOT NULL GROUP BY _AGEG5YR""",
-        "bmi_box_stats": f"""WITH {_CLEANED},
-inside AS (SELECT Has_Disease, BMI_Real FROM cleaned WHERE BMI_Real > 10 AND BMI_Real < 80),
-box AS (
-  SELECT Has_Disease, count(*) AS n_values, quantile_cont(BMI_Real, 0.25) AS q1,
-    quantile_cont(BMI_Real, 0.5) AS median, quantile_cont(BMI_Real, 0.75) AS q3
-  FROM inside GROUP BY Has_Disease
-)
-SELECT Has_Disease, n_values, least(q1, min(BMI_Real)) AS whisker_low, q1, median, q3,
-  greatest(q3, max(BMI_Real)) AS whisker_high, {outcome} AS disease_label
-FROM box JOIN inside USING (Has_Disease)
-WHERE BMI_Real BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
-GROUP BY Has_Disease, n_values, q1, median, q3""",
+        "bmi_box_stats": box,
+        "bmi_box_stats_ranked": box,
         "hash_sample": _sample_sql(100_000, outcome),
         "hash_sample_capped": _sample_sql(CAPPED_SAMPLE, outcome),
         "preview_top5": f"WITH {_CLEANED} SELECT * FROM cleaned ORDER BY {first_five} LIMIT 5",
@@ -380,18 +404,8 @@ FROM model GROUP BY is_train""",
         "combination_counts": f"""WITH {_MODEL}
 SELECT * EXCLUDE (l_orderkey, l_linenumber), CAST(count(*) AS DOUBLE) AS weight
 FROM model GROUP BY ALL""",
-        "auc_by_score": f"""WITH {_CLEANED},
-graded AS (
-  SELECT Risk_Score, sum(Has_Disease) AS pos, sum(1 - Has_Disease) AS neg
-  FROM cleaned WHERE Risk_Score IS NOT NULL GROUP BY Risk_Score
-),
-won AS (
-  SELECT pos, neg, pos * (sum(neg) OVER (ORDER BY Risk_Score) - CAST(neg AS DOUBLE) / 2) AS w
-  FROM graded
-)
-SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
-  sum(w) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
-FROM won""",
+        "auc_by_score": _auc_sql("Risk_Score"),
+        "auc_by_score_ranked": _auc_sql("BMI_Real"),
         "threshold_accuracy": f"""WITH {_CLEANED},
 judged AS (
   SELECT count(*) AS test_rows,

@@ -8,7 +8,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from cohortlens.sources.staging import staged
 
@@ -51,21 +51,15 @@ def number_chunks(
     slice. With ``max_chunks`` only rows of the first blocks remain, and slices
     past the cap are dropped before the join. Runs a job over the slice columns.
     """
-    earlier = (
-        Window.partitionBy(*by).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    )
     offsets = (
         slices.groupBy(*by, slice_col)
         .agg(F.count(F.lit(1)).alias("n"), F.min(row_col).alias("first_row"))
-        .withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .withColumn("offset", F.coalesce(F.sum("n").over(_earlier(by, slice_col)), F.lit(0)))
+        .drop("n")
     )
     if max_chunks:
         offsets = offsets.where(F.col("offset") < max(max_chunks, 0) * chunk_size)
-    keys = [*by, slice_col]
-    offsets = staged(offsets.select(*[F.col(k).alias(f"o_{k}") for k in keys], "first_row", "offset"))
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in keys])
-    small = offsets.count() <= BROADCAST_SLICES
-    numbered = slices.join(F.broadcast(offsets) if small else offsets, same)
+    numbered = _with_offsets(slices, offsets, [*by, slice_col])
     position = F.col("offset") + F.col(row_col) - F.col("first_row")
     kept = [c for c in slices.columns if c not in (slice_col, row_col)]
     numbered = numbered.withColumn("position", position).select(
@@ -74,6 +68,45 @@ def number_chunks(
     return cap_chunks(numbered, max_chunks)
 
 
+def running_total(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], amount: str, name: str
+) -> DataFrame:
+    """Sum of ``amount`` over the earlier rows of the group in ``order``, as ``name``.
+
+    Groups of any size: sums run inside slices, and over one total per slice.
+    ``order`` must be unique within a group. Runs jobs.
+    """
+    slices = stage_in_order(df, by, order)
+    offsets = (
+        slices.groupBy(*by, SLICE)
+        .agg(F.sum(amount).alias("slice_total"))
+        .withColumn("offset", F.coalesce(F.sum("slice_total").over(_earlier(by, SLICE)), F.lit(0)))
+        .drop("slice_total")
+    )
+    before = (
+        Window.partitionBy(*by, SLICE)
+        .orderBy(SLICE_ROW)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = F.coalesce(F.sum(amount).over(before), F.lit(0))
+    joined = _with_offsets(slices, offsets, [*by, SLICE])
+    return joined.select(*df.columns, (F.col("offset") + inside).alias(name))
+
+
+def _earlier(by: Sequence[str], slice_col: str) -> WindowSpec:
+    """The slices of the same group before this one."""
+    return Window.partitionBy(*by).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_offsets(slices: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the values of their slice; broadcast only if the slices are few."""
+    values = [c for c in offsets.columns if c not in keys]
+    offsets = staged(offsets.select(*[F.col(k).alias(f"o_{k}") for k in keys], *values))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in keys])
+    small = offsets.count() <= BROADCAST_SLICES
+    return slices.join(F.broadcast(offsets) if small else offsets, same)
+
+
 def cap_chunks(df: DataFrame, max_chunks: int, chunk: str = CHUNK) -> DataFrame:
     """The first ``max_chunks`` blocks of each group; 0 keeps all, a negative cap none."""
     return df if max_chunks == 0 else df.where(F.col(chunk) <= max_chunks)

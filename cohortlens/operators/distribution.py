@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortlens.functions import Hasher, bucket_of, row_hash
+from cohortlens.operators.blocks import running_total
+from cohortlens.sources.staging import staged
 
+QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
 # Hash values are cut into this many ranges when a sample has a row limit.
 HASH_RANGES = 1 << 16
@@ -20,23 +23,26 @@ def in_open_range(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
     return df.where((F.col(col) > lo) & (F.col(col) < hi))
 
 
-def box_stats(df: DataFrame, by: str, value: str, decimals: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, by: str, value: str, coded: bool = True) -> DataFrame:
     """Quartiles and whiskers per group, outliers left out.
 
     Whiskers end at the farthest values within 1.5 quartile distances of the
     box, and never inside the box. Equal values are counted before anything
-    else, so what one task holds is the distinct values of a group: few for
-    coded numbers, whatever the row count. For continuous numbers give
-    ``decimals``; values are then rounded to that grid first.
+    else. With ``coded`` one task then holds the distinct values of a group, few
+    whatever the row count. Numbers that hardly repeat need ``coded=False``: the
+    same result from running counts, no group in one task; it runs jobs.
     """
-    number = F.col(value) if decimals is None else F.round(value, decimals)
     counted = (
         df.where(F.col(by).isNotNull() & F.col(value).isNotNull())
-        .groupBy(by, number.alias(value))
+        .groupBy(by, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    quartiles = counted.groupBy(by).agg(F.percentile(value, points, F.col("n")).alias("q"))
+    if coded:
+        points = F.array(*[F.lit(p) for p in QUARTILES])
+        quartiles = counted.groupBy(by).agg(F.percentile(value, points, F.col("n")).alias("q"))
+    else:
+        counted = running_total(counted, [by], [value], "n", "before")
+        quartiles = _ranked_quartiles(counted, by, value)
     reach = F.lit(WHISKER) * (F.col("q")[2] - F.col("q")[0])
     inside = F.col(value).between(F.col("q")[0] - reach, F.col("q")[2] + reach)
     return (
@@ -44,25 +50,50 @@ def box_stats(df: DataFrame, by: str, value: str, decimals: int | None = None) -
         .groupBy(by)
         .agg(
             F.sum("n").alias("n_values"),
-            F.first(F.col("q")[0]).alias("q1"),
-            F.first(F.col("q")[1]).alias("median"),
-            F.first(F.col("q")[2]).alias("q3"),
+            F.first("q").alias("q"),
             F.min(F.when(inside, F.col(value))).alias("lowest"),
             F.max(F.when(inside, F.col(value))).alias("highest"),
         )
         .select(
             by,
             "n_values",
-            F.least("lowest", "q1").alias("whisker_low"),
-            "q1",
-            "median",
-            "q3",
-            F.greatest("highest", "q3").alias("whisker_high"),
+            F.least("lowest", F.col("q")[0]).alias("whisker_low"),
+            F.col("q")[0].alias("q1"),
+            F.col("q")[1].alias("median"),
+            F.col("q")[2].alias("q3"),
+            F.greatest("highest", F.col("q")[2]).alias("whisker_high"),
         )
         .orderBy(by)
     )
 
 
+def _ranked_quartiles(counted: DataFrame, by: str, value: str) -> DataFrame:
+    """Linearly interpolated quartiles of counted values with running counts.
+
+    Written out, as is the size of the groups, so that Spark knows how small the
+    tables are that it joins.
+    """
+    totals = staged(counted.groupBy(by).agg(F.sum("n").alias("total")))
+    sized = counted.join(totals, by)
+    holds = []
+    for point in QUARTILES:
+        place = F.lit(point) * (F.col("total") - 1)
+        lower = F.floor(place)
+        for rank in (lower, F.least(lower + 1, F.col("total") - 1)):
+            here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+            holds.append(F.max(F.when(here, F.col(value))))
+    found = sized.groupBy(by).agg(
+        F.first("total").alias("total"), *[h.alias(f"h{i}") for i, h in enumerate(holds)]
+    )
+    quartiles = []
+    for i, point in enumerate(QUARTILES):
+        place = F.lit(point) * (F.col("total") - 1)
+        part = place - F.floor(place)
+        low, high = F.col(f"h{2 * i}"), F.col(f"h{2 * i + 1}")
+        quartiles.append(low * (1 - part) + high * part)
+    return staged(found.select(by, F.array(*quartiles).alias("q")))
+
+
 def hash_sample(
     df: DataFrame,
     key: Sequence[str],

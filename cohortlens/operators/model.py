@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortlens.functions import Hasher, bucket_of, row_hash
+from cohortlens.operators.blocks import running_total
 from cohortlens.spec import SurveySpec
 
 LABEL = "label"
@@ -179,24 +180,27 @@ def metrics(scored: DataFrame, input_rows: int, weight: str | None = None) -> Da
     return scored.sparkSession.createDataFrame(values, "metric string, value double")
 
 
-def auc_by_score(
-    df: DataFrame, score: str, label: str, decimals: int | None = None
-) -> DataFrame:
-    """Exact area under the ROC curve of a coded score, ties counted half.
+def auc_by_score(df: DataFrame, score: str, label: str, coded: bool = True) -> DataFrame:
+    """Exact area under the ROC curve of a score, ties counted half.
 
-    The running sum is over distinct scores, not rows; for continuous scores
-    give ``decimals``, and scores are rounded to that grid first.
+    The running sum is over distinct scores, not rows. Scores that hardly repeat
+    need ``coded=False``, which sums in slices; it runs jobs.
     """
-    graded = F.col(score) if decimals is None else F.round(score, decimals)
     by_score = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(graded.alias("graded"))
+        .groupBy(score)
         .agg(F.sum(label).alias("positive"), F.sum(1 - F.col(label)).alias("negative"))
     )
-    up_to = Window.orderBy("graded").rowsBetween(Window.unboundedPreceding, 0)
-    won = F.col("positive") * (F.sum("negative").over(up_to) - F.col("negative") / 2)
+    if coded:
+        earlier = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+        below = F.coalesce(F.sum("negative").over(earlier), F.lit(0))
+        by_score = by_score.withColumn("below", below)
+    else:
+        by_score = running_total(by_score, [], [score], "negative", "below")
     return (
-        by_score.withColumn("won", won)
+        by_score.withColumn(
+            "won", F.col("positive") * (F.col("below") + F.col("negative") / 2)
+        )
         .agg(
             F.sum("positive").cast("bigint").alias("positives"),
             F.sum("negative").cast("bigint").alias("negatives"),

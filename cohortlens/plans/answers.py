@@ -98,7 +98,9 @@ def scaled_sample(
     return rates.label_codes(sample, spec.target, spec.labels[language].outcome, OUTCOME_LABEL)
 
 
-def scaled_box(cleaned: DataFrame, spec: SurveySpec, language: str = "ko") -> DataFrame:
+def scaled_box(
+    cleaned: DataFrame, spec: SurveySpec, language: str = "ko", coded: bool = True
+) -> DataFrame:
     inside = distribution.in_open_range(cleaned, spec.scaled, *spec.scaled_range)
-    box = distribution.box_stats(inside, spec.target, spec.scaled)
+    box = distribution.box_stats(inside, spec.target, spec.scaled, coded)
     return rates.label_codes(box, spec.target, spec.labels[language].outcome, OUTCOME_LABEL)

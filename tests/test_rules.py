@@ -213,13 +213,15 @@ def test_threshold_accuracy(spark):
     assert values(empty, "*") == [(0, 0, 0.0)]
 
 
-def test_auc_equals_pairs(spark):
+@pytest.mark.parametrize("coded", [True, False])
+def test_auc_equals_pairs(spark, coded):
     rows = [(s, y) for s in range(5) for y in (0, 1) for _ in range((s * 3 + y * 5) % 7)]
     pairs = [(a, b) for a, y in rows if y for b, z in rows if not z]
     won = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)
     df = spark.createDataFrame(rows, "s int, y int")
-    assert model.auc_by_score(df, "s", "y").first().auc == pytest.approx(won, abs=1e-12)
-    only_yes = model.auc_by_score(df.where("y = 1"), "s", "y").first()
+    found = model.auc_by_score(df.repartition(5), "s", "y", coded).first()
+    assert found.auc == pytest.approx(won, abs=1e-12)
+    only_yes = model.auc_by_score(df.where("y = 1"), "s", "y", coded).first()
     assert only_yes.auc is None
 
 

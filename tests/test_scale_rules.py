@@ -86,17 +86,19 @@ def box(numbers):
     return min(min(inside), q1), q1, median, q3, max(max(inside), q3)
 
 
-def test_box_statistics_with_outliers_and_repeats(spark):
+@pytest.mark.parametrize("coded", [True, False])
+def test_box_statistics_with_outliers_and_repeats(spark, coded):
     generator = np.random.default_rng(5)
     groups = {
         0: [25.0] * 400 + list(np.round(generator.normal(27, 4, 200), 2)) + [79.0, 11.0],
-        1: list(np.round(generator.normal(30, 6, 301), 2)),
+        1: list(generator.normal(30, 6, 301)),
         2: [20.0],
+        3: [20.0, 21.0],
     }
     data = [(g, float(v)) for g, vs in groups.items() for v in vs] + [(0, None), (None, 1.0)]
     df = spark.createDataFrame(data, "g int, v double").repartition(5)
-    found = distribution.box_stats(df, "g", "v").collect()
-    assert [r.g for r in found] == [0, 1, 2]
+    found = distribution.box_stats(df, "g", "v", coded).collect()
+    assert [r.g for r in found] == [0, 1, 2, 3]
     for r in found:
         assert r.n_values == len(groups[r.g])
         assert (r.whisker_low, r.q1, r.median, r.q3, r.whisker_high) == pytest.approx(
@@ -104,17 +106,23 @@ def test_box_statistics_with_outliers_and_repeats(spark):
         )
 
 
-def test_box_whisker_never_inside_the_box(spark):
+@pytest.mark.parametrize("coded", [True, False])
+def test_box_whisker_never_inside_the_box(spark, coded):
     df = spark.createDataFrame([(0, v) for v in (0.0, 1.0, 1.0, 100.0)], "g int, v double")
-    found = distribution.box_stats(df, "g", "v").first()
+    found = distribution.box_stats(df, "g", "v", coded).first()
     assert found.q3 == pytest.approx(25.75)
     assert found.whisker_high == pytest.approx(25.75)
 
 
-def test_box_on_a_grid(spark):
-    df = spark.createDataFrame([(0, i / 1000) for i in range(1001)], "g int, v double")
-    found = distribution.box_stats(df, "g", "v", decimals=2).first()
-    assert found.median == pytest.approx(0.5, abs=0.01)
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_running_total_equals_brute_force(spark, parts):
+    data = [(1, k, k % 4) for k in range(300)] + [(None, k, 1) for k in range(7)]
+    df = spark.createDataFrame(data, "g int, k int, n int").repartition(parts)
+    found = blocks.running_total(df, ["g"], ["k"], "n", "before")
+    expected = [(*r, sum(o[2] for o in data if o[0] == r[0] and o[1] < r[1])) for r in data]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    ordered = sorted((tuple(r) for r in found.collect()), key=key)
+    assert ordered == sorted(expected, key=key)
 
 
 def test_rates_from_grain_equal_direct_rates(cleaned):
