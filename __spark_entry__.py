@@ -14,7 +14,7 @@ from cohortlens.plans.cleaning import clean_survey
 from cohortlens.plans.coded_lineitem import ROW_KEY, coded_lineitem
 from cohortlens.plans.modelling import (
     counted_combinations,
-    test_predictions,
+    score_test_rows,
     train_test_report,
 )
 from cohortlens.sources import with_file_year
@@ -101,7 +101,7 @@ def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return test_predictions(cleaned(spark, sf_dir), CARDIO, ROW_KEY)
+    return score_test_rows(cleaned(spark, sf_dir), CARDIO, ROW_KEY)
 
 
 def orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:

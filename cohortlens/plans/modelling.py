@@ -55,7 +55,7 @@ def train_test_report(
     return ModelReport(fitted, quality, weights)
 
 
-def test_predictions(
+def score_test_rows(
     cleaned: DataFrame, spec: SurveySpec, key: Sequence[str], hasher: Hasher = row_hash
 ) -> DataFrame:
     """Every test row with the class and probability the fitted model gives it."""

@@ -56,6 +56,7 @@ def read_survey(
             .option("header", True)
             .option("enforceSchema", False)
             .option("columnPruning", True)
+            .option("escape", '"')
         )
         if glob:
             reader = reader.option("pathGlobFilter", glob)

@@ -119,6 +119,14 @@ def test_wrong_grouping_fails_instead_of_swapping(spark, tmp_path, monkeypatch):
         read_survey(spark, str(tmp_path), CARDIO).collect()
 
 
+def test_quoted_cells_keep_their_columns(spark, tmp_path):
+    """Quotes inside a cell are doubled; a backslash is an ordinary character."""
+    lines = ['note,"SEX",CVDINFR4', '"a, ""b""",1,2', '"c\\",2,1', '"",,"1.0"']
+    write(tmp_path, "part_2011_1.csv", "\n".join(lines))
+    found = values(read_survey(spark, str(tmp_path), CARDIO), "SEX", "CVDINFR4")
+    assert found == [(None, "1.0"), ("1", "2"), ("2", "1")]
+
+
 def test_missing_input_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_survey(spark, str(tmp_path / "part_*.csv"), CARDIO)

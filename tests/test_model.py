@@ -8,8 +8,7 @@ import pytest
 from cohortlens.operators import model
 from cohortlens.plans.cleaning import clean_survey
 from cohortlens.plans.coded_lineitem import ROW_KEY, coded_lineitem
-from cohortlens.plans.modelling import test_predictions as predict_test_rows
-from cohortlens.plans.modelling import train_test_report
+from cohortlens.plans.modelling import score_test_rows, train_test_report
 from cohortlens.spec import CARDIO
 
 TABLES = "/root/testdata/sf0.01"
@@ -137,7 +136,7 @@ def test_auc_by_score_equals_evaluator(split):
 
 
 def test_predictions_cover_every_test_row(cleaned, split):
-    scored = predict_test_rows(cleaned, CARDIO, ROW_KEY)
+    scored = score_test_rows(cleaned, CARDIO, ROW_KEY)
     assert scored.columns == [*ROW_KEY, "label", "prediction", "probability_yes"]
     found = scored.collect()
     assert len(found) == split[1].count()
