@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from cohortlens.functions import LEADING_YEAR, PART_YEAR
 from cohortlens.operators import blocks, clean, distribution, model, rates, shape
 from cohortlens.plans import answers

@@ -23,7 +23,8 @@ def stage_in_order(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> Da
     """``df`` range-partitioned and sorted by ``by`` and ``order``, written once.
 
     Adds the slice (partition) of each row and its running number. A group that
-    holds many rows spans as many slices as it needs. Runs a job.
+    holds many rows spans as many slices as it needs; ``order`` must be unique in
+    it, as equal keys cannot be parted. Runs a job.
     """
     keys = [*by, *order]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)

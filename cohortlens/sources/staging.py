@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The session's checkpoint folder; a temporary one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
