@@ -24,6 +24,14 @@ from cohortlens.plans.modelling import (
 from cohortlens.sources import with_file_year
 from cohortlens.spec import CARDIO
 
+try:
+    import corpus_pipeline
+    from cohortlens.llm import registry as llm
+except ImportError as gone:
+    if (gone.name or "").split(".")[-1] not in ("llm", "registry", "corpus_pipeline"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 LANGUAGE = "ko"
 CHUNK_SIZE = 1000
@@ -187,7 +195,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query: name → (spark, table folder) → DataFrame."""
-    return {
+    added = {} if llm is None else llm.queries() | {"pipeline": corpus_pipeline.run}
+    return added | {
         "survey_clean": cleaned,
         "recode_counts": recode_counts,
         "score_distribution": score_distribution,
@@ -363,7 +372,8 @@ GROUP BY Has_Disease, n_values, q1, median, q3"""
   (row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1)
     // {CHUNK_SIZE} + 1 AS chunk_no
 FROM orders"""
-    return {
+    added = {} if llm is None else llm.oracle_sql()
+    return added | {
         "survey_clean": f"WITH {_CLEANED} SELECT * FROM cleaned",
         "recode_counts": f"""WITH {_CLEANED}
 SELECT {recoded}, count(*) AS row_count FROM cleaned GROUP BY {recoded}""",

@@ -1,7 +1,7 @@
 """Scans of raw survey files, landed parts and the cleaned table."""
 
 from cohortlens.sources.headers import FileLayout, header_groups
-from cohortlens.sources.staging import staged
+from cohortlens.sources.staging import shared_folder, staged, unstage
 from cohortlens.sources.survey import (
     POSITION_COLUMNS,
     ROW_KEY,
@@ -23,6 +23,8 @@ __all__ = [
     "read_parts",
     "read_survey",
     "read_yearly",
+    "shared_folder",
     "staged",
+    "unstage",
     "with_file_year",
 ]

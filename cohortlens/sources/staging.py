@@ -2,30 +2,49 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
+    """The session's checkpoint folder, else a folder in its warehouse.
+
+    One rule for every master: both are folders that all executors of a cluster
+    reach, so nothing lands in a machine's own temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="cohortlens-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/stages"
+    return folder.rstrip("/")
+
+
+def _path_of(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def staged(df: DataFrame) -> DataFrame:
     """``df`` materialised as Parquet, so that non-deterministic columns stay fixed.
 
     Columnar storage lets later passes read only what they need, and losing an
-    executor never re-runs what produced the table.
+    executor never re-runs what produced the table. ``unstage`` removes it; what is
+    left goes when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    where, files = _path_of(spark, path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files.deleteOnExit(where)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.staged_at = path
+    return kept
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove staged tables that no later action reads."""
+    for df in frames:
+        where, files = _path_of(df.sparkSession, df.staged_at)
+        files.delete(where, True)
