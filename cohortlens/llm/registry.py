@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import votes
+from cohortlens.llm import decontaminate, jaccard, secrets, votes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +29,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(_documents(spark, sf_dir), items)
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(_documents(spark, sf_dir), jaccard.Join(size=4, percent=85))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(_documents(spark, sf_dir)).drop("redacted")
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_quality_rules": op3_quality_rules}
+    return {
+        "op3_quality_rules": op3_quality_rules,
+        "op5_decontaminate": op5_decontaminate,
+        "op7_ngram_join": op7_ngram_join,
+        "op8_secrets": op8_secrets,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

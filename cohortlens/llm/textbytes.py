@@ -20,6 +20,9 @@ _U = np.uint64
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: All but ASCII letters and digits and the bytes of other characters.
+NOT_WORD = np.ones(256, bool)
+NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BYTE_VALUES = np.random.RandomState(20).randint(1, 1 << 62, 256, dtype=np.int64).astype(_U)
@@ -71,9 +74,9 @@ class Texts:
         """A-Z in lower case; other letters stay."""
         return Texts(LOWER[self.data], self.starts, self.first_row)
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and row of each run of bytes other than white space."""
-        inside = ~IS_SPACE[self.data]
+    def words(self, gaps: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and row of each run of bytes outside ``gaps``, white space at first."""
+        inside = ~gaps[self.data]
         if not len(inside):
             none = np.zeros(0, np.int64)
             return none, none, none

@@ -57,21 +57,21 @@ RULES = (
 )
 
 
-def counted(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataFrame:
     """The counts of every text: words, code points in words, symbols, repeats, lines.
 
-    ``n_stops`` are words that end in a stop, ``n_plain`` the code points of words
+    Column ``carry`` comes along as it is, a struct of a whole row say. ``n_stops`` are words that end in a stop, ``n_plain`` the code points of words
     that are letters only but for one stop at the end.
     """
-    body = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("body"))
+    body = docs.select(F.col(carry), F.coalesce(text, F.lit("")).alias("body"))
     split = body.select(
-        "doc_id",
+        carry,
         F.array_remove(F.split("body", WORD_BREAK), "").alias("words"),
         F.filter(F.split("body", "\n"), lambda x: F.ltrim(x, F.lit(SPACES)) != "").alias("lines"),
     )
     words = F.col("words")
     joined = split.select(
-        "doc_id",
+        carry,
         "words",
         "lines",
         F.array_join("words", "").alias("joined"),
@@ -86,7 +86,7 @@ def counted(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
         return F.length(column) - F.length(F.regexp_replace(column, pattern, ""))
 
     return joined.select(
-        "doc_id",
+        carry,
         F.size("words").cast("long").alias("n_words"),
         F.length("joined").cast("long").alias("word_chars"),
         dropped("joined", SYMBOLS).cast("long").alias("n_symbols"),
@@ -248,9 +248,9 @@ def accuracies(patterns: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Counts, votes, ``quality`` (posterior) and ``kept`` of every row of ``docs``."""
-    votes = staged(voted(counted(docs, text, key)))
+def judged(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataFrame:
+    """Counts, votes, ``posterior`` and ``kept`` of every row of ``docs``, beside ``carry``."""
+    votes = staged(voted(counted(docs, text, carry)))
     patterns = fitted(votes).select(F.explode("patterns").alias("p"))
     patterns = patterns.select("p.votes", "p.posterior")
     base_failed = (F.col("n_words") < 50) | (

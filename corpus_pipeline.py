@@ -6,6 +6,7 @@ Each stage takes the columns of ``documents`` and, but for the last, returns the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.llm import votes
 from cohortlens.sources.staging import staged
@@ -13,8 +14,8 @@ from cohortlens.sources.staging import staged
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed rules keep."""
-    kept = votes.judged(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return votes.judged(rows, carry="row").where("kept").select("row.*")
 
 
 STAGES = [("quality_rules", quality_rules)]
