@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontaminate, jaccard, secrets, votes
+from cohortlens.llm import (
+    decontaminate,
+    jaccard,
+    langid,
+    lengths,
+    packing,
+    quality,
+    secrets,
+    suffixes,
+    urls,
+    votes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +26,16 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.scored(docs, quality.learned(docs, labels))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.judged(_documents(spark, sf_dir)).select(
         "doc_id",
@@ -29,11 +50,19 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(_documents(spark, sf_dir)).drop("cuts")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.contaminated(_documents(spark, sf_dir), items)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.limits(lengths.histogram(_documents(spark, sf_dir)))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(_documents(spark, sf_dir), jaccard.Join(size=4, percent=85))
 
@@ -42,12 +71,27 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(_documents(spark, sf_dir)).drop("redacted")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return langid.identified(docs, langid.learned(docs))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_gam": op1_quality_gam,
+        "op2_packing": op2_packing,
         "op3_quality_rules": op3_quality_rules,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_decontaminate": op5_decontaminate,
+        "op6_token_counts": op6_token_counts,
         "op7_ngram_join": op7_ngram_join,
         "op8_secrets": op8_secrets,
+        "op9_language": op9_language,
+        "op10_url_filter": op10_url_filter,
     }
 
 
