@@ -1,6 +1,8 @@
 """A corpus from documents to packed sequences, in stages of the llm operators.
 
 Each stage takes the columns of ``documents`` and, but for the last, returns them.
+Empty tables pass through; rows with a null key are judged like others, but are in no
+group of near duplicates.
 """
 
 from __future__ import annotations
@@ -8,8 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import votes
-from cohortlens.sources.staging import staged
+from cohortlens.llm import decontaminate, jaccard, packing, secrets, votes
+from cohortlens.sources.staging import staged, unstage
+
+BROADCAST_KEYS = 1_000_000  # keys sent to every task; beyond, documents are shuffled
+NEAR = jaccard.Join(size=5, percent=80)
+
+
+def _listed(keys: DataFrame) -> DataFrame:
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return F.broadcast(keys) if few else keys
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,16 +28,67 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return votes.judged(rows, carry="row").where("kept").select("row.*")
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents, the one with the least key."""
+    found = staged(jaccard.similar(docs, NEAR))
+    others = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(_listed(others), "doc_id", "left_anti").select(*docs.columns)
+    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    again = again.select("doc_id")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, "doc_id", "left_anti").unionByName(once)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = staged(decontaminate.contaminated(docs, items).select("doc_id").distinct())
+    return docs.join(_listed(hits), "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in their texts put out."""
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    scanned = secrets.scanned(rows, carry="row").withColumn("same", F.col("redacted").isNull())
+    changed = {
+        "text": F.col("redacted"),
+        "n_chars": F.length("redacted").cast(docs.schema["n_chars"].dataType),
+    }
+    return scanned.select(
+        *[
+            F.when(F.col("same"), F.col(f"row.{c}")).otherwise(changed[c]).alias(c)
+            if c in changed
+            else F.col(f"row.{c}")
+            for c in docs.columns
+        ]
+    )
 
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in sequences of ids."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_free", benchmark_free),
+    ("without_secrets", without_secrets),
+    ("packed", packed),
+]
+
+#: Token ids and expectation-maximisation are beyond SQL; tests hold stages to brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
+        if before is not None:
+            unstage(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
-
-
