@@ -111,9 +111,8 @@ class Index:
             at = np.searchsorted(self.terms, word)
             weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[number] / mean))
             rows.append((at, np.full(len(at), number), weight / weight.sum()))
-        term, section, impact = (
-            np.concatenate(x) if parts else np.zeros(0, int) for x in (zip(*rows, strict=True) if rows else ((), (), ()))
-        )
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        term, section, impact = map(np.concatenate, zip(none, *rows, strict=True))
         order = np.lexsort((section, term))
         self.section, self.impact = section[order], impact[order]
         self.first = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
@@ -129,8 +128,6 @@ class Index:
 
     def term_numbers(self, words: np.ndarray) -> np.ndarray:
         """Term of each word, -1 where it is in no section."""
-        if not len(self.terms):
-            return np.full(len(words), -1)
         at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
         return np.where(self.terms[at] == words, at, -1)
 
@@ -157,6 +154,8 @@ def _passages(rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np
 
 def retrieved(index: Index, words: np.ndarray, rows: np.ndarray, n_rows: int, threshold: float):
     """Every (passage start, end, row, section, score) that reaches the threshold."""
+    if not len(index.terms) or not len(words):
+        return []
     first, last, row = _passages(rows, n_rows)
     term = index.term_numbers(words)
     bound = np.r_[0.0, np.cumsum(np.where(term >= 0, index.bound[term], 0.0))]

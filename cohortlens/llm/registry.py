@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,7 @@ from cohortlens.llm import (
     votes,
 )
 
+_ROOT = str(Path(__file__).resolve().parents[2])
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -80,8 +83,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def _importable(query: Query) -> Query:
+    """``query`` with this package on the path of the Python workers, as on the driver's."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers = spark.sparkContext.environment
+        paths = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if _ROOT not in paths:
+            workers["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    """Every operator over its whole table, by name."""
+    found = {
         "op1_quality_gam": op1_quality_gam,
         "op2_packing": op2_packing,
         "op3_quality_rules": op3_quality_rules,
@@ -93,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op9_language": op9_language,
         "op10_url_filter": op10_url_filter,
     }
+    return {name: _importable(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
