@@ -15,8 +15,8 @@ last, so that shared boilerplate seldom stands in a prefix.
    that, classes linked by candidate pairs are laid together (in cells of bounded
    size), so that a text travels about once, not once for each pair.
 4. Runs that were not wholly paired and whose members lie in several components are
-   paired in full across the components: no link that could join two components
-   is left out. Links inside a component change nothing and are not looked for.
+   paired in full across the components, with the same bound on what prefixes share:
+   no link that could join two components is left out. Links inside a component change nothing and are not looked for.
 
 Elements are 63-bit fingerprints; a false equality within a pair of texts has a
 probability of about 1e-13. Defined cases: null, empty or blank text has an empty
@@ -32,17 +32,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.components import components
 from cohortlens.llm.textbytes import Texts, shingle_hash, slices
 from cohortlens.sources.staging import staged, unstage
 
-PIVOTS = 8
+PIVOTS = 24
 SAMPLE_ROWS = 20_000  # rows looked at for frequent elements; only speed hangs on it
-SAMPLE_COUNT = 6  # times in the sample that make an element frequent
+SAMPLE_COUNT = 3  # times in the sample that make an element frequent
 FREQUENT_LIMIT = 100_000  # frequent elements sent to every task, 8 bytes each
+BROADCAST_ROWS = 500_000  # candidates' keys sent to every task; beyond, texts are shuffled
 CELL_CLASSES = 512  # classes of one component laid together for verifying
 _TOP = np.uint64(1 << 63)
 
@@ -58,6 +59,10 @@ class Join:
         """Elements of a set of ``n`` of which a linked set must share one."""
         return np.where(n > 0, n - -(-self.percent * n // 100) + 1, 0)
 
+    def after_prefix(self, n: Column) -> Column:
+        """Elements of a set of ``n`` beyond its prefix."""
+        return F.ceil(self.percent * n / 100) - 1
+
 
 def _elements(part: Texts, join: Join, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct elements and their rows, by row and then in the order of all elements."""
@@ -76,9 +81,9 @@ def _elements(part: Texts, join: Join, frequent: np.ndarray) -> tuple[np.ndarray
 
 
 def frequent_elements(docs: DataFrame, text: str, join: Join) -> np.ndarray:
-    """Elements found often in a sample of at most ``SAMPLE_ROWS`` rows, sorted."""
-    sample = docs.select(text).where(F.col(text).isNotNull())
-    sample = sample.orderBy(F.xxhash64(text)).limit(SAMPLE_ROWS)
+    """Elements found often in a sample of about ``SAMPLE_ROWS`` rows, sorted."""
+    n = max(docs.count(), 1)
+    sample = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(n)) < SAMPLE_ROWS)
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,68 +129,71 @@ def shingle_sets(docs: DataFrame, key: str, text: str, join: Join, frequent) ->
 
 
 def _run_pairs(join: Join):
-    """Pairs of groups along runs of equal elements, in a partition sorted by them."""
-    low, high = join.percent, 100
+    """Pairs of groups along runs of equal elements, in a partition sorted by them.
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = None
-        pivots: list[tuple[int, int]] = []
-        run: list[tuple[int, int, int]] = []  # of the run at hand, until it is surely open
-        weight, is_open, first_run = 0, True, True
-        out: list[tuple[int, int, int, int]] = []
-
-        def close(last: bool) -> None:
-            nonlocal first_run
-            if token is None:
-                return
-            edge = first_run or last
-            if edge:
-                out.extend((2, token, g, n) for g, n in pivots)
-            if run and (edge or weight > PIVOTS + 1) and (len(run) > 1 or edge):
-                out.extend((3, token, g, n) for g, n, _ in run)
-            first_run = False
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if out:
-                columns = np.unique(np.array(out, np.int64), axis=0).T
-                out.clear()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], ["kind", "x", "y", "n"]
-                )
+    Rows out: kind 1, a pair (x, y) with sizes (n, k), once for each element that it
+    meets in; kind 4, the same in a run that is not wholly paired; kind 2, element x
+    and group y at a partition's edge; kind 3, element x and group y of a run that was
+    not wholly paired.
+    """
 
+    def rows(kind: int, x, y, n, k) -> pa.RecordBatch:
+        columns = [np.full(len(x), kind), x, y, n, k]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "x", "y", "n", "k"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 4  # first rows of the run that may go on
+        seen = weight = 0  # rows and classes of that run so far
+        told = False  # whether its rows went out as kind 3
+        first_run = True
         for batch in batches:
-            tokens, groups, sizes, members = (c.to_numpy() for c in batch.columns)
-            # A run of one row in the middle of a batch pairs with nothing.
-            same = np.r_[False, tokens[1:] == tokens[:-1]]
-            alone = ~same & ~np.r_[same[1:], False]
-            alone[[0, -1]] = False
-            kept = np.flatnonzero(~alone)
-            rows = zip(
-                tokens[kept].tolist(), groups[kept].tolist(), sizes[kept].tolist(),
-                members[kept].tolist(), strict=True,
+            if not batch.num_rows:
+                continue
+            old = len(held[0])
+            token, gid, n, m = (
+                np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns, strict=True)
             )
-            for t, g, n, m in rows:
-                if t != token:
-                    close(False)
-                    token, weight, is_open = t, 0, False
-                    pivots, run = [], []
-                elif is_open:
-                    out.append((3, t, g, n))
-                for p, pn in pivots:
-                    if low * max(n, pn) <= high * min(n, pn):
-                        out.append((1, p, g, n))
-                if len(pivots) < PIVOTS:
-                    pivots.append((g, n))
-                weight += m
-                if not is_open:
-                    run.append((g, n, m))
-                    if len(run) > 4 * PIVOTS:  # long enough to be open: pass the rest on
-                        out.extend((3, t, x, xn) for x, xn, _ in run)
-                        run, is_open = [], True
-            if len(out) > 200_000:
-                yield from flush()
-        close(True)
-        yield from flush()
+            goes_on = old > 0 and len(token) > old and token[old] == token[0]
+            start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            size = np.diff(np.r_[start, len(token)])
+            run = np.repeat(np.arange(len(start)), size)
+            rank = np.arange(len(token)) - start[run]
+            count = np.where(np.arange(len(token)) >= old, np.minimum(rank, PIVOTS), 0)
+            later = np.repeat(np.arange(len(token)), count)
+            inside = np.arange(len(later)) - np.repeat(np.cumsum(count) - count, count)
+            pivot = start[run[later]] + inside
+            alike = join.percent * np.maximum(n[pivot], n[later]) <= 100 * np.minimum(n[pivot], n[later])
+            pivot, later = pivot[alike], later[alike]
+            total = np.add.reduceat(m, start)
+            if old:
+                total[0] += weight - m[:old].sum()
+            is_open = (total > PIVOTS + 1) & (size > 1)
+            is_open[0] |= first_run or told
+            is_open[-1] = (told and len(start) == 1) or seen * goes_on + size[-1] > PIVOTS + 1
+            if first_run and len(start) > 1:
+                edge = slice(0, min(size[0], PIVOTS))
+                yield rows(2, token[edge], gid[edge], n[edge], n[edge])
+            partly = is_open[run[later]]
+            for kind, own in ((1, ~partly), (4, partly)):
+                p, q = pivot[own], later[own]
+                yield rows(kind, np.minimum(gid[p], gid[q]), np.maximum(gid[p], gid[q]), n[p], n[q])
+            out = is_open[run]
+            if told:
+                out[:old] = False
+            yield rows(3, token[out], gid[out], n[out], n[out])
+            # What is known of the last run.
+            if len(start) > 1:
+                first_run = False
+                seen, told, weight = int(size[-1]), bool(is_open[-1]), int(total[-1])
+            else:
+                seen, told, weight = seen + len(token) - old, bool(is_open[-1]), int(total[-1])
+            kept = slice(start[-1], start[-1] + (PIVOTS if told else PIVOTS + 1))
+            held = [token[kept], gid[kept], n[kept], m[kept]]
+        if seen:
+            token, gid, n, _ = held
+            if not told:
+                yield rows(3, token, gid, n, n)
+            yield rows(2, token[:PIVOTS], gid[:PIVOTS], n[:PIVOTS], n[:PIVOTS])
 
     return pairs
 
@@ -212,7 +220,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, join: Join
     )
     # Cell (i, j), i <= j, of a component has the pairs between its parts i and j.
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    texts = texts.join(home, "node").dropDuplicates(["node", "text"])
+    few = home.count() <= BROADCAST_ROWS
+    texts = texts.join(F.broadcast(home) if few else home, "node")
+    texts = texts.dropDuplicates(["node", "text"])
     cells = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cells = cells.select(
         F.xxhash64("component", F.least("part", "other"), F.greatest("part", "other")).alias("cell"),
@@ -253,6 +263,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, join: Join
         columns = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table({"a": columns[0], "b": columns[1]})
 
+    cells = cells.join(placed.select("cell").distinct(), "cell", "left_semi")
     matched = cells.groupBy("cell").cogroup(placed.groupBy("cell"))
     links = staged(matched.applyInArrow(linked, "a long, b long"))
     unstage(home)
@@ -274,17 +285,26 @@ def similar(
     keyed = whole.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("b"))
     same = whole.join(keyed, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), "b")
     same = same.where("a <> b").distinct()
-    grouped = staged(
-        classes.withColumn("gid", F.xxhash64("n", "prefix"))
+    grouped = classes.withColumns(
+        {"h1": F.xxhash64("n", "prefix"), "h2": F.xxhash64(F.lit(1), "prefix", "n")}
     )
+    firsts = grouped.groupBy("h1", "h2").agg(F.min("cid").alias("gid"))
+    grouped = staged(grouped.join(firsts, ["h1", "h2"]))
     members = grouped.select("gid", "cid")
-    sized = grouped.groupBy("gid").agg(
+    sized = grouped.groupBy("gid", "h1", "h2").agg(
         F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
     index = sized.select(F.explode("prefix").alias("token"), "gid", "n", F.col("m").cast("long").alias("m"))
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = index.repartitionByRange(shuffles, "token", "gid").sortWithinPartitions("token", "gid")
-    runs = staged(index.mapInArrow(_run_pairs(join), "kind long, x long, y long, n long"))
+    met = index.mapInArrow(_run_pairs(join), "kind long, x long, y long, n long, k long")
+    # A pair that could link has more elements of its prefixes in common than this.
+    sum_, more_ = F.col("n") + F.col("k"), F.greatest(*[join.after_prefix(F.col(c)) for c in "nk"])
+    needed = F.ceil(join.percent * sum_ / (100 + join.percent)) - more_
+    met = met.withColumns({"n": F.least("n", "k"), "k": F.greatest("n", "k")})
+    runs = staged(met.groupBy("kind", "x", "y", "n", "k").agg(F.count(F.lit(1)).alias("common")))
+    met = runs.where("kind IN (1, 4)").groupBy("x", "y", "n", "k").agg(F.sum("common").alias("common"))
+    met = met.where(F.col("common") >= needed)
     # Places within a group matter only where it has several classes.
     several = sized.where("m > 1").select("gid", F.col("m").cast("long").alias("m"))
     crowded = members.join(several.select("gid"), "gid", "left_semi")
@@ -302,7 +322,7 @@ def similar(
         .where("x <> y")
         .select("x", "y")
     )
-    group_pairs = runs.where("kind = 1").select("x", "y").union(across)
+    group_pairs = met.select("x", "y").union(across)
     group_pairs = group_pairs.union(several.select(F.col("gid").alias("x"), F.col("gid").alias("y")))
     group_pairs = group_pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = staged(_expanded(group_pairs.distinct(), members))
@@ -313,21 +333,36 @@ def similar(
     open_rows = open_rows.union(
         sized.where(F.col("m") > PIVOTS + 1).select(F.col("gid").alias("token"), "gid", "n")
     )
-    member_rows = open_rows.distinct().join(members.select("gid", "cid"), "gid").select("token", "cid", "n")
+    member_rows = open_rows.distinct().join(members.select("gid", "cid"), "gid")
     named = member_rows.join(found.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "token", "cid", "n", F.coalesce("component", "cid").alias("component")
+        "token", "gid", "cid", "n", F.coalesce("component", "cid").alias("component")
     )
     mixed = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = mixed.where("lo <> hi").select("token")
     left = staged(named.join(mixed, "token", "left_semi"))
-    other = left.select("token", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("kb"))
+    other = left.select(
+        "token", *[F.col(c).alias(f"o_{c}") for c in ("gid", "cid", "n", "component")]
+    )
     rest = left.join(other, "token").where(
-        (F.col("cid") < F.col("b"))
-        & (F.col("component") != F.col("kb"))
-        & (join.percent * F.greatest("n", "nb") <= 100 * F.least("n", "nb"))
+        (F.col("cid") < F.col("o_cid"))
+        & (F.col("component") != F.col("o_component"))
+        & (join.percent * F.greatest("n", "o_n") <= 100 * F.least("n", "o_n"))
+    )
+    rest = rest.select(
+        F.col("cid").alias("a"),
+        F.col("o_cid").alias("b"),
+        F.least("gid", "o_gid").alias("x"),
+        F.greatest("gid", "o_gid").alias("y"),
+        F.least("n", "o_n").alias("n"),
+        F.greatest("n", "o_n").alias("k"),
     )
-    rest = rest.select(F.col("cid").alias("a"), "b").distinct()
-    rest = staged(rest.join(pairs, ["a", "b"], "left_anti"))
+    rest = rest.groupBy("a", "b", "x", "y", "n", "k").agg(F.count(F.lit(1)).alias("in_open"))
+    # With what they share in wholly paired runs, all of what their prefixes share.
+    closed = runs.where("kind = 1").select("x", "y", F.col("common").alias("in_closed"))
+    rest = rest.join(closed, ["x", "y"], "left")
+    common = F.col("in_open") + F.coalesce("in_closed", F.lit(0))
+    rest = rest.where((F.col("x") == F.col("y")) | (common >= needed))
+    rest = staged(rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
     more = _verified(rest, docs, key, text, join)
     final = components(
         more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
