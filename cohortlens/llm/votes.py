@@ -97,7 +97,7 @@ def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataF
         .alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         dropped("joined", "[A-Z]+").cast("long").alias("n_capitals"),
-        dropped("line", "[.,;:!?](?= |$)").cast("long").alias("n_stops"),
+        dropped("line", r"[.,;:!?](?= |\z)").cast("long").alias("n_stops"),
         dropped("line", r"(?<![^ ])\p{L}++(?![^ .,;:!?])").cast("long").alias("n_plain"),
     )
 
