@@ -13,9 +13,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from cohortlens.functions import LEADING_YEAR, PART_YEAR
 from cohortlens.operators import blocks, clean, distribution, model, rates, shape
-from cohortlens.plans import answers
+from cohortlens.plans import answers, roundtrips
 from cohortlens.plans.cleaning import clean_survey
-from cohortlens.plans.coded_lineitem import ROW_KEY, coded_lineitem
+from cohortlens.plans.coded_lineitem import ROW_KEY, coded_lineitem, supporting_rule
 from cohortlens.plans.modelling import (
     counted_combinations,
     score_test_rows,
@@ -66,7 +66,7 @@ def view_rate_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned(spark, sf_dir).createOrReplaceTempView(CARDIO.view)
     return spark.sql(
         f"SELECT YEAR, count(*) AS respondents, sum(Has_Disease) AS cases "
-        f"FROM {CARDIO.view} WHERE BP_Risk = 1 GROUP BY YEAR"
+        f"FROM {CARDIO.view} GROUP BY YEAR"
     )
 
 
@@ -196,54 +196,67 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Every registered query: name → (spark, table folder) → DataFrame."""
     added = {} if llm is None else llm.queries() | {"pipeline": corpus_pipeline.run}
-    return added | {
-        "survey_clean": cleaned,
-        "recode_counts": recode_counts,
-        "score_distribution": score_distribution,
-        "year_counts": lambda s, d: clean.quality_report(cleaned(s, d), CARDIO.year),
-        "rate_by_age": lambda s, d: answers.by_age(rate(s, d), CARDIO),
-        "rate_by_bp": lambda s, d: answers.by_pressure(rate(s, d), CARDIO, LANGUAGE),
-        "rate_by_score": lambda s, d: answers.by_score(rate(s, d), CARDIO),
-        "rate_by_year": lambda s, d: answers.by_year(rate(s, d), CARDIO),
-        "rate_age_by_score": lambda s, d: answers.by_age_and_score(rate(s, d), CARDIO),
-        "rates_from_one_pass": rates_from_one_pass,
-        "view_rate_by_year": view_rate_by_year,
-        "quality_by_language": quality_by_language,
-        "labelled_age_rates": lambda s, d: answers.by_age_labelled(rate(s, d), CARDIO, LANGUAGE),
-        "rate_matrix": lambda s, d: answers.age_score_matrix(rate(s, d), CARDIO, LANGUAGE),
-        "bmi_box_stats": lambda s, d: answers.scaled_box(cleaned(s, d), CARDIO, LANGUAGE),
-        "bmi_box_stats_ranked": lambda s, d: answers.scaled_box(
-            cleaned(s, d), CARDIO, LANGUAGE, coded=False
-        ),
-        "hash_sample": hash_sample(100_000),
-        "hash_sample_capped": hash_sample(CAPPED_SAMPLE),
-        "preview_top5": lambda s, d: clean.preview(cleaned(s, d), [CARDIO.year, *ROW_KEY]),
-        "model_frame": model_rows,
-        "split_counts": split_counts,
-        "combination_counts": combination_counts,
-        "auc_by_score": lambda s, d: model.auc_by_score(
-            cleaned(s, d), CARDIO.score, CARDIO.target
-        ),
-        "auc_by_score_ranked": lambda s, d: model.auc_by_score(
-            cleaned(s, d), CARDIO.scaled, CARDIO.target, coded=False
-        ),
-        "threshold_accuracy": lambda s, d: model.threshold_accuracy(
-            cleaned(s, d), CARDIO.score, 2, CARDIO.target
-        ),
-        "model_metrics": model_metrics,
-        "model_coefficients": model_coefficients,
-        "model_predictions": model_predictions,
-        "chunk_numbering": chunk_numbering,
-        "chunk_cap_per_year": chunk_cap_per_year,
-        "keep_available_columns": keep_available_columns,
-        "year_from_name": year_from_name,
-        "lenient_cast": lenient_cast,
-        "align_union": align_union,
-    }
+    return PLAIN | added
+
+
+PLAIN: dict[str, Query] = {
+    "survey_clean": cleaned,
+    "recode_counts": recode_counts,
+    "score_distribution": score_distribution,
+    "year_counts": lambda s, d: clean.quality_report(cleaned(s, d), CARDIO.year),
+    "rate_by_age": lambda s, d: answers.by_age(rate(s, d), CARDIO),
+    "rate_by_bp": lambda s, d: answers.by_pressure(rate(s, d), CARDIO, LANGUAGE),
+    "rate_by_score": lambda s, d: answers.by_score(rate(s, d), CARDIO),
+    "rate_by_year": lambda s, d: answers.by_year(rate(s, d), CARDIO),
+    "rate_age_by_score": lambda s, d: answers.by_age_and_score(rate(s, d), CARDIO),
+    "rates_from_one_pass": rates_from_one_pass,
+    "view_rate_by_year": view_rate_by_year,
+    "quality_by_language": quality_by_language,
+    "labelled_age_rates": lambda s, d: answers.by_age_labelled(rate(s, d), CARDIO, LANGUAGE),
+    "rate_matrix": lambda s, d: answers.age_score_matrix(rate(s, d), CARDIO, LANGUAGE),
+    "bmi_box_stats": lambda s, d: answers.scaled_box(
+        cleaned(s, d), CARDIO, LANGUAGE, CARDIO.scaled_coded
+    ),
+    "bmi_box_stats_ranked": lambda s, d: answers.scaled_box(cleaned(s, d), CARDIO, LANGUAGE),
+    "hash_sample": hash_sample(100_000),
+    "hash_sample_capped": hash_sample(CAPPED_SAMPLE),
+    "preview_top5": lambda s, d: clean.preview(cleaned(s, d), [CARDIO.year, *ROW_KEY]),
+    "model_frame": model_rows,
+    "split_counts": split_counts,
+    "combination_counts": combination_counts,
+    "auc_by_score": lambda s, d: model.auc_by_score(
+        cleaned(s, d), CARDIO.score, CARDIO.target, coded=True
+    ),
+    "auc_by_score_ranked": lambda s, d: model.auc_by_score(
+        cleaned(s, d), CARDIO.scaled, CARDIO.target
+    ),
+    "threshold_accuracy": lambda s, d: model.threshold_accuracy(
+        cleaned(s, d), CARDIO.score, 2, CARDIO.target
+    ),
+    "model_metrics": model_metrics,
+    "model_coefficients": model_coefficients,
+    "model_predictions": model_predictions,
+    "chunk_numbering": chunk_numbering,
+    "chunk_cap_per_year": chunk_cap_per_year,
+    "keep_available_columns": keep_available_columns,
+    "year_from_name": year_from_name,
+    "lenient_cast": lenient_cast,
+    "align_union": align_union,
+    "landed_parquet": lambda s, d: roundtrips.landed(s, d, "parquet"),
+    "landed_csv": lambda s, d: roundtrips.landed(s, d, "csv"),
+    "stored_parquet": lambda s, d: roundtrips.stored(s, d, "parquet"),
+    "stored_csv": lambda s, d: roundtrips.stored(s, d, "csv"),
+    "part_files": roundtrips.part_files,
+    "collected_and_cleaned": roundtrips.collected_and_cleaned,
+    "analysed": roundtrips.analysed,
+    "saved_query": roundtrips.saved_query,
+}
 
 
 # The coded survey and its cleaned form, as SQL over lineitem.
-_SUPPORTING = ", ".join(f'CAST(NULL AS INTEGER) AS "{c}"' for c in CARDIO.columns[9:])
+_SUPPORTING = ", ".join(
+    f'{supporting_rule(i)} AS "{c}"' for i, c in enumerate(CARDIO.columns[9:])
+)
 _CODED = f"""
 coded AS (
   SELECT
@@ -294,6 +307,7 @@ cleaned AS (
 _RATE = "count(*) AS respondent_count, avg(Has_Disease) AS disease_rate"
 _KNOWN_AGE = "_AGEG5YR BETWEEN 1 AND 13"
 _HASH = "CAST('0x' || substr(md5(l_orderkey || ':' || l_linenumber), 1, 8) AS BIGINT)"
+_SAMPLE_HASH = _HASH.replace("md5(", f"md5('{answers.SAMPLE_SALT}:' || ")
 _COMPLETE = " AND ".join(f'"{f}" IS NOT NULL' for f in CARDIO.features)
 _MODEL = f"""{_CLEANED},
 model AS (
@@ -314,7 +328,7 @@ def _sample_sql(limit: int, outcome: str) -> str:
     return f"""WITH {_CLEANED}
 SELECT Has_Disease, BMI_Real, {outcome} AS disease_label
 FROM (
-  SELECT Has_Disease, BMI_Real, {_HASH} AS h FROM cleaned
+  SELECT Has_Disease, BMI_Real, {_SAMPLE_HASH} AS h FROM cleaned
   WHERE BMI_Real > 10 AND BMI_Real < 80
 )
 WHERE h % 1000 < 100 ORDER BY h, Has_Disease, BMI_Real LIMIT {limit}"""
@@ -372,6 +386,14 @@ GROUP BY Has_Disease, n_values, q1, median, q3"""
   (row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1)
     // {CHUNK_SIZE} + 1 AS chunk_no
 FROM orders"""
+    texts = ", ".join(f"""CAST(CAST("{c}" AS INTEGER) AS VARCHAR) || '.0' AS "{c}\"""" for c in CARDIO.columns[1:])
+    drifted = ", ".join(
+        f"""CASE WHEN "YEAR" % 2 = 0 THEN "{c}" END AS "{c}\"""" for c in roundtrips.LATE_COLUMNS
+    )
+    from_files = _CLEANED.replace(
+        "flagged AS (", f"early AS (SELECT * REPLACE ({drifted}) FROM coded),\nflagged AS ("
+    ).replace("FROM coded WHERE", "FROM early WHERE")
+    no_key = "* EXCLUDE (l_orderkey, l_linenumber)"
     added = {} if llm is None else llm.oracle_sql()
     return added | {
         "survey_clean": f"WITH {_CLEANED} SELECT * FROM cleaned",
@@ -395,7 +417,7 @@ SELECT "YEAR" AS year, {_RATE} FROM cleaned WHERE "YEAR" IS NOT NULL GROUP BY "Y
         "rates_from_one_pass": age_by_score,
         "view_rate_by_year": f"""WITH {_CLEANED}
 SELECT "YEAR", count(*) AS respondents, CAST(sum(Has_Disease) AS BIGINT) AS cases
-FROM cleaned WHERE BP_Risk = 1 GROUP BY "YEAR" """,
+FROM cleaned GROUP BY "YEAR" """,
         "quality_by_language": """SELECT lang, count(*) AS respondent_count,
   avg(quality) AS disease_rate, avg(quality) * 100 AS rate_percent
 FROM labels JOIN documents USING (doc_id) WHERE lang IS NOT NULL GROUP BY lang""",
@@ -459,6 +481,19 @@ SELECT l_orderkey, l_linenumber, answer,
   CAST(trunc(TRY_CAST(answer AS DOUBLE)) AS INTEGER) AS "CVDINFR4",
   TRY_CAST(answer AS REAL) AS "_BMI5"
 FROM answers""",
+        "landed_parquet": f'WITH {_CODED} SELECT "YEAR", {texts} FROM coded',
+        "landed_csv": f'WITH {_CODED} SELECT "YEAR", {texts} FROM coded',
+        "stored_parquet": f"WITH {_CLEANED} SELECT {no_key} FROM cleaned",
+        "stored_csv": f"WITH {_CLEANED} SELECT {no_key} FROM cleaned",
+        "part_files": f"""WITH {_CODED}
+SELECT * REPLACE ({drifted}) FROM (SELECT "YEAR", {texts} FROM coded)""",
+        "collected_and_cleaned": f"WITH {from_files} SELECT {no_key} FROM cleaned",
+        "analysed": f"""WITH {from_files}
+SELECT _AGEG5YR AS age_group, Risk_Score AS risk_score, {_RATE} FROM cleaned
+WHERE {_KNOWN_AGE} AND Risk_Score IS NOT NULL GROUP BY _AGEG5YR, Risk_Score""",
+        "saved_query": f"""WITH {_CLEANED}
+SELECT "YEAR", count(*) AS n, CAST(sum(Has_Disease) AS BIGINT) AS cases
+FROM cleaned GROUP BY "YEAR" """,
         "align_union": f"""WITH {_CODED}
 SELECT {early}, l_orderkey, l_linenumber FROM coded WHERE "YEAR" <= 1997
 UNION ALL BY NAME

@@ -6,14 +6,13 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from cohortlens.functions import fast_row_hash
 from cohortlens.operators.rates import rate_grain
 from cohortlens.plans import answers
 from cohortlens.plans.modelling import train_test_report
 from cohortlens.sinks import save_result
-from cohortlens.sources import ROW_KEY, read_cleaned, staged
+from cohortlens.sources import read_cleaned, staged, unstage
 from cohortlens.spec import CARDIO, SurveySpec
 
 # Names of the result tables.
@@ -42,17 +41,11 @@ def analyze(
 ) -> list[str]:
     """Write the result tables and return their names.
 
-    All rates come from one pass over the table. Samples and the train/test split
-    follow the place of a row in the stored Parquet table; CSV has no such place,
-    so there equal rows go together. Without model rows no model table is written.
+    All rates come from one pass over the table. The sample and the train/test split
+    depend on the rows alone, so they are the same for every way of storing them.
+    Without model rows no model table is written.
     """
-    stored = fmt == "parquet"
-    cleaned = read_cleaned(spark, source, spec, view=spec.view, fmt=fmt, row_key=stored)
-    key = ROW_KEY
-    if not stored:
-        texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cleaned.columns]
-        cleaned = cleaned.withColumn("row_text", F.concat_ws(",", *texts))
-        key = ("row_text",)
+    cleaned = read_cleaned(spark, source, spec, view=spec.view, fmt=fmt)
     written: list[str] = []
 
     def save(name, result):
@@ -60,7 +53,8 @@ def analyze(
         written.append(name)
 
     keys = [spec.age, spec.flags[0], spec.score, spec.year]
-    rate = answers.rate_from(staged(rate_grain(cleaned, keys, spec.target)))
+    grain = staged(rate_grain(cleaned, keys, spec.target))
+    rate = answers.rate_from(grain)
     save(AGE, answers.by_age(rate, spec))
     save(AGE_LABELLED, answers.by_age_labelled(rate, spec, language))
     save(PRESSURE, answers.by_pressure(rate, spec, language))
@@ -70,13 +64,14 @@ def analyze(
     save(MATRIX, answers.age_score_matrix(rate, spec, language))
     save(
         SAMPLE,
-        answers.scaled_sample(cleaned, spec, key, sample_size, language, fast_row_hash),
+        answers.scaled_sample(cleaned, spec, None, sample_size, language, fast_row_hash),
     )
-    save(BOX, answers.scaled_box(cleaned, spec, language))
-    report = train_test_report(cleaned, spec, key, language, fast_row_hash)
+    save(BOX, answers.scaled_box(cleaned, spec, language, spec.scaled_coded))
+    report = train_test_report(cleaned, spec, None, language, fast_row_hash)
     if report is not None:
         save(METRICS, report.metrics)
         save(COEFFICIENTS, report.coefficients)
+    unstage(grain)
     return written
 
 

@@ -6,7 +6,6 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortlens.operators.clean import preview, quality_report
 from cohortlens.plans.cleaning import clean_survey
@@ -47,17 +46,18 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--rebalance", action="store_true", help="even out the written files")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("cohortlens-clean").getOrCreate()
-    source = options.input[0] if options.landed else options.input
     per_year = clean(
         spark,
-        source,
+        options.input,
         options.output,
         landed=options.landed,
         fmt=options.format,
         rebalance=options.rebalance,
     )
-    per_year.show()
-    print("rows:", per_year.agg(F.sum("row_count")).first()[0])
+    counts = per_year.collect()  # one row per year
+    for row in counts:
+        print(*row)
+    print("rows:", sum(row["row_count"] for row in counts))
     stored = read_cleaned(spark, options.output, CARDIO, fmt=options.format)
     preview(stored, [CARDIO.year]).show()
 

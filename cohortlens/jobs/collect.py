@@ -6,10 +6,11 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.operators.blocks import number_chunks
-from cohortlens.sinks import ROWS_PER_FILE, write_parts
-from cohortlens.sources import POSITION_COLUMNS, read_yearly, staged
+from cohortlens.sinks import ROWS_PER_FILE, SOURCE, write_parts
+from cohortlens.sources import POSITION_COLUMNS, read_yearly
 from cohortlens.spec import CARDIO, SurveySpec
 
 
@@ -36,8 +37,11 @@ def collect(
         write_parts(raw, target, spec.year, rows_per_file, fmt, rebalance=rebalance)
         return
     file, split, row = POSITION_COLUMNS
-    placed = staged(read_yearly(spark, source, spec, positions=True))
-    numbered = number_chunks(placed, chunk_size, [file], split, row, max_chunks).drop(file)
+    # Places are counted in a scan of no columns; only rows within the cap are kept after.
+    placed = read_yearly(spark, source, spec, positions=True)
+    numbered = number_chunks(placed, chunk_size, [file], split, row, max_chunks)
+    name = F.regexp_extract(F.col(file), "([^/]*)$", 1)
+    numbered = numbered.withColumn(SOURCE, name).drop(file)
     write_parts(numbered, target, spec.year, rows_per_file, fmt, exact_chunks, rebalance)
 
 

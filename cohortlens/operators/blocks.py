@@ -15,8 +15,6 @@ from cohortlens.sources.staging import staged
 SLICE = "slice_no"
 SLICE_ROW = "slice_row"
 CHUNK = "chunk_no"
-# Offsets are one narrow row per slice; beyond this many they are joined by shuffle.
-BROADCAST_SLICES = 100_000
 
 
 def stage_in_order(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -100,12 +98,11 @@ def _earlier(by: Sequence[str], slice_col: str) -> WindowSpec:
 
 
 def _with_offsets(slices: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with the values of their slice; broadcast only if the slices are few."""
+    """Rows with the values of their slice, a table whose size Spark knows as it is written."""
     values = [c for c in offsets.columns if c not in keys]
     offsets = staged(offsets.select(*[F.col(k).alias(f"o_{k}") for k in keys], *values))
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in keys])
-    small = offsets.count() <= BROADCAST_SLICES
-    return slices.join(F.broadcast(offsets) if small else offsets, same)
+    return slices.join(offsets, same)
 
 
 def cap_chunks(df: DataFrame, max_chunks: int, chunk: str = CHUNK) -> DataFrame:

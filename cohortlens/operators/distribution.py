@@ -16,6 +16,25 @@ QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
 # Hash values are cut into this many ranges when a sample has a row limit.
 HASH_RANGES = 1 << 16
+COPY = "copy_no"
+COPY_RUN = 1_000_000  # equal rows that one task unfolds at a time
+
+
+def number_equal_rows(df: DataFrame, columns: Sequence[str], name: str = COPY) -> DataFrame:
+    """The rows of ``columns``, each with its number, from 1, among its equals.
+
+    Together with the columns it is a key that depends on the rows alone, not on
+    files or partitions: equal rows are interchangeable, so it does not matter which
+    has which number. Equal rows are counted before the shuffle, and a count is
+    unfolded in runs, so that frequent rows do not meet in one task.
+    """
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.expr(f"(_n - 1) div {COPY_RUN}")
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    runs = runs.repartition("_run", *columns)
+    first = F.col("_run") * COPY_RUN
+    numbers = F.sequence(first + 1, F.least(first + COPY_RUN, F.col("_n")))
+    return runs.select(*columns, F.explode(numbers).alias(name))
 
 
 def in_open_range(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
@@ -23,14 +42,14 @@ def in_open_range(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
     return df.where((F.col(col) > lo) & (F.col(col) < hi))
 
 
-def box_stats(df: DataFrame, by: str, value: str, coded: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, by: str, value: str, coded: bool = False) -> DataFrame:
     """Quartiles and whiskers per group, outliers left out.
 
     Whiskers end at the farthest values within 1.5 quartile distances of the
     box, and never inside the box. Equal values are counted before anything
-    else. With ``coded`` one task then holds the distinct values of a group, few
-    whatever the row count. Numbers that hardly repeat need ``coded=False``: the
-    same result from running counts, no group in one task; it runs jobs.
+    else, and quartiles come from running counts, no group in one task; that runs
+    jobs. With ``coded``, for values known to be few whatever the row count, one
+    task holds the distinct values of a group instead: the same result sooner.
     """
     counted = (
         df.where(F.col(by).isNotNull() & F.col(value).isNotNull())
@@ -41,7 +60,7 @@ def box_stats(df: DataFrame, by: str, value: str, coded: bool = True) -> DataFra
         points = F.array(*[F.lit(p) for p in QUARTILES])
         quartiles = counted.groupBy(by).agg(F.percentile(value, points, F.col("n")).alias("q"))
     else:
-        counted = running_total(counted, [by], [value], "n", "before")
+        counted = staged(running_total(counted, [by], [value], "n", "before"))
         quartiles = _ranked_quartiles(counted, by, value)
     reach = F.lit(WHISKER) * (F.col("q")[2] - F.col("q")[0])
     inside = F.col(value).between(F.col("q")[0] - reach, F.col("q")[2] + reach)
@@ -108,9 +127,8 @@ def hash_sample(
     The same rows come back whatever the partitioning; rows of equal key stay
     together. With ``limit``, the rows of lowest hash are kept, ties settled by
     the output columns. The hash ranges that can hold them are found first from
-    one count per range, and equal rows travel as one row with a count, so the
-    final sort sees little more than ``limit`` rows even if one key is very
-    frequent.
+    one count per range, and equal rows travel as one row with a count; the cut
+    among what is left is made by running counts, in no single task. Runs jobs.
     """
     hashed = df.select(hasher(key, salt).alias("_hash"), *columns)
     sampled = hashed.where(bucket_of(F.col("_hash")) < per_mille)
@@ -127,17 +145,12 @@ def hash_sample(
         .agg(F.max("_range").alias("last"))
     )
     candidates = sampled.where(F.expr(f"_hash div {span}") <= last_range.scalar())
-    distinct = (
-        candidates.groupBy("_hash", *columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("_hash", *columns)
-        .limit(limit)
-    )
-    so_far = Window.orderBy("_hash", *columns).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.lit(limit) - F.coalesce(F.sum("n").over(so_far), F.lit(0))
+    distinct = candidates.groupBy("_hash", *columns).agg(F.count(F.lit(1)).alias("n"))
+    placed = running_total(distinct, [], ["_hash", *columns], "n", "_earlier")
+    room = F.lit(limit) - F.col("_earlier")
     return (
-        distinct.withColumn("take", F.least(F.col("n"), room))
+        placed.withColumn("take", F.least(F.col("n"), room))
         .where(F.col("take") > 0)
-        .select(*columns, F.explode(F.sequence(F.lit(1), F.col("take"))).alias("_copy"))
+        .select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("take"))).alias("_copy"))
         .drop("_copy")
     )

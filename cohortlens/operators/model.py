@@ -180,11 +180,11 @@ def metrics(scored: DataFrame, input_rows: int, weight: str | None = None) -> Da
     return scored.sparkSession.createDataFrame(values, "metric string, value double")
 
 
-def auc_by_score(df: DataFrame, score: str, label: str, coded: bool = True) -> DataFrame:
+def auc_by_score(df: DataFrame, score: str, label: str, coded: bool = False) -> DataFrame:
     """Exact area under the ROC curve of a score, ties counted half.
 
-    The running sum is over distinct scores, not rows. Scores that hardly repeat
-    need ``coded=False``, which sums in slices; it runs jobs.
+    The running sum is over distinct scores, in slices; that runs jobs. With
+    ``coded``, for scores known to take few values, one task sums over them instead.
     """
     by_score = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())

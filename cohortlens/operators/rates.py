@@ -53,7 +53,11 @@ def rate_grain(df: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
     Every rate over a subset of ``keys`` follows from it by ``roll_up`` without
     reading the rows again. Its size is the product of the code domains.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(target).alias("positive"))
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(target).alias("known"),
+        F.sum(target).alias("positive"),
+    )
 
 
 def roll_up(
@@ -64,17 +68,18 @@ def roll_up(
     percent: bool = False,
     descending: bool = False,
 ) -> DataFrame:
-    """The result of ``rate_by`` computed from a ``rate_grain``.
-
-    The target is never NULL in the cleaned table, so its mean is sum over count.
-    """
+    """The result of ``rate_by`` computed from a ``rate_grain``, NULL targets included."""
     if where is not None:
         grain = grain.where(where)
     rates = (
         grain.where(present(keys))
         .groupBy(*keys)
-        .agg(F.sum("n").alias(COUNT), F.sum("positive").alias("positive"))
-        .withColumn(RATE, F.col("positive") / F.col(COUNT))
+        .agg(
+            F.sum("n").alias(COUNT),
+            F.sum("known").alias("known"),
+            F.sum("positive").alias("positive"),
+        )
+        .withColumn(RATE, F.try_divide("positive", "known"))
     )
     return _finish(rates, keys, alias, percent, descending)
 
@@ -109,8 +114,12 @@ def matrix_of(
 ) -> DataFrame:
     """Rates of two keys as a table: ``row`` down, ``col`` across, NULL for missing pairs.
 
-    Listing the column values spares the job that would look for them.
+    Listing the column values spares the job that would look for them; a value that
+    is not listed is an error.
     """
+    listed = F.col(col).isNull() | F.col(col).isin(list(values))
+    message = F.concat(F.lit(f"{col} has a value that is not listed: "), F.col(col).cast("string"))
+    rates = rates.withColumn(col, F.when(listed, F.col(col)).otherwise(F.raise_error(message)))
     cell = F.first(F.col(RATE) * 100 if percent else F.col(RATE))
     cells = rates.groupBy(row).pivot(col, list(values)).agg(cell).orderBy(row)
     return cells.select(row, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values])

@@ -23,6 +23,8 @@ PRESSURE_GROUP = "blood_pressure_group"
 SCORE_NAME = "risk_score"
 YEAR_NAME = "year"
 OUTCOME_LABEL = "disease_label"
+# Keeps the sample apart from the train/test split, which hashes the same rows.
+SAMPLE_SALT = "sample"
 
 
 def rate_on(spec: SurveySpec, rows: DataFrame) -> Rate:
@@ -86,20 +88,27 @@ def age_score_matrix(rate: Rate, spec: SurveySpec, language: str = "ko") -> Data
 def scaled_sample(
     cleaned: DataFrame,
     spec: SurveySpec,
-    key: Sequence[str],
+    key: Sequence[str] | None = None,
     limit: int | None = 100_000,
     language: str = "ko",
     hasher: Hasher = row_hash,
 ) -> DataFrame:
-    """A tenth of the outcome/number pairs inside the open range, at most ``limit``."""
+    """A tenth of the outcome/number pairs inside the open range, at most ``limit``.
+
+    Chosen by the hash of ``key``; without one, rows are told apart by their values
+    and their number among equals, the same however the table is stored.
+    """
     inside = distribution.in_open_range(cleaned, spec.scaled, *spec.scaled_range)
     columns = [spec.target, spec.scaled]
-    sample = distribution.hash_sample(inside, key, columns, 100, limit, hasher=hasher)
+    if key is None:
+        inside = distribution.number_equal_rows(inside, columns)
+        key = [*columns, distribution.COPY]
+    sample = distribution.hash_sample(inside, key, columns, 100, limit, SAMPLE_SALT, hasher)
     return rates.label_codes(sample, spec.target, spec.labels[language].outcome, OUTCOME_LABEL)
 
 
 def scaled_box(
-    cleaned: DataFrame, spec: SurveySpec, language: str = "ko", coded: bool = True
+    cleaned: DataFrame, spec: SurveySpec, language: str = "ko", coded: bool = False
 ) -> DataFrame:
     inside = distribution.in_open_range(cleaned, spec.scaled, *spec.scaled_range)
     box = distribution.box_stats(inside, spec.target, spec.scaled, coded)

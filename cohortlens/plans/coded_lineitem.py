@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.spec import CARDIO, SUPPORTING_COLUMNS
 
+
+def supporting_rule(i: int) -> str:
+    """Codes of the ``i``-th supporting column, some of them NULL, in any SQL."""
+    codes = f"CAST((l_orderkey * {i + 1} + l_linenumber) % {i + 5} + 1 AS INTEGER)"
+    return f"CASE WHEN l_suppkey % {i + 7} = 0 THEN NULL ELSE {codes} END"
+
+
 ROW_KEY = ("l_orderkey", "l_linenumber")
 
 RULES = {
@@ -27,11 +34,11 @@ RULES = {
     "SEX": "if(l_orderkey % 50 = 0, 9, int(l_orderkey % 2 + 1))",
     "_AGEG5YR": "int(l_orderkey % 14 + 1)",
     "_BMI5": "if(rint(l_tax * 100) = 8, NULL, float(int(floor(l_extendedprice / 12))))",
-    **dict.fromkeys(SUPPORTING_COLUMNS, "int(NULL)"),
+    **{c: supporting_rule(i) for i, c in enumerate(SUPPORTING_COLUMNS)},
 }
 
 
 def coded_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw survey columns (supporting ones NULL) plus the row key."""
+    """Raw survey columns plus the row key."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return lines.selectExpr(*[f"{RULES[c]} AS {c}" for c in CARDIO.columns], *ROW_KEY)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.blocks import CHUNK
+from cohortlens.sources.staging import hadoop_path
 
 ROWS_PER_FILE = 10_000_000
+SOURCE = "source_name"
 
 
 def write_parts(
@@ -24,15 +26,21 @@ def write_parts(
     Every task writes its own rows straight to the target file system. A split of
     a wide extract leaves little once narrowed; ``rebalance`` shuffles the narrow
     rows by year into full-sized files and splits a year too large for one task.
-    With ``by_chunk`` the rows carry block numbers and each block becomes one file
-    in its own directory; a block is at most one chunk, so no task gets more.
+    With ``by_chunk`` the rows carry block numbers, and source files if blocks are
+    counted per file, and each block
+    becomes one file in its own directory; a block is at most one chunk, so no task
+    gets more. Blocks landed before of the years written now are removed first.
     """
     folders = [year]
     if by_chunk:
-        folders.append(CHUNK)
+        for row in df.select(year).distinct().collect():  # years are few
+            name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
+            where, files = hadoop_path(df.sparkSession, f"{uri}/{year}={name}")
+            files.delete(where, True)
+        folders += [c for c in (SOURCE, CHUNK) if c in df.columns]
         df = df.repartition(*folders)
     else:
-        df = df.drop(CHUNK)
+        df = df.drop(CHUNK, SOURCE)
         if rebalance:
             df = df.hint("rebalance", F.col(year))
     writer = (

@@ -9,22 +9,18 @@ swapping columns.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import re
+import warnings
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A first-row read stops after the first buffer, however large the file, but the
-# driver starts one per file; a scan starts once, but reads every byte. These rates
-# decide which is cheaper. Few files are always read one by one.
-PROBE_FILES = 32
-PROBE_SECONDS = 0.05
-SCAN_BYTES_PER_CORE_SECOND = 100_000_000
-
 
 @dataclass(frozen=True)
 class FileLayout:
@@ -65,29 +61,52 @@ def listed_files(spark: SparkSession, paths: Sequence[str], glob: str | None) ->
     return listed.select("path", F.col("_metadata.file_path").alias("uri"), "length")
 
 
-def first_lines(
-    spark: SparkSession, paths: Sequence[str], glob: str | None, wanted: Sequence[str]
-) -> DataFrame:
-    """``uri`` and ``header`` of each file whose header names a wanted column.
+def escaped(path: str) -> str:
+    """A listed path as a pattern that matches only itself."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+@contextmanager
+def _one_file_a_task(spark: SparkSession) -> Iterator[None]:
+    """Scans started within give every file a task, and hand over one row at a time."""
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    settings = {
+        "spark.sql.files.openCostInBytes": limit,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
-    Only lines that mention a wanted name reach the aggregation, which keeps it
-    to about one row per file.
+
+def first_lines(spark: SparkSession, paths: Sequence[str], glob: str | None) -> dict[str, str]:
+    """The first line that is not blank of each file, by path; files without one are left out.
+
+    One job with a task for each file, which stops after the first line: whatever the
+    size of the files, about one buffer of each is read.
     """
-    reader = spark.read
+    # Files in this mode are not split, and blank lines are passed over as in any CSV scan.
+    reader = spark.read.schema("line string").option("multiLine", True)
+    reader = reader.option("sep", "\x01").option("quote", "").option("mode", "PERMISSIVE")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    mentions = reduce(or_, (F.col("value").contains(name) for name in wanted))
-    return (
-        reader.text(list(paths))
-        .where((F.col("_metadata.file_block_start") == 0) & mentions)
-        .select(
-            F.col("_metadata.file_path").alias("uri"),
-            "value",
-            F.monotonically_increasing_id().alias("line"),
-        )
-        .groupBy("uri")
-        .agg(F.min_by("value", "line").alias("header"))
-    )
+    lines = reader.csv(list(paths)).select(F.col("_metadata.file_path").alias("uri"), "line")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            line = batch.column(1)[0].as_py()
+            if line is not None and line.lstrip("\ufeff").strip():
+                yield batch
+                return
+
+    with _one_file_a_task(spark):
+        found = lines.mapInArrow(first, lines.schema).collect()
+    return {unquote(row.uri): row.line for row in found}
 
 
 def header_groups(
@@ -98,28 +117,25 @@ def header_groups(
 ) -> list[FileLayout]:
     """Input files grouped by where their header puts the wanted columns.
 
-    One layout for all files keeps the paths as given; otherwise file names (never
-    file contents) reach the driver, which lists them for any scan anyway.
+    Files with nothing but blank lines are passed over; files without any wanted
+    column are reported by a warning. One layout for all files keeps the paths as given; otherwise
+    file names (never file contents) reach the driver, which lists them for any scan.
     """
     paths = as_paths(paths)
-    files = listed_files(spark, paths, glob)
-    size = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
-    if not size.n:
+    if listed_files(spark, paths, glob).isEmpty():
         raise ValueError(f"no input files in {paths}")
-    scan_seconds = size.bytes / SCAN_BYTES_PER_CORE_SECOND / spark.sparkContext.defaultParallelism
-    if size.n <= PROBE_FILES or size.n * PROBE_SECONDS <= scan_seconds:
-        found = ((row.path, _first_row(spark, row.path)) for row in files.toLocalIterator())
-    else:
-        headers = first_lines(spark, paths, glob, wanted)
-        found = files.join(headers, "uri", "left").select("path", "header").toLocalIterator()
     grouped: dict[tuple[str, ...], list[str]] = {}
-    for path, header in found:
+    for path, header in first_lines(spark, paths, glob).items():
         grouped.setdefault(layout_names(header, wanted), []).append(path)
-    if len(grouped) == 1:
-        return [FileLayout(next(iter(grouped)), tuple(paths))]
-    return [FileLayout(names, tuple(sorted(grouped[names]))) for names in sorted(grouped)]
-
-
-def _first_row(spark: SparkSession, path: str) -> str | None:
-    row = spark.read.text(path).first()
-    return row.value if row else None
+    strange = sorted(p for names, own in grouped.items() if not {*names} & {*wanted} for p in own)
+    if strange:
+        warnings.warn(
+            f"{len(strange)} files name no survey column, {strange[:5]} among them", stacklevel=2
+        )
+    if len(grouped) <= 1:
+        names = next(iter(grouped), layout_names("", wanted))
+        return [FileLayout(names, tuple(paths))]
+    return [
+        FileLayout(names, tuple(escaped(p) for p in sorted(grouped[names])))
+        for names in sorted(grouped)
+    ]

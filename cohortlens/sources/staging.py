@@ -20,7 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def _path_of(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """A path of any file system Spark reaches, and that file system."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -35,7 +36,7 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    where, files = _path_of(spark, path)
+    where, files = hadoop_path(spark, path)
     df.write.parquet(path)
     files.deleteOnExit(where)
     kept = spark.read.schema(df.schema).parquet(path)
@@ -46,5 +47,5 @@ def staged(df: DataFrame) -> DataFrame:
 def unstage(*frames: DataFrame) -> None:
     """Remove staged tables that no later action reads."""
     for df in frames:
-        where, files = _path_of(df.sparkSession, df.staged_at)
+        where, files = hadoop_path(df.sparkSession, df.staged_at)
         files.delete(where, True)

@@ -94,15 +94,18 @@ def read_yearly(
 
 
 def read_parts(
-    spark: SparkSession, uri: str, spec: SurveySpec, fmt: str = "parquet"
+    spark: SparkSession, uri: str | Sequence[str], spec: SurveySpec, fmt: str = "parquet"
 ) -> DataFrame:
-    """Parts landed by ``write_parts``: text columns, year from the directory."""
+    """Parts of one or more folders that ``write_parts`` landed: text columns, year from
+    the directory.
+    """
     answers = [T.StructField(c, T.StringType()) for c in spec.columns if c != spec.year]
     schema = T.StructType([*answers, T.StructField(spec.year, T.IntegerType())])
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
-    return reader.format(fmt).load(uri).select(*spec.columns)
+    frames = [reader.format(fmt).load(folder).select(*spec.columns) for folder in as_paths(uri)]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_cleaned(

@@ -47,7 +47,6 @@ class SurveySpec:
     scaled: str
     recodes: tuple[Recode, ...]
     score: str
-    score_values: tuple[int, ...]
     age: str
     age_range: tuple[int, int]
     scaled_range: tuple[int, int]
@@ -55,12 +54,19 @@ class SurveySpec:
     sex_codes: tuple[int, ...]
     features: tuple[str, ...]
     view: str
+    #: The scaled number has few distinct values however many rows there are.
+    scaled_coded: bool
     labels: MappingProxyType = field(repr=False)
 
     @property
     def flags(self) -> tuple[str, ...]:
         return tuple(rule.output for rule in self.recodes)
 
+    @property
+    def score_values(self) -> tuple[int, ...]:
+        """Every value the score can take: the number of flags that are set."""
+        return tuple(range(len(self.recodes) + 1))
+
     @property
     def derived(self) -> tuple[str, ...]:
         return (self.target, self.scaled, *self.flags, self.score)
@@ -191,7 +197,6 @@ CARDIO = SurveySpec(
         Recode("Smoking_Risk", "SMOKE100", 1, 2),
     ),
     score="Risk_Score",
-    score_values=(0, 1, 2, 3, 4),
     age="_AGEG5YR",
     age_range=(1, 13),
     scaled_range=(10, 80),
@@ -207,5 +212,6 @@ CARDIO = SurveySpec(
         "BMI_Real",
     ),
     view="cardio",
+    scaled_coded=True,
     labels=MappingProxyType({"ko": KOREAN, "en": ENGLISH}),
 )

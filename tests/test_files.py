@@ -72,30 +72,36 @@ def test_path_forms(spark, parts):
     assert values(read_survey(spark, names[:1], CARDIO), *SHOWN) == EXPECTED[1:3]
 
 
-def test_headers_found_by_scan(spark, tmp_path, monkeypatch):
-    """Beyond a few files the headers come from one distributed scan."""
-    monkeypatch.setattr(header_module, "PROBE_FILES", 3)
-    for i in range(6):
+@pytest.mark.parametrize("n", [3, 40])
+def test_headers_of_few_and_many_files(spark, tmp_path, n):
+    """Blank first lines, byte order marks and odd names, alike for any number of files."""
+    for i in range(n):
         columns = "SEX,CVDINFR4" if i % 2 else "CVDINFR4,junk,SEX"
         cells = f"{i},1" if i % 2 else f"1,SEX,{i}"
-        write(tmp_path, f"part_2011_{i}.csv", f"{columns}\n{cells}\n")
-    write(tmp_path, "part_2011_8.csv", "a,b\n5,6\n")
-    write(tmp_path, "part_2011_9.csv", "")
-    monkeypatch.setattr(header_module, "_first_row", None)
-    groups = header_groups(spark, str(tmp_path), CARDIO.columns)
-    assert sorted(len(g.paths) for g in groups) == [1, 3, 3]
-    found = values(read_survey(spark, str(tmp_path), CARDIO), "SEX", "CVDINFR4")
-    assert found == [(None, None), *[(str(i), "1") for i in range(6)]]
-
-
-def test_large_files_are_probed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(header_module, "PROBE_FILES", 0)
-    monkeypatch.setattr(header_module, "SCAN_BYTES_PER_CORE_SECOND", 1e-6)
-    monkeypatch.setattr(header_module, "first_lines", None)
-    write(tmp_path, "part_2011_1.csv", "SEX,CVDINFR4\n1,2\n")
-    write(tmp_path, "part_2011_2.csv", "CVDINFR4,SEX\n2,1\n")
-    found = values(read_survey(spark, str(tmp_path), CARDIO), "SEX", "CVDINFR4")
-    assert found == [("1", "2"), ("1", "2")]
+        name = ("part_2011_%d[a].csv", "part_2011_{%d}.csv", "part_2011_%d+ *.csv")[i % 3] % i
+        write(tmp_path, name, "\n" * (i % 3 == 0) + f"{columns}\n{cells}\n")
+    write(tmp_path, "part_2011_98.csv", "a,b\n5,6\n")
+    write(tmp_path, "part_2011_99.csv", "\n\n")
+    with pytest.warns(UserWarning, match="1 files name no survey column"):
+        groups = header_groups(spark, str(tmp_path), CARDIO.columns)
+    assert sorted(len(g.paths) for g in groups) == sorted([1, n // 2, n - n // 2])
+    with pytest.warns(UserWarning):
+        found = values(read_survey(spark, str(tmp_path), CARDIO), "SEX", "CVDINFR4")
+    want = [(None, None), *[(str(i), "1") for i in range(n)]]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_header_of_a_large_file_takes_one_task(spark, tmp_path):
+    """A file of many splits is not read to its end."""
+    write(tmp_path, "part_2011_1.csv", "SEX,CVDINFR4\n" + "1,2\n" * 200_000)
+    write(tmp_path, "part_2011_2.csv", "CVDINFR4,SEX\n" + "2,1\n" * 200_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = header_module.first_lines(spark, [str(tmp_path)], None)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(found.values()) == ["CVDINFR4,SEX", "SEX,CVDINFR4"]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
 
 
 def test_one_header_keeps_paths(spark, tmp_path):
@@ -114,7 +120,8 @@ def test_layout_names():
 def test_wrong_grouping_fails_instead_of_swapping(spark, tmp_path, monkeypatch):
     write(tmp_path, "part_2011_1.csv", "SEX,CVDINFR4\n1,2\n")
     write(tmp_path, "part_2011_2.csv", "CVDINFR4,SEX\n1,2\n")
-    monkeypatch.setattr(header_module, "_first_row", lambda *_: "SEX,CVDINFR4")
+    found = {f"file:{tmp_path}/part_2011_{i}.csv": "SEX,CVDINFR4" for i in (1, 2)}
+    monkeypatch.setattr(header_module, "first_lines", lambda *_: found)
     with pytest.raises(Exception, match="CSV header does not conform"):
         read_survey(spark, str(tmp_path), CARDIO).collect()
 
@@ -240,3 +247,18 @@ def test_save_query_returns_and_stores(spark, tmp_path):
     files = list((tmp_path / "doubled").glob("*.csv"))
     assert len(files) == 1
     assert sorted(files[0].read_text().split()) == ["0,0", "1,2", "2,4", "id,double"]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_every_landed_folder_is_cleaned(spark, tmp_path, fmt):
+    from cohortlens.jobs import clean
+
+    folders = []
+    for i, year in enumerate((2011, 2012)):
+        source = tmp_path / f"in{i}"
+        source.mkdir()
+        write(source, f"part_{year}_1.csv", "SEX,CVDINFR4\n1,1\n2,2\n")
+        folders.append(str(tmp_path / f"landed{i}"))
+        sinks.write_parts(read_survey(spark, str(source), CARDIO), folders[-1], fmt=fmt)
+    counts = clean.clean(spark, folders, str(tmp_path / "out"), landed=fmt).collect()
+    assert {r["YEAR"]: r["row_count"] for r in counts} == {2011: 2, 2012: 2}

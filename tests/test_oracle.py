@@ -35,14 +35,14 @@ def rows(records):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {
+    assert set(contract.PLAIN) - set(ORACLE) == {
         "model_metrics",
         "model_coefficients",
         "model_predictions",
     }
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(contract.PLAIN.keys() & ORACLE))
 def test_query_equals_oracle(spark, duck, name):
     found = QUERIES[name](spark, TABLES)
     expected = duck.execute(ORACLE[name])

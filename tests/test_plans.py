@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 TABLES = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
+QUERIES = {n: q for n, q in contract.queries().items() if n in contract.PLAIN}
 
 
 def plan(df, run=False):
@@ -57,10 +57,12 @@ def test_box_statistics_scan_once(spark):
     assert "ReusedExchange" in shown
 
 
-def test_limited_sample_has_no_join(spark):
-    shown = plan(QUERIES["hash_sample"](spark, TABLES))
-    assert "Join" not in shown
-    assert "TakeOrderedAndProject(limit=100000" in shown
+def test_limited_sample_and_safe_forms_have_no_task_for_all(spark):
+    """No single partition but over slices: one row each."""
+    for name in ("hash_sample", "bmi_box_stats_ranked", "auc_by_score_ranked"):
+        shown = plan(QUERIES[name](spark, TABLES))
+        assert "TakeOrdered" not in shown and "CollectLimit" not in shown
+        assert "percentile" not in shown
 
 
 def test_combinations_are_counted_before_the_shuffle(spark):

@@ -173,9 +173,23 @@ def test_chunks_equal_brute_force(spark, parts, cap):
     assert sorted((tuple(r) for r in found.collect()), key=key) == expected
 
 
-def test_chunks_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(blocks, "BROADCAST_SLICES", 0)
-    data = [(g, k) for g in (1, 2) for k in range(50)]
-    df = spark.createDataFrame(data, "g int, k int").repartition(4)
-    found = blocks.number_chunks(blocks.stage_in_order(df, ["g"], ["k"]), 7, ["g"])
-    assert rows(found) == numbered(data, 7)
+def test_equal_rows_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(distribution, "COPY_RUN", 3)
+    data = [(1, "a")] * 10 + [(1, None)] * 4 + [(2, "b")]
+    df = spark.createDataFrame(data, "k int, t string").repartition(5)
+    found = distribution.number_equal_rows(df, ["k", "t"]).collect()
+    want = [(1, "a", i) for i in range(1, 11)] + [(1, None, i) for i in range(1, 5)] + [(2, "b", 1)]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
+
+
+def test_roll_up_with_unknown_targets(spark):
+    data = [(1, 1, 1), (1, 2, None), (1, 2, 0), (2, 1, None), (None, 1, 1)]
+    df = spark.createDataFrame(data, "a int, b int, y int")
+    rolled = rates.roll_up(rates.rate_grain(df, ["a", "b"], "y"), ["a"])
+    assert rows(rolled.na.fill(-1.0)) == rows(rates.rate_by(df, ["a"], "y").na.fill(-1.0))
+
+
+def test_matrix_refuses_values_that_are_not_listed(spark):
+    df = spark.createDataFrame([(1, 5, 1), (1, 0, 0)], "a int, s int, y int")
+    with pytest.raises(Exception, match="not listed: 5"):
+        rates.rate_matrix(df, "a", "s", [0, 1], "y", "s_").collect()
\ No newline at end of file
