@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.llm import text_batches
 from cohortlens.llm.tokens import VOCABULARY, encoded_slices
 from cohortlens.sources.staging import staged, unstage
 
@@ -44,11 +45,11 @@ PIECES = (
 
 def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The x >= 0 with least |a x - b|, by the active-set method."""
-    gram, moment = a.T @ a, a.T @ b
     x = np.zeros(a.shape[1])
     used = np.zeros(a.shape[1], bool)
-    slope = moment.copy()
-    small = 1e-9 * max(1.0, float(np.abs(b).max(initial=0)))
+    slope = a.T @ b
+    ridge = 1e-9 * max(1.0, float(np.abs(a).max(initial=0)) ** 2)  # combinations may be dependent
+    small = 1e-6 * max(1.0, float(np.abs(b).max(initial=0)))
     for _ in range(3 * a.shape[1]):
         waiting = np.where(used, -np.inf, slope)
         pick = int(waiting.argmax())
@@ -57,7 +58,8 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         used[pick] = True
         while True:
             at = np.flatnonzero(used)
-            trial = np.linalg.lstsq(gram[np.ix_(at, at)], moment[at], rcond=None)[0]
+            own = a[:, at]
+            trial = np.linalg.solve(own.T @ own + ridge * np.eye(len(at)), own.T @ b)
             if trial.min() > 0:
                 break
             falling = trial <= 0
@@ -69,7 +71,7 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 break
         x[:] = 0
         x[at] = np.maximum(trial, 0)
-        slope = moment - gram[:, at] @ x[at]
+        slope = a.T @ (b - a[:, at] @ x[at])
     return x
 
 
@@ -181,6 +183,7 @@ def packed(
 ) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
+    text_batches(spark)
     raw = staged(encoded(docs, key, text, vocabulary))
     rows = raw.agg(F.count(F.lit(1)), F.max("own")).first()
     n_slices = max(1, -(-rows[0] // SLICE_ROWS))
