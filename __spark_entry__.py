@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -21,7 +22,7 @@ from cohortlens.plans.modelling import (
     score_test_rows,
     train_test_report,
 )
-from cohortlens.sources import with_file_year
+from cohortlens.sources import staged, with_file_year
 from cohortlens.spec import CARDIO
 
 try:
@@ -79,7 +80,17 @@ def rates_from_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     marks = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return rates.rate_by(marks.join(texts, "doc_id"), ["lang"], "quality", percent=True)
+    return rates.rate_by(
+        marks.join(texts, "doc_id"), ["lang"], "quality", percent=True, rate="quality_rate"
+    )
+
+
+def quality_by_source_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates over all documents, of which many have no label, from a finer grain."""
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source")
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    grain = rates.rate_grain(texts.join(marks, "doc_id", "left"), ["lang", "source"], "quality")
+    return rates.roll_up(grain, ["source"], rate="quality_rate")
 
 
 def hash_sample(limit: int) -> Query:
@@ -116,6 +127,28 @@ def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_test_rows(cleaned(spark, sf_dir), CARDIO, ROW_KEY)
 
 
+def score_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model of the outcome on the score alone, fitted to the end, and its quality."""
+    spec = dataclasses.replace(CARDIO, features=(CARDIO.score,))
+    counted = staged(counted_combinations(cleaned(spark, sf_dir), spec, ROW_KEY))
+    fitted = model.fit_logistic(
+        counted.where(model.TRAIN), spec.features, max_iter=200, weight=model.WEIGHT, tol=1e-13
+    )
+    found = model.coefficients(fitted, spec.features, {CARDIO.score: "score"}, "label")
+    test = model.score(fitted, counted.where(~F.col(model.TRAIN)))
+    hits = F.when(F.col("prediction") == F.col(model.LABEL), F.col(model.WEIGHT)).otherwise(0)
+    quality = test.agg(
+        F.sum(model.WEIGHT).cast("long").alias("test_rows"), F.sum(hits).cast("long").alias("correct")
+    )
+    return found.join(quality, F.lit(True), "left").select(
+        "feature",
+        F.round("coefficient", 4).alias("coefficient"),
+        F.round("odds_ratio", 4).alias("odds_ratio"),
+        "test_rows",
+        "correct",
+    )
+
+
 def orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return orders.select(F.year("o_orderdate").alias("order_year"), "o_orderkey")
@@ -212,6 +245,7 @@ PLAIN: dict[str, Query] = {
     "rates_from_one_pass": rates_from_one_pass,
     "view_rate_by_year": view_rate_by_year,
     "quality_by_language": quality_by_language,
+    "quality_by_source_rolled": quality_by_source_rolled,
     "labelled_age_rates": lambda s, d: answers.by_age_labelled(rate(s, d), CARDIO, LANGUAGE),
     "rate_matrix": lambda s, d: answers.age_score_matrix(rate(s, d), CARDIO, LANGUAGE),
     "bmi_box_stats": lambda s, d: answers.scaled_box(
@@ -236,6 +270,7 @@ PLAIN: dict[str, Query] = {
     "model_metrics": model_metrics,
     "model_coefficients": model_coefficients,
     "model_predictions": model_predictions,
+    "score_model": score_model,
     "chunk_numbering": chunk_numbering,
     "chunk_cap_per_year": chunk_cap_per_year,
     "keep_available_columns": keep_available_columns,
@@ -319,6 +354,49 @@ model AS (
 )"""
 
 
+def _newton(rounds: int = 25, penalty: float = 0.01) -> str:
+    """A logistic fit on the standardised score by Newton steps, one after another."""
+    steps = []
+    for i in range(1, rounds + 1):
+        steps.append(
+            f"""g{i} AS MATERIALIZED (
+  SELECT b0, b1, sum(n * (p - label)) / sum(n) AS d0,
+    sum(n * (p - label) * x) / sum(n) + {penalty} * b1 AS d1,
+    sum(n * p * (1 - p)) / sum(n) AS h00, sum(n * p * (1 - p) * x) / sum(n) AS h01,
+    sum(n * p * (1 - p) * x * x) / sum(n) + {penalty} AS h11
+  FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x))) AS p FROM grouped, fit{i - 1})
+  GROUP BY b0, b1
+),
+fit{i} AS MATERIALIZED (
+  SELECT b0 - (h11 * d0 - h01 * d1) / (h00 * h11 - h01 * h01) AS b0,
+    b1 - (h00 * d1 - h01 * d0) / (h00 * h11 - h01 * h01) AS b1
+  FROM g{i}
+)"""
+        )
+    return ",\n".join(steps)
+
+
+_SCORE_MODEL = f"""{_CLEANED},
+known AS (
+  SELECT CAST(Has_Disease AS DOUBLE) AS label, CAST(Risk_Score AS DOUBLE) AS score,
+    {_HASH} % 1000 < 800 AS is_train
+  FROM cleaned
+  WHERE Risk_Score IS NOT NULL AND {_KNOWN_AGE} AND BMI_Real BETWEEN 10 AND 80 AND SEX IN (1, 2)
+),
+scale AS (SELECT stddev_samp(score) AS s FROM known WHERE is_train),
+grouped AS MATERIALIZED (
+  SELECT label, score / s AS x, CAST(count(*) AS DOUBLE) AS n
+  FROM known, scale WHERE is_train GROUP BY label, score, s
+),
+fit0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1),
+{_newton()},
+final AS (SELECT b0, b1 / s AS b1 FROM fit25, scale)
+SELECT 'Risk_Score' AS feature, round(any_value(b1), 4) AS coefficient,
+  round(exp(any_value(b1)), 4) AS odds_ratio, count(*) AS test_rows,
+  count(*) FILTER (WHERE CAST(b0 + b1 * score > 0 AS INTEGER) = label) AS correct
+FROM known, final WHERE NOT is_train"""
+
+
 def _labelled(column: str, labels) -> str:
     cases = " ".join(f"WHEN {code} THEN '{text}'" for code, text in labels.items())
     return f"CASE {column} {cases} END"
@@ -419,8 +497,11 @@ SELECT "YEAR" AS year, {_RATE} FROM cleaned WHERE "YEAR" IS NOT NULL GROUP BY "Y
 SELECT "YEAR", count(*) AS respondents, CAST(sum(Has_Disease) AS BIGINT) AS cases
 FROM cleaned GROUP BY "YEAR" """,
         "quality_by_language": """SELECT lang, count(*) AS respondent_count,
-  avg(quality) AS disease_rate, avg(quality) * 100 AS rate_percent
+  avg(quality) AS quality_rate, avg(quality) * 100 AS rate_percent
 FROM labels JOIN documents USING (doc_id) WHERE lang IS NOT NULL GROUP BY lang""",
+        "quality_by_source_rolled": """SELECT source, count(*) AS respondent_count,
+  avg(quality) AS quality_rate
+FROM documents LEFT JOIN labels USING (doc_id) WHERE source IS NOT NULL GROUP BY source""",
         "labelled_age_rates": f"""WITH {_CLEANED}
 SELECT _AGEG5YR AS age_group, {_RATE}, avg(Has_Disease) * 100 AS rate_percent,
   {age} AS age_label
@@ -452,6 +533,7 @@ SELECT test_rows, correct,
   CASE WHEN test_rows = 0 THEN 0.0::DOUBLE
     ELSE CAST(correct AS DOUBLE) / test_rows END AS accuracy
 FROM judged""",
+        "score_model": f"WITH {_SCORE_MODEL}",
         "chunk_numbering": numbered,
         "chunk_cap_per_year": f"""SELECT order_year, chunk_no, count(*) AS row_count,
   min(o_orderkey) AS first_key, max(o_orderkey) AS last_key

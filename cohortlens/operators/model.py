@@ -88,6 +88,7 @@ def fit_logistic(
     max_iter: int = 20,
     reg: float = 0.01,
     weight: str | None = None,
+    tol: float = 1e-6,
 ) -> PipelineModel:
     """Binary logistic regression with an L2 penalty on standardised coefficients.
 
@@ -99,7 +100,7 @@ def fit_logistic(
     assembler = VectorAssembler(
         inputCols=list(features), outputCol="features", handleInvalid="skip"
     )
-    regression = LogisticRegression(labelCol=LABEL, maxIter=max_iter, regParam=reg)
+    regression = LogisticRegression(labelCol=LABEL, maxIter=max_iter, regParam=reg, tol=tol)
     if weight is None:
         return Pipeline(stages=[assembler, regression]).fit(train)
     scale = [1 / d if d > 0 else 0.0 for d in _sample_deviations(train, features, weight)]

@@ -31,8 +31,9 @@ def rate_by(
     alias: Mapping[str, str] | None = None,
     percent: bool = False,
     descending: bool = False,
+    rate: str = RATE,
 ) -> DataFrame:
-    """Row count and mean of a 0/1 ``target`` per group, sorted by the keys.
+    """Row count and mean (``rate``) of a 0/1 ``target`` per group, sorted by the keys.
 
     Counts and sums are combined before the shuffle, so it carries one row per
     group and task however the rows are spread over the groups.
@@ -44,7 +45,7 @@ def rate_by(
     rates = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(COUNT), F.avg(target).alias(RATE)
     )
-    return _finish(rates, keys, alias, percent, descending)
+    return _finish(rates, keys, alias, percent, descending, rate)
 
 
 def rate_grain(df: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
@@ -67,6 +68,7 @@ def roll_up(
     alias: Mapping[str, str] | None = None,
     percent: bool = False,
     descending: bool = False,
+    rate: str = RATE,
 ) -> DataFrame:
     """The result of ``rate_by`` computed from a ``rate_grain``, NULL targets included."""
     if where is not None:
@@ -81,7 +83,7 @@ def roll_up(
         )
         .withColumn(RATE, F.try_divide("positive", "known"))
     )
-    return _finish(rates, keys, alias, percent, descending)
+    return _finish(rates, keys, alias, percent, descending, rate)
 
 
 def _finish(
@@ -90,10 +92,11 @@ def _finish(
     alias: Mapping[str, str] | None,
     percent: bool,
     descending: bool,
+    rate: str,
 ) -> DataFrame:
     alias = alias or {}
     order = [F.desc(k) if descending else F.asc(k) for k in keys]
-    values = [F.col(COUNT), F.col(RATE)]
+    values = [F.col(COUNT), F.col(RATE).alias(rate)]
     if percent:
         values.append((F.col(RATE) * 100).alias(PERCENT))
     return rates.orderBy(*order).select(*[F.col(k).alias(alias.get(k, k)) for k in keys], *values)
