@@ -1 +1,16 @@
 """Operators for preparing language-model training text."""
+
+from pyspark.sql import SparkSession
+
+BATCH_ROWS = 2_000
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of at most ``BATCH_ROWS``: they may be long.
+
+    The session keeps a smaller setting if it has one.
+    """
+    now = int(spark.conf.get(_BATCHES))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_BATCHES, str(BATCH_ROWS))

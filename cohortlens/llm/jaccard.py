@@ -35,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.llm import text_batches
 from cohortlens.llm.components import components
 from cohortlens.llm.textbytes import Texts, shingle_hash, slices
 from cohortlens.sources.staging import staged, unstage
 
-PIVOTS = 24
+PIVOTS = 64
 SAMPLE_ROWS = 20_000  # rows looked at for frequent elements; only speed hangs on it
 SAMPLE_COUNT = 3  # times in the sample that make an element frequent
 FREQUENT_LIMIT = 100_000  # frequent elements sent to every task, 8 bytes each
@@ -275,6 +276,7 @@ def similar(
 ) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the least key reachable by links."""
     spark = docs.sparkSession
+    text_batches(spark)
     frequent = frequent_elements(docs, text, join)
     sets = staged(shingle_sets(docs, key, text, join, frequent))
     whole = sets.where("n > 0 AND doc_id IS NOT NULL")
@@ -363,12 +365,13 @@ def similar(
     common = F.col("in_open") + F.coalesce("in_closed", F.lit(0))
     rest = rest.where((F.col("x") == F.col("y")) | (common >= needed))
     rest = staged(rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    more = _verified(rest, docs, key, text, join)
-    final = components(
-        more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    )
-    final = staged(final)
-    unstage(runs, members, pairs, links, found, left, rest, more, grouped)
+    final = found
+    if not rest.isEmpty():
+        more = _verified(rest, docs, key, text, join)
+        ends = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        final = staged(components(more.union(ends)))
+        unstage(more, found)
+    unstage(runs, members, pairs, links, left, rest, grouped)
     return sets.join(final, sets["doc_id"] == final["node"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
