@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm import text_batches
 from cohortlens.llm.textbytes import NOT_WORD, Texts, slices, text_bytes
 
 SECTION_WORDS = 64
@@ -237,6 +238,7 @@ def contaminated(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per text and item found in it: best score and shares of question and answer."""
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = None
     for index in _shards(items, item, question, answer):

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm import text_batches
 from cohortlens.llm.quality import fold
 from cohortlens.llm.textbytes import LOWER, Texts, slices
 
@@ -126,6 +127,7 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, n_rows: int, penalty: float =
 
 def learned(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Languages:
     """Window counts of every text of known language outside the held-out fold."""
+    text_batches(docs.sparkSession)
     known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
     known = known.where("lang IS NOT NULL AND text IS NOT NULL")
     known = known.where(F.coalesce(fold("key", FOLDS) != HELD_OUT, F.lit(False)))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm import text_batches
 from cohortlens.llm.boosting import AdditiveModel, fit_additive
 from cohortlens.llm.textbytes import IS_SPACE, Texts, shingle_hash, slices
 
@@ -118,6 +119,7 @@ def learned(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> AdditiveModel:
     """The model of the labelled texts outside the held-out fold."""
+    text_batches(docs.sparkSession)
     known = labels.select(F.col(key).alias("key"), F.col(label).alias("label"))
     known = known.where(F.col("key").isNotNull() & F.col("label").isNotNull())
     known = known.where(fold("key", FOLDS) != HELD_OUT).groupBy("key")

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm import text_batches
 from cohortlens.llm.textbytes import slices
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -193,6 +194,7 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: str
         "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
         "redacted string"
     )
+    text_batches(docs.sparkSession)
     columns = [F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")]
     rows = docs.select(*columns, *([F.col(carry)] if carry else []))
     if carry:

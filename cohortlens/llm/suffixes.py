@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.llm import text_batches
 from cohortlens.llm.textbytes import Texts, mix, slices
 from cohortlens.sources.staging import staged, unstage
 
@@ -279,6 +280,7 @@ def repeated_starts(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed ``cuts``."""
+    text_batches(docs.sparkSession)
     found = staged(repeated_starts(docs, key, text, length))
     spans = found.select("doc_id", "mark", "low", "high", F.lit(1).alias("weight"))
     joined = _with_spans(_documents(docs, key, text), spans, F.struct("low", "high", "weight"), "left")
