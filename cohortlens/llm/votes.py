@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.sources.staging import staged
 
@@ -153,7 +154,12 @@ def voted(counts: DataFrame) -> DataFrame:
 
 def fitted(votes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """One row: the ``patterns`` seen, each with its posterior after ``rounds`` of EM."""
-    seen = votes.groupBy("votes").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return fitted_counts(votes.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), rounds)
+
+
+def fitted_counts(counts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``fitted`` from the rows ``n`` of each pattern of ``votes``."""
+    seen = counts.select("votes", F.col("n").cast("double").alias("n"))
     row = seen.agg(F.array_sort(F.collect_list(F.struct("votes", "n"))).alias("seen"))
     cells = F.array(
         *[
@@ -249,16 +255,28 @@ def accuracies(patterns: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataFrame:
-    """Counts, votes, ``posterior`` and ``kept`` of every row of ``docs``, beside ``carry``."""
-    votes = staged(voted(counted(docs, text, carry)))
-    patterns = fitted(votes).select(F.explode("patterns").alias("p"))
+    """Counts, votes, ``posterior`` and ``kept`` of every row of ``docs``, beside ``carry``.
+
+    A narrow ``carry`` is written beside the counts; rows with a text among what they
+    carry are counted again instead, so that no second copy of the texts is stored.
+    """
+    votes = voted(counted(docs, text, carry))
+    if isinstance(docs.schema[carry].dataType, T.StructType):
+        seen = staged(votes.groupBy("votes").agg(F.count(F.lit(1)).alias("n")))
+    else:
+        votes = staged(votes)
+        seen = votes.groupBy("votes").agg(F.count(F.lit(1)).alias("n"))
+    patterns = fitted_counts(seen).select(F.explode("patterns").alias("p"))
     patterns = patterns.select("p.votes", "p.posterior")
     base_failed = (F.col("n_words") < 50) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     )
+    # One condition on both sides of the join: a filter on it is not pushed into the
+    # counting, where it would be spelled out anew for every column it names.
+    kept = F.when(base_failed, F.lit(False)).otherwise(F.col("posterior") >= KEEP_FROM)
+    # At most 3 ** len(RULES) rows.
     return (
         votes.join(F.broadcast(patterns), "votes", "left")
         .withColumn("base_failed", base_failed)
-        .withColumn("kept", ~base_failed & (F.col("posterior") >= KEEP_FROM))
+        .withColumn("kept", kept)
     )
-
