@@ -134,7 +134,7 @@ def held_pieces(rows, pieces):
 
 def test_packing_round_trip(spark, documents):
     rows = [(i, prose(i, 20 + 37 * i % 900)) for i in range(150)] + [(1000 + i, prose(7, 90)) for i in range(80)]
-    rows += [(k, t) for k, t in ODD if k is not None and k != 6]
+    rows += [(5000 + k, t) for k, t in ODD if k is not None and k != 6]
     pieces = packing.packed(documents(rows)).collect()
     total, padding = held_pieces(rows, pieces)
     assert total == sum(len(ids_of(t)) + 1 for _, t in rows)
@@ -212,7 +212,7 @@ def plain_base(text):
 
 
 def test_secret_spans(spark, documents):
-    rows = SECRET + ODD
+    rows = SECRET + [(k and 100 + k, t) for k, t in ODD]
     found = secrets.scanned(documents(rows)).collect()
     assert len(found) == len(rows)
     texts = defaultdict(list)
