@@ -115,7 +115,7 @@ def multikey_order(tokens: list[np.ndarray]) -> np.ndarray:
 
 
 def compared(suffixes: DataFrame) -> DataFrame:
-    """Suffixes with ``same1``, ``same2``: another one has the first token, or both.
+    """A staged table of the suffixes that share a first token, with ``same1``, ``same2``: another one has the first token, or both.
 
     ``lead`` marks the first of equal ones, ``mixed`` that its first token's run has
     others, or may have as it reaches a bucket's edge.
@@ -189,7 +189,9 @@ def compared(suffixes: DataFrame) -> DataFrame:
         crossing = (first & F.col(f"n1{k}")) | (last & F.col(f"n2{k}"))
         at_edge = at_edge.withColumn(f"same{k}", F.col(f"same{k}") | crossing)
     fixed = rows.where("edge = 0").unionByName(at_edge.select(*rows.columns)).where("same1")
-    return fixed.drop("edge", "bucket")
+    shared = staged(fixed.drop("edge", "bucket"))
+    unstage(rows)
+    return shared
 
 
 def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -216,10 +218,8 @@ def _suffix_batch(batch, part: Texts, row, t1, t2, low, high, weight) -> pa.Reco
     )
 
 
-def _with_spans(rows: DataFrame, spans: DataFrame, value, how: str) -> DataFrame:
-    """Documents beside ``spans`` of theirs, a list of ``value``."""
-    few = spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    lists = spans.groupBy("doc_id", "mark").agg(F.collect_list(value).alias("spans"))
+def _with_lists(rows: DataFrame, lists: DataFrame, few: bool, how: str) -> DataFrame:
+    """Documents beside the ``spans`` listed for them, broadcast if they are ``few``."""
     lists = lists.withColumnsRenamed({"doc_id": "own_id", "mark": "own_mark"})
     same = rows["doc_id"].eqNullSafe(lists["own_id"]) & (rows["mark"] == lists["own_mark"])
     return rows.join(F.broadcast(lists) if few else lists, same, how).select(
@@ -227,13 +227,16 @@ def _with_spans(rows: DataFrame, spans: DataFrame, value, how: str) -> DataFrame
     )
 
 
-def _bounds(column: pa.Array, row: int) -> np.ndarray:
-    spans = column[row].as_py() or []
-    return np.array([[s["low"], s["high"], s["weight"]] for s in spans], np.int64).reshape(-1, 3)
+def _bounds(column: pa.Array, row: int, names: tuple[str, ...]) -> np.ndarray:
+    """The structs of a row's list, by row; a null list is empty."""
+    own = column[row].values
+    if own is None or not len(own):
+        return np.zeros((0, len(names)), np.int64)
+    return np.stack([own.field(n).to_numpy().astype(np.int64) for n in names], axis=1)
 
 
-def repeated_starts(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """Ranges ``low`` to ``high`` of starts, by doc_id and mark, whose strings repeat."""
+def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """Per document (doc_id, mark) with repeated strings, the spans that they cover."""
     rows = _documents(docs, key, text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +246,7 @@ def repeated_starts(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                 yield _suffix_batch(batch, part, row, t1, t2, low, high, 1)
 
     anchored = staged(rows.mapInArrow(cut, SUFFIX))
-    sorted_ = staged(compared(anchored))
+    sorted_ = compared(anchored)
     unstage(anchored)
     whole = sorted_.where("same2").select("doc_id", "mark", "low", "high")
     open_ = sorted_.where("NOT same2 OR (lead AND mixed)").select(
@@ -255,7 +258,7 @@ def repeated_starts(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             for part in slices(batch.column(2), SLICE):
                 anchor = _anchors(part, REACH)
                 for i in range(len(part)):
-                    bounds = _bounds(batch.column(3), part.first_row + i)
+                    bounds = _bounds(batch.column(3), part.first_row + i, ("low", "high", "weight"))
                     size = bounds[:, 1] - bounds[:, 0] + 1
                     weight = np.repeat(bounds[:, 2], size).astype(np.int32)
                     start = np.repeat(bounds[:, 0] - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -272,18 +275,55 @@ def repeated_starts(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                         weight,
                     )
 
-    near = _with_spans(rows, open_, F.struct("low", "high", "weight"), "inner")
+    few = open_.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    value = F.struct("low", "high", "weight")
+    near = open_.groupBy("doc_id", "mark").agg(F.collect_list(value).alias("spans"))
+    near = _with_lists(rows, near, few, "inner")
     starts = staged(near.mapInArrow(single, SUFFIX))
-    found = compared(starts).where("same2 AND weight = 1").select("doc_id", "mark", "low", "high")
-    return whole.union(found)
+    found = compared(starts)
+    unstage(starts)
+    repeats = whole.union(
+        found.where("same2 AND weight = 1").select("doc_id", "mark", "low", "high")
+    )
+    # One list for each text, of its own places only, put together into spans at once.
+    lists = repeats.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2)
+            offsets = column.offsets.to_numpy()
+            flat = column.values
+            low = flat.field("low").to_numpy().astype(np.int64)
+            end = flat.field("high").to_numpy().astype(np.int64) + length
+            lows, ends, sizes = [], [], []
+            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+                order = np.argsort(low[a:b], kind="stable")
+                first, last = low[a:b][order], np.maximum.accumulate(end[a:b][order])
+                new = np.flatnonzero(np.r_[True, first[1:] > last[:-1]])
+                lows.append(first[new])
+                ends.append(last[np.r_[new[1:] - 1, len(last) - 1]])
+                sizes.append(len(new))
+            spans = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(x)) for x in (lows, ends)], ["low", "high"]
+            )
+            bounds = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.ListArray.from_arrays(bounds, spans)], ["doc_id", "mark", "spans"]
+            )
+
+    covered = staged(
+        lists.mapInArrow(cover, "doc_id long, mark long, spans array<struct<low:long,high:long>>")
+    )
+    unstage(sorted_, found)
+    return covered
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed ``cuts``."""
     text_batches(docs.sparkSession)
-    found = staged(repeated_starts(docs, key, text, length))
-    spans = found.select("doc_id", "mark", "low", "high", F.lit(1).alias("weight"))
-    joined = _with_spans(_documents(docs, key, text), spans, F.struct("low", "high", "weight"), "left")
+    covered = repeated_bytes(docs, key, text, length)
+    few = covered.select(F.sum(F.size("spans"))).first()[0] or 0
+    joined = _with_lists(_documents(docs, key, text), covered, few <= BROADCAST_ROWS, "left")
     schema = (
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         "cuts array<struct<low:long,high:long>>"
@@ -294,13 +334,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
             out = []
             for i, body in enumerate(batch.column(2).cast(pa.large_binary())):
                 data = body.as_py()
-                bounds = _bounds(batch.column(3), i)
-                cuts = []
-                if len(bounds):
-                    bounds = bounds[np.argsort(bounds[:, 0], kind="stable")]
-                    ends = np.maximum.accumulate(bounds[:, 1] + length)
-                    new = np.flatnonzero(np.r_[True, bounds[1:, 0] > ends[:-1]])
-                    cuts = list(zip(bounds[new, 0].tolist(), ends[np.r_[new[1:] - 1, len(ends) - 1]].tolist(), strict=True))
+                cuts = _bounds(batch.column(3), i, ("low", "high")).tolist()
                 digest, at = hashlib.sha256(), 0
                 for low, high in cuts:
                     digest.update(data[at:low])
