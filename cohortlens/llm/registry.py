@@ -84,7 +84,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-def _importable(query: Query) -> Query:
+def importable(query: Query) -> Query:
     """``query`` with this package on the path of the Python workers, as on the driver's."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def queries() -> dict[str, Query]:
         "op9_language": op9_language,
         "op10_url_filter": op10_url_filter,
     }
-    return {name: _importable(query) for name, query in found.items()}
+    return {name: importable(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
