@@ -228,7 +228,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query: name → (spark, table folder) → DataFrame."""
-    added = {} if llm is None else llm.queries() | {"pipeline": corpus_pipeline.run}
+    added = {} if llm is None else llm.queries() | {
+        "pipeline": llm.importable(corpus_pipeline.run)
+    }
     return PLAIN | added
 
 
