@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.spec import CARDIO, SUPPORTING_COLUMNS
+from cohortlens.spec import CARDIO
 
 
 def supporting_rule(i: int) -> str:
-    """Codes of the ``i``-th supporting column, some of them NULL, in any SQL."""
+    """Codes of the ``i``-th column after those with a rule of their own, in any SQL."""
     codes = f"CAST((l_orderkey * {i + 1} + l_linenumber) % {i + 5} + 1 AS INTEGER)"
     return f"CASE WHEN l_suppkey % {i + 7} = 0 THEN NULL ELSE {codes} END"
 
@@ -34,7 +34,7 @@ RULES = {
     "SEX": "if(l_orderkey % 50 = 0, 9, int(l_orderkey % 2 + 1))",
     "_AGEG5YR": "int(l_orderkey % 14 + 1)",
     "_BMI5": "if(rint(l_tax * 100) = 8, NULL, float(int(floor(l_extendedprice / 12))))",
-    **{c: supporting_rule(i) for i, c in enumerate(SUPPORTING_COLUMNS)},
+    **{c: supporting_rule(i) for i, c in enumerate(CARDIO.columns[9:])},
 }
 
 

@@ -88,7 +88,7 @@ class SurveySpec:
 
 
 # Column names, codes, bounds and label texts of the survey.
-CORE_COLUMNS = (
+COLUMNS = (
     "YEAR",
     "CVDINFR4",
     "BPHIGH4",
@@ -98,8 +98,6 @@ CORE_COLUMNS = (
     "SEX",
     "_AGEG5YR",
     "_BMI5",
-)
-SUPPORTING_COLUMNS = (
     "GENHLTH",
     "PHYSHLTH",
     "MENTHLTH",
@@ -179,8 +177,9 @@ ENGLISH = Labels(
     feature_column="feature_name",
 )
 
+# Roles, codes, recodes, bounds and features of the survey's columns.
 CARDIO = SurveySpec(
-    columns=CORE_COLUMNS + SUPPORTING_COLUMNS,
+    columns=COLUMNS,
     float_columns=frozenset({"_BMI5"}),
     year="YEAR",
     outcome="CVDINFR4",
