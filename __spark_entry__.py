@@ -139,13 +139,13 @@ def score_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = F.when(F.col("prediction") == F.col(model.LABEL), F.col(model.WEIGHT)).otherwise(0)
     quality = test.agg(
         F.sum(model.WEIGHT).cast("long").alias("test_rows"), F.sum(hits).cast("long").alias("correct")
-    )
-    return found.join(quality, F.lit(True), "left").select(
+    ).first()
+    return found.select(
         "feature",
         F.round("coefficient", 4).alias("coefficient"),
         F.round("odds_ratio", 4).alias("odds_ratio"),
-        "test_rows",
-        "correct",
+        F.lit(quality["test_rows"]).cast("long").alias("test_rows"),
+        F.lit(quality["correct"]).cast("long").alias("correct"),
     )
 
 
