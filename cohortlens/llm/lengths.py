@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm import text_batches
 from cohortlens.llm.textbytes import slices
 from cohortlens.llm.tokens import VOCABULARY, encoder
+from cohortlens.sources.staging import staged
 
 BLOCK = 4096  # lengths summed together
 COUNTS = "n_docs", "n_tokens"
@@ -49,7 +50,9 @@ def limits(counted: DataFrame) -> DataFrame:
     ``docs_from`` and ``tokens_from`` count texts of this length or longer,
     ``truncated_tokens`` the ids left when every text is cut to this length, and
     ``share_within`` the share of texts no longer than it (the quantile it stands at).
+    The histogram is written first, as its rows are used twice.
     """
+    counted = staged(counted)
     rows = counted.withColumn("n_tokens", F.col("length") * F.col("n_docs"))
     rows = rows.withColumn("block", F.expr(f"length div {BLOCK}"))
     longer = Window.partitionBy("block").orderBy(F.desc("length"))
