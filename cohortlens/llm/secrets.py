@@ -6,6 +6,9 @@ a value that stands where a credential would (after ``pwd:``, ``login =``, in
 span overlaps it and guessing it is dear. The cost is the least, over all ways to cut
 the value into known words, dates, repeats, keyboard walks and brute-force characters,
 of the sum of the pieces' decimal logarithms of guesses, found by dynamic programming.
+Known words are a fixed list and, after them, at most ``LISTED_WORDS`` words that most
+of the documents have (those of equal count together or not at all), counted outside of credential values, so that a secret's copies
+never make it a word. Nothing but the cost decides, be the value of letters only.
 
 A span is a whole base match, or the value alone for ``guess``; places are code
 points, the end exclusive. Defined cases: null is the empty text, which has no span;
@@ -18,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import text_batches
 from cohortlens.llm.textbytes import slices
+from cohortlens.sources.staging import staged, unstage
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(
@@ -55,7 +60,10 @@ COMMON = (
     "here", "value", "token", "key", "api", "none", "null", "true", "false", "placeholder",
 )
 WORD_COST = {word: math.log10(rank + 2) for rank, word in enumerate(COMMON)}
-LONGEST_WORD = max(map(len, COMMON))
+#: Words counted over the documents: how many are listed, of which sizes, in how many rows at least.
+LISTED_WORDS, LISTED_SIZES, LISTED_ROWS = 50_000, range(4, 25), 2
+LONGEST_WORD = LISTED_SIZES[-1]
+WORD = re.compile(r"[^\W\d_]+")
 #: Rows of keys that lie side by side, and letter and digit order.
 WALKS = (
     "`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz",
@@ -84,7 +92,7 @@ def _runs(text: str, joined) -> list[int]:
     return ends
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, listed: dict[str, float] = WORD_COST) -> float:
     """Decimal logarithm of the guesses that the cheapest segmentation takes."""
     low = value.lower()
     plain = low.translate(LEET)
@@ -100,7 +108,7 @@ def guess_cost(value: str) -> float:
 
         offer(i + 1, best[i] + _brute(value[i]))
         for end in range(i + 2, min(n, i + LONGEST_WORD) + 1):
-            cost = WORD_COST.get(plain[i:end])
+            cost = listed.get(plain[i:end])
             if cost is not None:
                 changed = (value[i:end] != low[i:end]) + (low[i:end] != plain[i:end])
                 offer(end, here + cost + changed * PIECE_COST)
@@ -117,13 +125,6 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
-def _mixed(value: str) -> bool:
-    """Not a mere word: a digit, a capital after the first letter, or a sign inside."""
-    inner = value[1:]
-    signs = any(not c.isalnum() for c in value.rstrip(".,:;!?)]}"))
-    return signs or any(c.isdigit() for c in value) or any(c.isupper() for c in inner) != inner.isupper()
-
-
 def base_spans(text: str, hex_too: bool = True) -> list[tuple[str, int, int]]:
     """Spans of the base patterns, by kind."""
     out = []
@@ -139,24 +140,28 @@ def base_spans(text: str, hex_too: bool = True) -> list[tuple[str, int, int]]:
     return out
 
 
-def found_spans(text: str, hex_too: bool = True) -> list[tuple[str, int, int]]:
+def credentials(text: str) -> list[tuple[int, int]]:
+    """Places of the values in credential contexts, each once."""
+    if not (":" in text or "=" in text):
+        return []
+    low = text.lower()
+    if not any(k in low for k in KEYWORDS):
+        return []
+    found = [m for pattern in (CONTEXT, USERINFO) for m in pattern.finditer(text)]
+    return list(dict.fromkeys((m.start(1), m.start(1) + len(m[1].rstrip(".,:;!?)]}"))) for m in found))
+
+
+def found_spans(
+    text: str, hex_too: bool = True, listed: dict[str, float] = WORD_COST
+) -> list[tuple[str, int, int]]:
     """All spans by start, then kind as listed."""
     base = base_spans(text, hex_too)
     out = list(base)
-    if ":" in text or "=" in text:
-        low = text.lower()
-        if any(k in low for k in KEYWORDS):
-            taken = set()
-            for pattern in (CONTEXT, USERINFO):
-                for m in pattern.finditer(text):
-                    start, end = m.span(1)
-                    value = m.group(1).rstrip(".,:;!?)]}")
-                    end = start + len(value)
-                    if (start, end) in taken or any(s < end and start < e for _, s, e in base):
-                        continue
-                    taken.add((start, end))
-                    if _mixed(value) and guess_cost(value) >= DEAR_FROM:
-                        out.append(("guess", start, end))
+    for start, end in credentials(text):
+        if any(s < end and start < e for _, s, e in base):
+            continue
+        if guess_cost(text[start:end], listed) >= DEAR_FROM:
+            out.append(("guess", start, end))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -188,6 +193,45 @@ def _rows_with_hex(column: pa.Array) -> np.ndarray:
     return out
 
 
+def words_outside(text: str) -> set[str]:
+    """A text's words, in lower case, that stand outside of credential values."""
+    at, kept = 0, []
+    for start, end in sorted(credentials(text)):
+        kept.append(text[at:start])
+        at = max(at, end)
+    kept.append(text[at:])
+    words = {w for part in kept for w in set(WORD.findall(part.lower()))}
+    return {w for w in words if len(w) in LISTED_SIZES}
+
+
+def word_costs(docs: DataFrame, text: str = "text") -> dict[str, float]:
+    """The fixed words' costs, and after them those of the words in most rows of ``docs``."""
+    text_batches(docs.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = Counter(w for body in batch.column(0).to_pylist() if body for w in words_outside(body))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
+            )
+
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
+    rows = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LISTED_ROWS)
+    rows = staged(rows)
+    # The least count that no more than the listed words reach, from a histogram of the counts:
+    # only those words come to the driver.
+    least, total = LISTED_ROWS, 0
+    for n, words in sorted(rows.groupBy("n").count().collect(), reverse=True):
+        total += words
+        if total > LISTED_WORDS:
+            least = n + 1
+            break
+    most = sorted(rows.where(F.col("n") >= least).collect(), key=lambda r: (-r.n, r.word))
+    unstage(rows)
+    ranked = {r.word: math.log10(len(COMMON) + rank + 2) for rank, r in enumerate(most)}
+    return ranked | WORD_COST
+
+
 def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
     """Per row: its key, ``spans``, digests, counts and ``redacted`` (null if unchanged)."""
     schema = (
@@ -199,6 +243,7 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: str
     rows = docs.select(*columns, *([F.col(carry)] if carry else []))
     if carry:
         schema += f", {carry} {docs.schema[carry].dataType.simpleString()}"
+    shared = docs.sparkSession.sparkContext.broadcast(word_costs(docs, text))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +251,7 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: str
             counts = np.zeros((3, len(with_hex)), np.int64)
             digests, listed, redacted = [], [], []
             for i, body in enumerate(batch.column(1).to_pylist()):
-                spans = found_spans(body or "", bool(with_hex[i]))
+                spans = found_spans(body or "", bool(with_hex[i]), shared.value)
                 base = [s for s in spans if s[0] != "guess"]
                 for kind, _, _ in base:
                     counts[KINDS.index(kind), i] += 1

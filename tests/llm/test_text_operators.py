@@ -245,6 +245,24 @@ def test_guess_cost_orders_values():
     assert cost("zzpasswordzz") <= sum(map(secrets._brute, "zzpasswordzz"))
 
 
+LETTERS = [
+    (1, "pwd: zkqvxwjhgm"), (2, "pwd: zkqvxwjhgm"), (3, "login = ZKQVXWJHGM, then"), (4, "passphrase: Zkqvxwjhgmrt."),
+    (5, "password: yesterday"), (6, "it rained yesterday"), (7, "Yesterday was dry"), (8, "login: welcome"),
+]
+
+
+def test_secrets_of_letters_only(spark, documents, monkeypatch):
+    """The cost decides alone; words of the documents are cheap, a secret's copies are no word."""
+    by = {r.doc_id: r.spans for r in secrets.scanned(documents(LETTERS)).collect()}
+    assert by[1] == by[2] == "guess:5:15" and by[3] == "guess:8:18" and by[4] == "guess:12:24"
+    assert not any(by[k] for k in (5, 6, 7, 8))
+    assert secrets.scanned(documents(LETTERS).limit(0)).count() == 0
+    rows = [(1, "early morning rain"), (2, "early morning"), (3, "early"), (4, "rain")]
+    assert secrets.word_costs(documents(rows)).keys() - secrets.WORD_COST.keys() == {"early", "morning", "rain"}
+    monkeypatch.setattr(secrets, "LISTED_WORDS", 2)  # two words share the second place
+    assert secrets.word_costs(documents(rows)).keys() - secrets.WORD_COST.keys() == {"early"}
+
+
 def repeated(texts, length):
     seen = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
     out = []
