@@ -2,8 +2,8 @@
 
 Three base patterns name spans of kinds ``assign``, ``access`` and ``hex``. Besides,
 a value that stands where a credential would (after ``pwd:``, ``login =``, in
-``scheme://user:value@host`` and the like) becomes a span of kind ``guess`` if no base
-span overlaps it and guessing it is dear. The cost is the least, over all ways to cut
+``scheme://user:value@host`` and the like) becomes a span of kind ``guess`` if no one
+base span contains all of it and guessing it is dear. The cost is the least, over all ways to cut
 the value into known words, dates, repeats, keyboard walks and brute-force characters,
 of the sum of the pieces' decimal logarithms of guesses, found by dynamic programming.
 Known words are a fixed list and, after them, at most ``LISTED_WORDS`` words that most
@@ -158,7 +158,7 @@ def found_spans(
     base = base_spans(text, hex_too)
     out = list(base)
     for start, end in credentials(text):
-        if any(s < end and start < e for _, s, e in base):
+        if any(s <= start and end <= e for _, s, e in base):
             continue
         if guess_cost(text[start:end], listed) >= DEAR_FROM:
             out.append(("guess", start, end))

@@ -263,6 +263,20 @@ def test_secrets_of_letters_only(spark, documents, monkeypatch):
     assert secrets.word_costs(documents(rows)).keys() - secrets.WORD_COST.keys() == {"early"}
 
 
+def test_secrets_partly_in_a_base_span():
+    """A base span inside a value, or over a part of it, does not hide the rest."""
+    for text, spans in (
+        ("password: Abcdefghijkl!9#xQ", [("assign", 0, 22), ("guess", 10, 27)]),
+        ("pwd: q!Zk93#0123456789abcdef", [("guess", 5, 28), ("hex", 12, 28)]),
+        ("pwd: 0123456789abcdef", [("hex", 5, 21)]),
+        ("token: abcdefghijklmnop!", [("assign", 0, 23)]),
+    ):
+        assert secrets.found_spans(text) == spans
+        assert secrets.redact(text, spans).endswith(("[SECRET]", "[SECRET]!"))
+    text = "password: Abcdefghijkl!9#xQ"
+    assert secrets.redact(text, secrets.found_spans(text)) == "[SECRET]"
+
+
 def repeated(texts, length):
     seen = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
     out = []
