@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import text_batches
 from cohortlens.llm.textbytes import NOT_WORD, Texts, slices, text_bytes
+from cohortlens.sources.staging import staged, unstage
 
 SECTION_WORDS = 64
 PASSAGE_WORDS = 128
@@ -227,6 +228,20 @@ def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> I
         yield Index(sections(listed))
 
 
+def _found(index: Index, column: pa.Array, threshold: float) -> dict[tuple[int, int], tuple[float, float, float]]:
+    """Best score and shares by row of ``column`` and item found in it."""
+    best: dict[tuple[int, int], tuple[float, float, float]] = {}
+    for part in slices(column):
+        words, of = _word_hashes(part)
+        for low, high, row, s, score in retrieved(index, words, of, len(part), threshold):
+            section = index.parts[s]
+            shares = verified(section, words[low:high])
+            if shares[0] >= QUESTION_SHARE and shares[1] >= ANSWER_SHARE:
+                at = (part.first_row + row, section.item)
+                best[at] = max(best.get(at, (0.0, 0.0, 0.0)), (score, *shares))
+    return best
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -247,22 +262,45 @@ def contaminated(
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                for part in slices(batch.column(1)):
-                    words, of = _word_hashes(part)
-                    best: dict[tuple[int, int], tuple[float, float, float]] = {}
-                    for low, high, row, s, score in retrieved(index, words, of, len(part), threshold):
-                        section = index.parts[s]
-                        shares = verified(section, words[low:high])
-                        if shares[0] >= QUESTION_SHARE and shares[1] >= ANSWER_SHARE:
-                            at = (part.first_row + row, section.item)
-                            best[at] = max(best.get(at, (0.0, 0.0, 0.0)), (score, *shares))
-                    ids = batch.column(0).take(pa.array([r for r, _ in best], pa.int64()))
-                    yield pa.RecordBatch.from_arrays(
-                        [ids, pa.array([i for _, i in best], pa.int64())]
-                        + [pa.array([v[k] for v in best.values()], pa.float64()) for k in range(3)],
-                        ["doc_id", "item_id", "score", "question_share", "answer_share"],
-                    )
+                best = _found(index, batch.column(1), threshold)
+                ids = batch.column(0).take(pa.array([r for r, _ in best], pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array([i for _, i in best], pa.int64())]
+                    + [pa.array([v[k] for v in best.values()], pa.float64()) for k in range(3)],
+                    ["doc_id", "item_id", "score", "question_share", "answer_share"],
+                )
 
         one = rows.mapInArrow(search, RESULT)
         found = one if found is None else found.union(one)
     return found
+
+
+def uncontaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item: str = "item_id",
+    question: str = "text",
+    answer: str | None = None,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs`` in whose text no item is found, each judged by itself, whatever its key."""
+    text_batches(docs.sparkSession)
+    before = None
+    for number, index in enumerate(_shards(items, item, question, answer)):
+        if number:  # one index at a time in a task; what is left is written in between
+            docs = staged(docs)
+            if before is not None:
+                unstage(before)
+            before = docs
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kept = np.ones(batch.num_rows, bool)
+                kept[[r for r, _ in _found(shared.value, batch.column(0), threshold)]] = False
+                yield batch.filter(pa.array(kept))
+
+        rows = docs.select(F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
+        docs = rows.mapInArrow(clean, rows.schema).select("row.*")
+    return docs

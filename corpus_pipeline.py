@@ -44,8 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = staged(decontaminate.contaminated(docs, items).select("doc_id").distinct())
-    return docs.join(_listed(hits), "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.uncontaminated(docs, items)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -324,6 +324,20 @@ def test_near_duplicates_keep_one_row_of_each_group(spark, documents):
     assert Counter(r.doc_id for r in kept) == Counter([1, 3, None])
 
 
+def test_leaks_are_removed_row_by_row(spark, documents, tmp_path, monkeypatch):
+    """Null keys are judged like others, and of rows of one key only those with a hit go."""
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    leaks = [prose(1, 60) + " " + t + " " + prose(2, 60) for _, t in ITEMS]
+    clean = prose(3, 90)
+    rows = [(None, leaks[0]), (None, clean), (None, None), (1, leaks[5]), (1, clean), (2, leaks[11]), (3, "")]
+    want = Counter([(None, clean), (None, None), (1, clean), (3, "")])
+    for shard in (8 << 20, 300):  # one index, and several
+        monkeypatch.setattr(decontaminate, "SHARD_BYTES", shard)
+        kept = corpus_pipeline.benchmark_free(spark, documents(rows), str(tmp_path)).collect()
+        assert Counter((r.doc_id, r.text) for r in kept) == want
+
+
 def test_every_operator_is_registered():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in registry.queries()}
     assert numbers == set(range(1, 11))
