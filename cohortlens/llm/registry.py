@@ -7,22 +7,27 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.llm import (
+    anchors,
     decontaminate,
     jaccard,
     langid,
     lengths,
     packing,
     quality,
+    runs,
     secrets,
     sql,
     suffixes,
+    turns,
     urls,
     votes,
 )
 
 _ROOT = str(Path(__file__).resolve().parents[2])
+WINDOW = 20
 NGRAMS = jaccard.Join(size=4, percent=85)
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +89,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turns.report(table, turns.Damage())
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digested(runs.collapsed(_documents(spark, sf_dir), damage=runs.Damage()))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = anchors.deduplicated(_documents(spark, sf_dir), window=WINDOW)
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
 def importable(query: Query) -> Query:
     """``query`` with this package on the path of the Python workers, as on the driver's."""
 
@@ -110,6 +130,9 @@ def queries() -> dict[str, Query]:
         "op8_secrets": op8_secrets,
         "op9_language": op9_language,
         "op10_url_filter": op10_url_filter,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_substring_dedup": op13_substring_dedup,
     }
     return {name: importable(query) for name, query in found.items()}
 
@@ -119,4 +142,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_quality_rules": sql.quality_rules(),
         "op7_ngram_join": sql.ngram_join(NGRAMS.size, NGRAMS.percent),
+        "op11_conversation_repair": sql.conversation_repair(),
+        "op12_periodic_runs": sql.periodic_runs(runs.LEAST_LENGTH, runs.Damage().one_in),
+        "op13_substring_dedup": sql.substring_dedup(WINDOW),
     }
