@@ -50,6 +50,7 @@ ROLES = ("", "system", "user", "assistant")
 OTHER = 0  # a role's class is the state that it leads to; this one leads nowhere
 AFTER = (USER, USER, ASSISTANT, USER)  # what an inserted or renamed turn leads to
 FAR = 1 << 40
+BATCH = 2_000  # rows written at once
 SEGMENT_ROWS = 1 << 16  # codes that lie in one row on their way to the DP
 Vector = tuple[int, int, int, int]
 
@@ -252,18 +253,37 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 LEGAL_PAIRS = ((SYSTEM, USER), (USER, ASSISTANT), (ASSISTANT, USER))
 
 
-def _edited(segments: pa.Table) -> pa.Table:
-    """One conversation's least cost, its edits and its illegal pairs of neighbours."""
-    segments = segments.sort_by("place")
-    codes = b"".join(segments["codes"].to_pylist())
-    role = np.frombuffer(codes, np.uint8) % 4
-    pair = role[:-1].astype(np.int64) * 4 + role[1:]
-    illegal = int((~np.isin(pair, [a * 4 + b for a, b in LEGAL_PAIRS])).sum())
-    cost, audit = repair(codes)
-    return pa.table(
-        [segments["conv_id"].slice(0, 1), pa.array([illegal]), pa.array([cost]), pa.array([audit])],
-        ["conv_id", "illegal", "cost", "audit"],
-    )
+def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each conversation's least cost, edits and illegal pairs; its codes lie one after another."""
+
+    def told(key, held):
+        codes = b"".join(held)
+        role = np.frombuffer(codes, np.uint8) % 4
+        pair = role[:-1].astype(np.int64) * 4 + role[1:]
+        illegal = int((~np.isin(pair, [a * 4 + b for a, b in LEGAL_PAIRS])).sum())
+        return key, illegal, *repair(codes)
+
+    def batch(rows):
+        types = [pa.int64()] * 3 + [pa.string()]
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+            ["conv_id", "illegal", "cost", "audit"],
+        )
+
+    done, key, held = [], None, []
+    for rows in batches:
+        for own, codes in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+            if held and own != key:
+                done.append(told(key, held))
+                held = []
+            key = own
+            held.append(codes)
+            if len(done) == BATCH:
+                yield batch(done)
+                done = []
+    if held:
+        yield batch([*done, told(key, held)])
 
 
 def edits(rows: DataFrame) -> DataFrame:
@@ -277,7 +297,8 @@ def edits(rows: DataFrame) -> DataFrame:
     )
     codes = staged(codes)
     schema = "conv_id long, illegal long, cost long, audit string"
-    found = staged(codes.groupBy("conv_id").applyInArrow(_edited, schema))
+    lined = codes.repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    found = staged(lined.select("conv_id", "codes").mapInArrow(_edited, schema))
     unstage(codes)
     return found
 
@@ -327,9 +348,6 @@ def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, li
     yield from inserts()
 
 
-BATCH = 2_000
-
-
 def repaired(rows: DataFrame, found: DataFrame) -> DataFrame:
     """The repaired turns: conv_id, ``place`` from 0, the original turn, the edit, role and text."""
 
