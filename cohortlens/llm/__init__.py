@@ -1,16 +1,23 @@
 """Operators for preparing language-model training text."""
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 BATCH_ROWS = 2_000
-_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+OverBatches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Send texts to Python in batches of at most ``BATCH_ROWS``: they may be long.
+def in_pieces(function: OverBatches) -> OverBatches:
+    """``function`` over batches of at most ``BATCH_ROWS`` rows: texts may be long.
 
-    The session keeps a smaller setting if it has one.
+    Spark bounds a batch by its bytes; this bounds what is worked out of one at once.
+    The session's batch size is left as it is.
     """
-    now = int(spark.conf.get(_BATCHES))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(_BATCHES, str(BATCH_ROWS))
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                yield batch.slice(at, BATCH_ROWS)
+
+    return lambda batches: function(pieces(batches))

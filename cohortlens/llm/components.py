@@ -66,7 +66,7 @@ def _settled(links: DataFrame) -> bool:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node`` and ``component`` (least node reachable) of every node of links (a, b).
+    """A staged table of ``node`` and ``component`` (least node reachable) of the nodes of links (a, b).
 
     Links are of longs, in either direction, repeated or looped at will; null ends
     link nothing. Nodes without a link are not returned.
@@ -80,4 +80,6 @@ def components(links: DataFrame) -> DataFrame:
         now = following
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     heads = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return nodes.union(heads)
+    found = staged(nodes.union(heads))
+    unstage(now)
+    return found

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.textbytes import NOT_WORD, Texts, slices, text_bytes
 from cohortlens.sources.staging import staged, unstage
 
@@ -253,7 +253,6 @@ def contaminated(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per text and item found in it: best score and shares of question and answer."""
-    text_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = None
     for index in _shards(items, item, question, answer):
@@ -270,7 +269,7 @@ def contaminated(
                     ["doc_id", "item_id", "score", "question_share", "answer_share"],
                 )
 
-        one = rows.mapInArrow(search, RESULT)
+        one = rows.mapInArrow(in_pieces(search), RESULT)
         found = one if found is None else found.union(one)
     return found
 
@@ -285,7 +284,6 @@ def uncontaminated(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """The rows of ``docs`` in whose text no item is found, each judged by itself, whatever its key."""
-    text_batches(docs.sparkSession)
     before = None
     for number, index in enumerate(_shards(items, item, question, answer)):
         if number:  # one index at a time in a task; what is left is written in between
@@ -302,5 +300,5 @@ def uncontaminated(
                 yield batch.filter(pa.array(kept))
 
         rows = docs.select(F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
-        docs = rows.mapInArrow(clean, rows.schema).select("row.*")
+        docs = rows.mapInArrow(in_pieces(clean), rows.schema).select("row.*")
     return docs

@@ -2,24 +2,31 @@
 
 Two sets with Jaccard similarity of at least ``t`` share an element among the first
 ``n - ceil(t * n) + 1`` of each, under any one order of all elements. The order
-here is by fingerprint, with elements that a bounded sample shows to be frequent
-last, so that shared boilerplate seldom stands in a prefix.
+here is by how often a bounded sample has an element, then by fingerprint, so that
+shared boilerplate seldom stands in a prefix.
 
 1. Equal sets become one class; classes of the same size and prefix one group.
-2. Groups are indexed by their prefix elements, range-partitioned by (element,
-   group), so that a hot element is spread over many tasks. Along a run of equal
-   elements every group meets the first ``PIVOTS`` of the run (and every run's
-   pivots meet across partitions): most true links are found without listing all
-   pairs of a run. Pairs of unlike sizes are dropped.
-3. Group pairs are expanded to class pairs, and each is verified on whole sets. For
+2. Prefix elements of one group alone pair nothing and go. Prefixes of linked sets share
+   more than one element unless the sets differ much in size: by the sizes that a group
+   meets along its elements, it must share ``least`` of them. A group with fewer links
+   with nothing; of the others all but the last ``least - 1``, by how many groups have
+   them, are indexed: two that share ``least`` share one of these (a prefix of the prefix,
+   by exact counts whatever the sample showed).
+3. The index is range-partitioned by (element, group), so that a hot element is spread
+   over many tasks. Along a run of equal elements every group meets the first ``PIVOTS``
+   of the run (and every run's pivots meet across partitions), those first that share
+   most of their prefix: copies with the fewest changes of their own. Most true links
+   are found without listing all pairs of a run. Pairs of unlike sizes are dropped.
+4. Group pairs are expanded to class pairs, and each is verified on whole sets. For
    that, classes linked by candidate pairs are laid together (in cells of bounded
-   size), so that a text travels about once, not once for each pair.
-4. Runs that were not wholly paired and whose members lie in several components are
+   size, a pair in that of its end with fewer pairs), so that a text travels about
+   once, not once for each pair.
+5. Runs that were not wholly paired and whose members lie in several components are
    paired in full across the components, with the same bound on what prefixes share:
    no link that could join two components is left out. Links inside a component change nothing and are not looked for.
 
-Elements are 63-bit fingerprints; a false equality within a pair of texts has a
-probability of about 1e-13. Defined cases: null, empty or blank text has an empty
+Elements are 59-bit fingerprints; a false equality within a pair of texts has a
+probability of about 1e-12. Defined cases: null, empty or blank text has an empty
 set, links with nothing and is its own component; rows with a null key have a null
 component; repeated rows share a class, and rows of one key are one document, which
 links where any of its texts does; an empty table gives an empty result.
@@ -35,18 +42,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.components import components
 from cohortlens.llm.textbytes import Texts, shingle_hash, slices
 from cohortlens.sources.staging import staged, unstage
 
 PIVOTS = 64
+GROUP_PIVOTS = 8  # members of a group that all members of a paired group meet
 SAMPLE_ROWS = 20_000  # rows looked at for frequent elements; only speed hangs on it
 SAMPLE_COUNT = 3  # times in the sample that make an element frequent
 FREQUENT_LIMIT = 100_000  # frequent elements sent to every task, 8 bytes each
 BROADCAST_ROWS = 500_000  # candidates' keys sent to every task; beyond, texts are shuffled
-CELL_CLASSES = 512  # classes of one component laid together for verifying
-_TOP = np.uint64(1 << 63)
+CELL_CLASSES = 256  # classes of one component that are verified together
+LEVEL_BITS = 4  # the order's first bits: how often the sample has an element, by powers of two
 
 
 @dataclass(frozen=True)
@@ -64,16 +72,25 @@ class Join:
         """Elements of a set of ``n`` beyond its prefix."""
         return F.ceil(self.percent * n / 100) - 1
 
+    def needed(self, n: Column, k: Column) -> Column:
+        """Elements that the prefixes of linked sets of ``n`` and ``k`` share at least."""
+        common = F.ceil(self.percent * (n + k) / (100 + self.percent))
+        return common - F.greatest(self.after_prefix(n), self.after_prefix(k))
+
 
 def _elements(part: Texts, join: Join, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct elements and their rows, by row and then in the order of all elements."""
+    """Distinct elements and their rows, by row and then in the order of all elements.
+
+    ``frequent`` holds elements as they shall be ordered, sorted by fingerprint.
+    """
     part = part.lowered()
     first, last, rows = part.words()
     value, rows = shingle_hash(part.span_hash(first, last), rows, join.size)
-    value >>= np.uint64(1)
+    value >>= np.uint64(LEVEL_BITS + 1)
     if len(frequent) and len(value):
-        at = np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)
-        value = np.where(frequent[at] == value, value | _TOP, value)
+        plain = frequent & np.uint64((1 << (63 - LEVEL_BITS)) - 1)
+        at = np.minimum(np.searchsorted(plain, value), len(frequent) - 1)
+        value = np.where(plain[at] == value, frequent[at], value)
     order = np.lexsort((value, rows))
     value, rows = value[order], rows[order]
     new = np.ones(len(value), bool)
@@ -82,7 +99,7 @@ def _elements(part: Texts, join: Join, frequent: np.ndarray) -> tuple[np.ndarray
 
 
 def frequent_elements(docs: DataFrame, text: str, join: Join) -> np.ndarray:
-    """Elements found often in a sample of about ``SAMPLE_ROWS`` rows, sorted."""
+    """Elements found often in a sample of about ``SAMPLE_ROWS`` rows, under their places in the order."""
     n = max(docs.count(), 1)
     sample = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(n)) < SAMPLE_ROWS)
 
@@ -92,10 +109,13 @@ def frequent_elements(docs: DataFrame, text: str, join: Join) -> np.ndarray:
                 value, _ = _elements(part, join, np.zeros(0, np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64))], ["value"])
 
-    seen = sample.mapInArrow(elements, "value long").groupBy("value").count()
+    seen = sample.mapInArrow(in_pieces(elements), "value long").groupBy("value").count()
     often = seen.where(F.col("count") >= SAMPLE_COUNT).orderBy(F.desc("count"), "value")
-    found = often.limit(FREQUENT_LIMIT).toPandas()["value"].to_numpy(np.int64)
-    return np.sort(found.view(np.uint64))
+    found = often.limit(FREQUENT_LIMIT).toPandas()
+    level = np.minimum(np.log2(np.maximum(found["count"], 2)).astype(np.uint64), (1 << LEVEL_BITS) - 1)
+    value = found["value"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(value)
+    return (value | (level.to_numpy() << np.uint64(63 - LEVEL_BITS)))[order]
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str, join: Join, frequent) -> DataFrame:
@@ -126,32 +146,34 @@ def shingle_sets(docs: DataFrame, key: str, text: str, join: Join, frequent) ->
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(summed, "doc_id long, n long, f1 long, f2 long, prefix array<long>")
+    return rows.mapInArrow(in_pieces(summed), "doc_id long, n long, f1 long, f2 long, prefix array<long>")
 
 
 def _run_pairs(join: Join):
     """Pairs of groups along runs of equal elements, in a partition sorted by them.
 
-    Rows out: kind 1, a pair (x, y) with sizes (n, k), once for each element that it
-    meets in; kind 4, the same in a run that is not wholly paired; kind 2, element x
+    Rows out: kind 1, a pair (x, y) with sizes (n, k) and the larger ``least`` of both,
+    once for each element that it meets in; kind 4, the same in a run that is not wholly paired; kind 2, element x
     and group y at a partition's edge; kind 3, element x and group y of a run that was
     not wholly paired.
     """
 
-    def rows(kind: int, x, y, n, k) -> pa.RecordBatch:
-        columns = [np.full(len(x), kind), x, y, n, k]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "x", "y", "n", "k"])
+    def rows(kind: int, x, y, n, k, least) -> pa.RecordBatch:
+        columns = [np.full(len(x), kind), x, y, n, k, least]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], ["kind", "x", "y", "n", "k", "least"]
+        )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4  # first rows of the run that may go on
-        seen = weight = 0  # rows and classes of that run so far
+        held = [np.zeros(0, np.int64)] * 5  # first rows of the run that may go on
+        seen = crowds = 0  # rows of that run so far, and groups of more than GROUP_PIVOTS classes
         told = False  # whether its rows went out as kind 3
         first_run = True
         for batch in batches:
             if not batch.num_rows:
                 continue
             old = len(held[0])
-            token, gid, n, m = (
+            token, gid, n, m, least = (
                 np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns, strict=True)
             )
             goes_on = old > 0 and len(token) > old and token[old] == token[0]
@@ -165,77 +187,114 @@ def _run_pairs(join: Join):
             pivot = start[run[later]] + inside
             alike = join.percent * np.maximum(n[pivot], n[later]) <= 100 * np.minimum(n[pivot], n[later])
             pivot, later = pivot[alike], later[alike]
-            total = np.add.reduceat(m, start)
+            crowd = (m > GROUP_PIVOTS).astype(np.int64)
+            total = np.add.reduceat(crowd, start)
             if old:
-                total[0] += weight - m[:old].sum()
-            is_open = (total > PIVOTS + 1) & (size > 1)
+                total[0] += crowds - crowd[:old].sum()
+            is_open = (size > PIVOTS + 1) | (total > 1)
             is_open[0] |= first_run or told
             is_open[-1] = (told and len(start) == 1) or seen * goes_on + size[-1] > PIVOTS + 1
             if first_run and len(start) > 1:
                 edge = slice(0, min(size[0], PIVOTS))
-                yield rows(2, token[edge], gid[edge], n[edge], n[edge])
+                yield rows(2, token[edge], gid[edge], n[edge], n[edge], least[edge])
             partly = is_open[run[later]]
             for kind, own in ((1, ~partly), (4, partly)):
                 p, q = pivot[own], later[own]
-                yield rows(kind, np.minimum(gid[p], gid[q]), np.maximum(gid[p], gid[q]), n[p], n[q])
+                x, y = np.minimum(gid[p], gid[q]), np.maximum(gid[p], gid[q])
+                yield rows(kind, x, y, n[p], n[q], np.maximum(least[p], least[q]))
             out = is_open[run]
             if told:
                 out[:old] = False
-            yield rows(3, token[out], gid[out], n[out], n[out])
+            yield rows(3, token[out], gid[out], n[out], n[out], least[out])
             # What is known of the last run.
             if len(start) > 1:
                 first_run = False
-                seen, told, weight = int(size[-1]), bool(is_open[-1]), int(total[-1])
+                seen, told, crowds = int(size[-1]), bool(is_open[-1]), int(total[-1])
             else:
-                seen, told, weight = seen + len(token) - old, bool(is_open[-1]), int(total[-1])
+                seen, told, crowds = seen + len(token) - old, bool(is_open[-1]), int(total[-1])
             kept = slice(start[-1], start[-1] + (PIVOTS if told else PIVOTS + 1))
-            held = [token[kept], gid[kept], n[kept], m[kept]]
+            held = [token[kept], gid[kept], n[kept], m[kept], least[kept]]
         if seen:
-            token, gid, n, _ = held
+            token, gid, n, _, least = held
             if not told:
-                yield rows(3, token, gid, n, n)
-            yield rows(2, token[:PIVOTS], gid[:PIVOTS], n[:PIVOTS], n[:PIVOTS])
+                yield rows(3, token, gid, n, n, least)
+            edge = slice(0, PIVOTS)
+            yield rows(2, token[edge], gid[edge], n[edge], n[edge], least[edge])
 
     return pairs
 
 
+def _indexed(index: DataFrame, join: Join) -> DataFrame:
+    """The rows (token, gid, n, m) that can pair, with ``least`` and ``own``.
+
+    ``least`` is the number of prefix elements that a group must share with any other,
+    ``own`` that of its elements which no other group has in its prefix.
+    """
+    index = index.repartition("token")
+    shared = index.groupBy("token").agg(
+        F.count(F.lit(1)).alias("times"), F.min("n").alias("low"), F.max("n").alias("high")
+    )
+    met = index.join(shared.where("times > 1"), "token")
+    # Of the sizes that it meets, those that could link; the most unlike one needs least.
+    p, n = join.percent, F.col("n")
+    low = F.greatest("low", F.ceil(p * n / 100))
+    high = F.least("high", F.floor(100 * n / p))
+    met = met.where(F.col("low") <= F.floor(100 * n / p)).where(F.col("high") >= F.ceil(p * n / 100))
+    # Rounding lets a size between need one less than the largest.
+    least = F.least(join.needed(n, F.least(low, n)), join.needed(n, F.greatest(high, n)) - 1)
+    groups = met.groupBy("gid", "n", "m").agg(
+        F.sort_array(F.collect_list(F.struct("times", "token"))).alias("tokens"),
+        F.greatest(F.min(least), F.lit(1)).cast("long").alias("least"),
+    )
+    groups = groups.where(F.size("tokens") >= F.col("least"))
+    own = (n - join.after_prefix(n) - F.size("tokens")).cast("long")
+    kept = F.slice("tokens", F.lit(1), F.size("tokens") - F.col("least").cast("int") + 1)
+    rows = groups.select(F.explode(kept).alias("at"), "gid", "n", "m", "least", own.alias("own"))
+    return rows.select(F.col("at.token").alias("token"), "gid", "n", "m", "least", "own")
+
+
 def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Class pairs of group pairs (a, b): each member meets the other group's pivots."""
-    left = members.select(F.col("gid").alias("a"), F.col("cid").alias("ca"), F.col("at").alias("ia"))
-    right = members.select(F.col("gid").alias("b"), F.col("cid").alias("cb"), F.col("at").alias("ib"))
-    met = pairs.join(left, "a").join(right, "b")
-    met = met.where((F.col("ia") <= PIVOTS) | (F.col("ib") <= PIVOTS)).where("ca <> cb")
-    return met.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
+    # Ranks to a limit are taken in every task before the shuffle, so no group is gathered.
+    rank = F.row_number().over(Window.partitionBy("gid").orderBy("cid"))
+    pivots = members.withColumn("rank", rank).where(F.col("rank") <= GROUP_PIVOTS).drop("rank")
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        left = left.select(F.col("gid").alias("a"), F.col("cid").alias("ca"))
+        right = right.select(F.col("gid").alias("b"), F.col("cid").alias("cb"))
+        return pairs.join(left, "a").join(right, "b").where("ca <> cb")
+
+    both = met(pivots, members).union(met(members, pivots))
+    return both.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     """The pairs (a, b) of class keys whose whole sets link."""
+    # A pair is verified where its end with fewer pairs lives: a pivot's text travels to
+    # the cells of its members, theirs only to their own.
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
+    degree = ends.agg(F.count(F.lit(1)).alias("degree"))
     home = components(pairs)
-    sized = home.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    parts = F.ceil(F.col("size") / CELL_CLASSES).cast("long")
-    home = staged(
-        home.join(sized, "component").select(
-            "node", "component", parts.alias("parts"),
-            F.pmod(F.xxhash64("node"), parts).alias("part"),
+    sized = home.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / CELL_CLASSES).alias("parts"))
+    cell = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts")))
+    side = home.join(sized, "component").join(degree, "node").select("node", "degree", cell.alias("cell"))
+    side = staged(side)
+    unstage(home)
+
+    def of(end: str) -> DataFrame:
+        return side.select(
+            F.col("node").alias(end), F.col("degree").alias(f"d{end}"), F.col("cell").alias(f"cell_{end}")
         )
-    )
-    # Cell (i, j), i <= j, of a component has the pairs between its parts i and j.
+
+    at = F.when(F.struct("da", "a") < F.struct("db", "b"), F.col("cell_a")).otherwise(F.col("cell_b"))
+    placed = staged(pairs.join(of("a"), "a").join(of("b"), "b").select(at.alias("cell"), "a", "b"))
+    needed = placed.select(F.col("cell").alias("place"), F.explode(F.array("a", "b")).alias("node"))
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    few = home.count() <= BROADCAST_ROWS
-    texts = texts.join(F.broadcast(home) if few else home, "node")
-    texts = texts.dropDuplicates(["node", "text"])
-    cells = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    cells = cells.select(
-        F.xxhash64("component", F.least("part", "other"), F.greatest("part", "other")).alias("cell"),
-        "node", "text",
-    )
-    side = home.select("node", "component", "part")
-    placed = pairs.join(side.withColumnsRenamed({"node": "a", "part": "pa"}), "a").join(
-        side.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b"
-    )
-    placed = placed.select(
-        F.xxhash64("component", F.least("pa", "pb"), F.greatest("pa", "pb")).alias("cell"), "a", "b"
-    )
+    nodes = side.select("node")
+    few = nodes.count() <= BROADCAST_ROWS
+    texts = texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+    cells = texts.dropDuplicates(["node", "text"]).join(needed.distinct(), "node")
+    cells = cells.select(F.col("place").alias("cell"), "node", "text")
 
     def linked_sets(x: np.ndarray, y: np.ndarray) -> bool:
         if join.percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
@@ -264,10 +323,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, join: Join
         columns = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table({"a": columns[0], "b": columns[1]})
 
-    cells = cells.join(placed.select("cell").distinct(), "cell", "left_semi")
     matched = cells.groupBy("cell").cogroup(placed.groupBy("cell"))
     links = staged(matched.applyInArrow(linked, "a long, b long"))
-    unstage(home)
+    unstage(side, placed)
     return links
 
 
@@ -276,7 +334,6 @@ def similar(
 ) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the least key reachable by links."""
     spark = docs.sparkSession
-    text_batches(spark)
     frequent = frequent_elements(docs, text, join)
     sets = staged(shingle_sets(docs, key, text, join, frequent))
     whole = sets.where("n > 0 AND doc_id IS NOT NULL")
@@ -298,21 +355,20 @@ def similar(
     )
     index = sized.select(F.explode("prefix").alias("token"), "gid", "n", F.col("m").cast("long").alias("m"))
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = index.repartitionByRange(shuffles, "token", "gid").sortWithinPartitions("token", "gid")
-    met = index.mapInArrow(_run_pairs(join), "kind long, x long, y long, n long, k long")
-    # A pair that could link has more elements of its prefixes in common than this.
-    sum_, more_ = F.col("n") + F.col("k"), F.greatest(*[join.after_prefix(F.col(c)) for c in "nk"])
-    needed = F.ceil(join.percent * sum_ / (100 + join.percent)) - more_
+    index = _indexed(index, join).repartitionByRange(shuffles, "token", "own", "gid")
+    index = index.sortWithinPartitions("token", "own", "gid").drop("own")
+    schema = "kind long, x long, y long, n long, k long, least long"
+    met = index.mapInArrow(_run_pairs(join), schema)
+    # A pair that could link has as many indexed elements in common: all that it needs but
+    # those that neither index holds.
+    needed = join.needed(F.col("n"), F.col("k")) - F.col("least") + 1
     met = met.withColumns({"n": F.least("n", "k"), "k": F.greatest("n", "k")})
-    runs = staged(met.groupBy("kind", "x", "y", "n", "k").agg(F.count(F.lit(1)).alias("common")))
-    met = runs.where("kind IN (1, 4)").groupBy("x", "y", "n", "k").agg(F.sum("common").alias("common"))
+    pair = ("x", "y", "n", "k", "least")
+    runs = staged(met.groupBy("kind", *pair).agg(F.count(F.lit(1)).alias("common")))
+    met = runs.where("kind IN (1, 4)").groupBy(*pair).agg(F.sum("common").alias("common"))
     met = met.where(F.col("common") >= needed)
-    # Places within a group matter only where it has several classes.
-    several = sized.where("m > 1").select("gid", F.col("m").cast("long").alias("m"))
-    crowded = members.join(several.select("gid"), "gid", "left_semi")
-    placed = crowded.withColumn("at", F.row_number().over(Window.partitionBy("gid").orderBy("cid")))
-    single = members.join(several.select("gid"), "gid", "left_anti").withColumn("at", F.lit(1))
-    members = staged(placed.union(single))
+    several = sized.where("m > 1").select("gid")
+    members = staged(members)
     edges = runs.where("kind = 2").select(F.col("x").alias("token"), F.col("y").alias("gid"))
     ranked = edges.distinct().withColumn(
         "at", F.row_number().over(Window.partitionBy("token").orderBy("gid"))
@@ -329,21 +385,22 @@ def similar(
     group_pairs = group_pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = staged(_expanded(group_pairs.distinct(), members))
     links = _verified(pairs, docs, key, text, join)
-    found = staged(components(links.union(same)))
+    found = components(links.union(same))
     # Runs that were not wholly paired: across their components, every pair is looked at.
-    open_rows = runs.where("kind = 3").select(F.col("x").alias("token"), F.col("y").alias("gid"), "n")
-    open_rows = open_rows.union(
-        sized.where(F.col("m") > PIVOTS + 1).select(F.col("gid").alias("token"), "gid", "n")
+    open_rows = runs.where("kind = 3").select(
+        F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least"
     )
+    large = sized.where(F.col("m") > GROUP_PIVOTS + 1)
+    open_rows = open_rows.union(large.select(F.col("gid").alias("token"), "gid", "n", F.lit(1)))
     member_rows = open_rows.distinct().join(members.select("gid", "cid"), "gid")
     named = member_rows.join(found.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "token", "gid", "cid", "n", F.coalesce("component", "cid").alias("component")
+        "token", "gid", "cid", "n", "least", F.coalesce("component", "cid").alias("component")
     )
     mixed = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = mixed.where("lo <> hi").select("token")
     left = staged(named.join(mixed, "token", "left_semi"))
     other = left.select(
-        "token", *[F.col(c).alias(f"o_{c}") for c in ("gid", "cid", "n", "component")]
+        "token", *[F.col(c).alias(f"o_{c}") for c in ("gid", "cid", "n", "least", "component")]
     )
     rest = left.join(other, "token").where(
         (F.col("cid") < F.col("o_cid"))
@@ -357,8 +414,9 @@ def similar(
         F.greatest("gid", "o_gid").alias("y"),
         F.least("n", "o_n").alias("n"),
         F.greatest("n", "o_n").alias("k"),
+        F.greatest("least", "o_least").alias("least"),
     )
-    rest = rest.groupBy("a", "b", "x", "y", "n", "k").agg(F.count(F.lit(1)).alias("in_open"))
+    rest = rest.groupBy("a", "b", *pair).agg(F.count(F.lit(1)).alias("in_open"))
     # With what they share in wholly paired runs, all of what their prefixes share.
     closed = runs.where("kind = 1").select("x", "y", F.col("common").alias("in_closed"))
     rest = rest.join(closed, ["x", "y"], "left")
@@ -369,7 +427,7 @@ def similar(
     if not rest.isEmpty():
         more = _verified(rest, docs, key, text, join)
         ends = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        final = staged(components(more.union(ends)))
+        final = components(more.union(ends))
         unstage(more, found)
     unstage(runs, members, pairs, links, left, rest, grouped)
     return sets.join(final, sets["doc_id"] == final["node"], "left").select(

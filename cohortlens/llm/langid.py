@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.quality import fold
 from cohortlens.llm.textbytes import LOWER, Texts, slices
 
@@ -127,7 +127,6 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, n_rows: int, penalty: float =
 
 def learned(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Languages:
     """Window counts of every text of known language outside the held-out fold."""
-    text_batches(docs.sparkSession)
     known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
     known = known.where("lang IS NOT NULL AND text IS NOT NULL")
     known = known.where(F.coalesce(fold("key", FOLDS) != HELD_OUT, F.lit(False)))
@@ -163,7 +162,7 @@ def learned(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         for name in sorted(kept):
             yield listed(name, kept[name])
 
-    seen = known.mapInArrow(counts, "lang string, slot long, n long")
+    seen = known.mapInArrow(in_pieces(counts), "lang string, slot long, n long")
     table = seen.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(table["lang"].to_pylist()))
     total = np.zeros((SLOTS + N_SCRIPTS, len(names)))
@@ -236,4 +235,4 @@ def identified(docs: DataFrame, model: Languages, key: str = "doc_id", text: str
                     ["doc_id", "held_out", "lang_pred", "score", "n_spans"],
                 )
 
-    return rows.mapInArrow(label, schema)
+    return rows.mapInArrow(in_pieces(label), schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.textbytes import slices
 from cohortlens.llm.tokens import VOCABULARY, encoder
 from cohortlens.sources.staging import staged
@@ -39,8 +39,7 @@ def histogram(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY)
                 [pa.array(length.astype(np.int64)), pa.array(n.astype(np.int64))], ["length", "n"]
             )
 
-    text_batches(docs.sparkSession)
-    seen = docs.select(text).mapInArrow(count, "length long, n long")
+    seen = docs.select(text).mapInArrow(in_pieces(count), "length long, n long")
     return seen.groupBy("length").agg(F.sum("n").alias("n_docs"))
 
 

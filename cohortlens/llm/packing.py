@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.tokens import VOCABULARY, encoded_slices
 from cohortlens.sources.staging import staged, unstage
 
@@ -160,7 +160,7 @@ def encoded(docs: DataFrame, key: str, text: str, vocabulary: str) -> DataFrame:
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(cut, PIECES)
+    return rows.mapInArrow(in_pieces(cut), PIECES)
 
 
 def _ranked(pieces: DataFrame, by: list[str], order: list[str], value: str, name: str) -> DataFrame:
@@ -183,7 +183,6 @@ def packed(
 ) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
-    text_batches(spark)
     raw = staged(encoded(docs, key, text, vocabulary))
     rows = raw.agg(F.count(F.lit(1)), F.max("own")).first()
     n_slices = max(1, -(-rows[0] // SLICE_ROWS))
@@ -276,7 +275,7 @@ def sequences(
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ids = rows.mapInArrow(all_ids, "doc_id long, ids array<int>")
+    ids = rows.mapInArrow(in_pieces(all_ids), "doc_id long, ids array<int>")
     own = F.slice("ids", (F.col("start") + 1).cast("int"), F.col("length").cast("int"))
     placed = pieces.join(ids, "doc_id").select("sequence_id", "offset", own.alias("ids"))
     ordered = F.sort_array(F.collect_list(F.struct("offset", "ids")))

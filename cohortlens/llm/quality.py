@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.boosting import AdditiveModel, fit_additive
 from cohortlens.llm.textbytes import IS_SPACE, Texts, shingle_hash, slices
 
@@ -119,7 +119,6 @@ def learned(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> AdditiveModel:
     """The model of the labelled texts outside the held-out fold."""
-    text_batches(docs.sparkSession)
     known = labels.select(F.col(key).alias("key"), F.col(label).alias("label"))
     known = known.where(F.col("key").isNotNull() & F.col("label").isNotNull())
     known = known.where(fold("key", FOLDS) != HELD_OUT).groupBy("key")
@@ -139,7 +138,7 @@ def learned(
                 )
 
     # Rows that repeat a key could be many more than keys: the bound holds for both.
-    table = rows.mapInArrow(counted, schema).limit(SAMPLE_ROWS).toArrow()
+    table = rows.mapInArrow(in_pieces(counted), schema).limit(SAMPLE_ROWS).toArrow()
     x = np.stack([table[f].to_numpy() for f in FEATURES], axis=1)
     y = table["y"].to_numpy()
     order = np.lexsort((*x.T, y))  # the order in which tasks end must not matter
@@ -166,4 +165,4 @@ def scored(
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(in_pieces(score), "doc_id long, held_out boolean, score double, predicted int")

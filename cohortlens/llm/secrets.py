@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.textbytes import slices
 from cohortlens.sources.staging import staged, unstage
 
@@ -206,7 +206,6 @@ def words_outside(text: str) -> set[str]:
 
 def word_costs(docs: DataFrame, text: str = "text") -> dict[str, float]:
     """The fixed words' costs, and after them those of the words in most rows of ``docs``."""
-    text_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +214,7 @@ def word_costs(docs: DataFrame, text: str = "text") -> dict[str, float]:
                 [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
             )
 
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(in_pieces(count), "word string, n long")
     rows = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LISTED_ROWS)
     rows = staged(rows)
     # The least count that no more than the listed words reach, from a histogram of the counts:
@@ -238,7 +237,6 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: str
         "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
         "redacted string"
     )
-    text_batches(docs.sparkSession)
     columns = [F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")]
     rows = docs.select(*columns, *([F.col(carry)] if carry else []))
     if carry:
@@ -265,4 +263,4 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: str
                  *([carry] if carry else [])],
             )
 
-    return rows.mapInArrow(scan, schema)
+    return rows.mapInArrow(in_pieces(scan), schema)

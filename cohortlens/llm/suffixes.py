@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm import text_batches
+from cohortlens.llm import in_pieces
 from cohortlens.llm.textbytes import Texts, mix, slices
 from cohortlens.sources.staging import staged, unstage
 
@@ -245,7 +245,7 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 low, high, row, t1, t2 = intervals(part, length)
                 yield _suffix_batch(batch, part, row, t1, t2, low, high, 1)
 
-    anchored = staged(rows.mapInArrow(cut, SUFFIX))
+    anchored = staged(rows.mapInArrow(in_pieces(cut), SUFFIX))
     sorted_ = compared(anchored)
     unstage(anchored)
     whole = sorted_.where("same2").select("doc_id", "mark", "low", "high")
@@ -279,7 +279,7 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     value = F.struct("low", "high", "weight")
     near = open_.groupBy("doc_id", "mark").agg(F.collect_list(value).alias("spans"))
     near = _with_lists(rows, near, few, "inner")
-    starts = staged(near.mapInArrow(single, SUFFIX))
+    starts = staged(near.mapInArrow(in_pieces(single), SUFFIX))
     found = compared(starts)
     unstage(starts)
     repeats = whole.union(
@@ -320,7 +320,6 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed ``cuts``."""
-    text_batches(docs.sparkSession)
     covered = repeated_bytes(docs, key, text, length)
     few = covered.select(F.sum(F.size("spans"))).first()[0] or 0
     joined = _with_lists(_documents(docs, key, text), covered, few <= BROADCAST_ROWS, "left")
@@ -350,4 +349,4 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "cuts"],
             )
 
-    return joined.mapInArrow(remove, schema)
+    return joined.mapInArrow(in_pieces(remove), schema)
