@@ -29,16 +29,30 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the least key."""
-    found = staged(jaccard.similar(docs, NEAR))
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(_listed(others), "doc_id", "left_anti").select(*docs.columns)
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    again = again.select("doc_id")
+    """Of each group of linked documents one, that with the least key.
+
+    Rows are judged one by one, by a fingerprint of key and text: differing texts of one
+    key are different documents, and of rows that agree in key and text the least by
+    their other columns stays.
+    """
+    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    rows = docs.withColumn("node", node)
+    found = staged(jaccard.similar(rows, NEAR, key="node").select(F.col("doc_id").alias("node"), "component_id"))
+    keyed = rows.select("node", F.struct("doc_id", "node").alias("key"))
+    again = found.where("node IS NOT NULL").groupBy("node").count().where("count > 1").select("node")
+    crowded = found.where("node <> component_id").select("component_id").distinct()
+    members = found.distinct().join(crowded, "component_id", "left_semi")
+    members = keyed.join(_listed(members), "node")
+    least = members.groupBy("component_id").agg(F.min("key").alias("stays"))
+    others = members.join(least, "component_id").where("key <> stays").select("node").distinct()
+    kept = rows.join(_listed(staged(others)), "node", "left_anti")
     if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once)
+        return kept.select(*docs.columns)
+    again = _listed(again)
+    row = F.struct(*docs.columns)
+    once = kept.join(again, "node", "left_semi").groupBy("node").agg(F.min(row).alias("row"))
+    single = kept.join(again, "node", "left_anti").select(*docs.columns)
+    return single.unionByName(once.select("row.*"))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
