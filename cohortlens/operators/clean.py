@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions import additive_score, binary_flag
 
+#: Years have four digits, so there are more bins than years, and only equal ones are merged.
+YEARS = 10_000
+
 
 def keep_valid_target(df: DataFrame, col: str, codes: Sequence[int]) -> DataFrame:
     """Rows whose outcome code is one of ``codes``; NULL never is."""
@@ -40,6 +44,33 @@ def quality_report(df: DataFrame, key: str, name: str = "row_count") -> DataFram
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name)).orderBy(key)
 
 
+def observed_counts(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
+    """``df``, and its rows per year ``key`` as a by-product of whatever runs it next."""
+    observation = Observation()
+    return (
+        df.observe(
+            observation,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(key).isNull()).alias("without"),
+            F.histogram_numeric(F.col(key).cast("double"), F.lit(YEARS)).alias("bins"),
+        ),
+        observation,
+    )
+
+
+def counts_of(observation: Observation, spark: SparkSession, key: str, name: str = "row_count") -> DataFrame:
+    """The observed rows per ``key``, nulls first as in ``quality_report``."""
+    found = observation.get
+    rows = [(None, int(found["without"]))] if found["without"] else []
+    counts: Counter[int] = Counter()
+    for bin_ in found["bins"] or []:  # a task's bins lie beside those of others
+        if bin_["x"] != int(bin_["x"]):
+            raise ValueError(f"{key} has values that are no years of four digits")
+        counts[int(bin_["x"])] += int(bin_["y"])
+    rows += sorted(counts.items())
+    return spark.createDataFrame(rows, f"`{key}` int, `{name}` long")
+
+
 def preview(df: DataFrame, key: Sequence[str], rows: int = 5) -> DataFrame:
     """The first rows by ``key``, then by all other columns."""
     others = [c for c in df.columns if c not in key]

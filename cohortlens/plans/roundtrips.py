@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.jobs import clean, collect, pipeline
+from cohortlens.operators.blocks import CHUNK
+from cohortlens.operators.clean import counts_of
 from cohortlens.plans.cleaning import clean_survey
 from cohortlens.plans.coded_lineitem import coded_lineitem
 from cohortlens.sinks import save_query, write_cleaned, write_parts
@@ -90,6 +92,25 @@ def collected_and_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_cleaned(spark, f"{work}/cleaned", CARDIO)
 
 
+def written_year_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per year as observed while the cleaned table is written."""
+    cleaned = clean_survey(coded_lineitem(spark, sf_dir), CARDIO)
+    counted = write_cleaned(cleaned, f"{scratch(spark)}/cleaned", CARDIO.year, rebalance=True)
+    return counts_of(counted, spark, CARDIO.year)
+
+
+def relanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of all years, then of the even years again: rows per year and block."""
+    folder = scratch(spark)
+    rows = as_text(spark, sf_dir)
+    numbered = rows.withColumn(CHUNK, F.lit(1).cast("long"))
+    write_parts(numbered, folder, CARDIO.year, by_chunk=True)
+    again = rows.where(F.col(CARDIO.year) % 2 == 0).withColumn(CHUNK, F.lit(2).cast("long"))
+    write_parts(again, folder, CARDIO.year, by_chunk=True)
+    stored = spark.read.schema(f"{CARDIO.outcome} string, {CARDIO.year} int, {CHUNK} long").parquet(folder)
+    return stored.groupBy(CARDIO.year, CHUNK).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The age by score table that the whole pipeline of jobs leaves."""
     work = scratch(spark)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.blocks import CHUNK
-from cohortlens.sources.staging import hadoop_path
+from cohortlens.operators.clean import observed_counts
+from cohortlens.sources.staging import hadoop_path, staged, unstage
 
 ROWS_PER_FILE = 10_000_000
+RESULT_ROWS = 1_000_000  # rows of a result that still become one file
 SOURCE = "source_name"
+# Folders that readers pass over: new blocks on their way in, old ones on their way out.
+INCOMING, OUTGOING = "_incoming", "_outgoing"
 
 
 def write_parts(
@@ -29,14 +35,14 @@ def write_parts(
     With ``by_chunk`` the rows carry block numbers, and source files if blocks are
     counted per file, and each block
     becomes one file in its own directory; a block is at most one chunk, so no task
-    gets more. Blocks landed before of the years written now are removed first.
+    gets more. All blocks are written beside the old ones first; then each year's
+    folder is put in the place of the old one, so that a write that fails leaves the
+    blocks landed before, and the rows are worked out once.
     """
-    folders = [year]
+    folders, target = [year], uri
     if by_chunk:
-        for row in df.select(year).distinct().collect():  # years are few
-            name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
-            where, files = hadoop_path(df.sparkSession, f"{uri}/{year}={name}")
-            files.delete(where, True)
+        restore_years(df.sparkSession, uri)
+        target = f"{uri}/{INCOMING}-{uuid.uuid4().hex}"
         folders += [c for c in (SOURCE, CHUNK) if c in df.columns]
         df = df.repartition(*folders)
     else:
@@ -51,13 +57,72 @@ def write_parts(
     )
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.format(fmt).save(uri)
+    if not by_chunk:
+        writer.format(fmt).save(uri)
+        return
+    try:
+        writer.format(fmt).save(target)
+        swap_years(df.sparkSession, target, uri)
+    finally:
+        where, files = hadoop_path(df.sparkSession, target)
+        files.delete(where, True)
+
+
+def _folders(spark: SparkSession, uri: str) -> list[str]:
+    """Names of the folders within a folder, which may be missing."""
+    where, files = hadoop_path(spark, uri)
+    if not files.exists(where):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(where) if f.isDirectory())
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    here, files = hadoop_path(spark, source)
+    there, _ = hadoop_path(spark, target)
+    files.mkdirs(there.getParent())
+    if not files.rename(here, there):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def swap_years(spark: SparkSession, incoming: str, uri: str) -> None:
+    """Put each year's folder of ``incoming`` in the place of that in ``uri``.
+
+    The old folder moves aside first and goes last, so at each moment the whole old or
+    the whole new year is there; ``restore_years`` mends a swap that was cut short.
+    """
+    outgoing = f"{uri}/{OUTGOING}-{uuid.uuid4().hex}"
+    years = [name for name in _folders(spark, incoming) if "=" in name]
+    present = set(_folders(spark, uri))
+    for name in years:
+        if name in present:
+            _move(spark, f"{uri}/{name}", f"{outgoing}/{name}")
+        _move(spark, f"{incoming}/{name}", f"{uri}/{name}")
+    where, files = hadoop_path(spark, outgoing)
+    files.delete(where, True)
+
+
+def restore_years(spark: SparkSession, uri: str) -> None:
+    """Undo what a swap that was cut short left: old years whose new ones never arrived.
+
+    Only one job at a time may land blocks under ``uri``.
+    """
+    present = set(_folders(spark, uri))
+    for name in sorted(present):
+        if name.startswith(f"{OUTGOING}-"):
+            for year in _folders(spark, f"{uri}/{name}"):
+                if year not in present:
+                    _move(spark, f"{uri}/{name}/{year}", f"{uri}/{year}")
+        if name.startswith((f"{OUTGOING}-", f"{INCOMING}-")):
+            where, files = hadoop_path(spark, f"{uri}/{name}")
+            files.delete(where, True)
 
 
 def write_cleaned(
     df: DataFrame, uri: str, year: str = "YEAR", fmt: str = "parquet", rebalance: bool = False
-) -> None:
-    """Write the cleaned table, replacing it.
+) -> Observation:
+    """Write the cleaned table, replacing it; rows per year are observed by the way.
+
+    ``clean.counts_of`` turns the observation into a table, without another scan.
 
     Parquet is laid out by year. Parts hold one year each, so tasks write few
     files without a shuffle; for input that mixes years, ``rebalance`` evens out
@@ -65,23 +130,37 @@ def write_cleaned(
     """
     if rebalance:
         df = df.hint("rebalance", F.col(year))
+    # Behind the shuffle, where a task that runs again is counted once.
+    df, observation = observed_counts(df, year)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(uri)
     else:
         writer.partitionBy(year).format(fmt).save(uri)
+    return observation
 
 
-def save_result(df: DataFrame, directory: str, name: str) -> None:
-    """Store a result table as one headed CSV file in ``directory/name``.
+def save_result(df: DataFrame, directory: str, name: str, one_file_rows: int = RESULT_ROWS) -> None:
+    """Store a result as headed CSV in ``directory/name``, in its own order.
 
-    For aggregated or limited results only: they fit one file whatever the input.
+    Up to ``one_file_rows`` rows become one file, more rows several whose names are in
+    order. The result is written once as it is worked out, by all its tasks, and
+    counted there; only rows known to be few pass through one task.
     """
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{directory}/{name}")
+    order = "_result_order"
+    rows = staged(df.withColumn(order, F.monotonically_increasing_id()))
+    whole = rows.orderBy(order).drop(order)
+    if rows.count() <= one_file_rows:
+        whole = whole.coalesce(1)
+    whole.write.mode("overwrite").option("header", True).csv(f"{directory}/{name}")
+    unstage(rows)
 
 
 def save_query(spark: SparkSession, sql: str, directory: str, name: str) -> DataFrame:
-    """Run SQL over the registered views, store its result by name and return it."""
+    """Run SQL over the registered views, store its result by name and return it.
+
+    A result of any size; ``save_result`` tells how many files it becomes.
+    """
     result = spark.sql(sql)
     save_result(result, directory, name)
     return result

@@ -11,12 +11,19 @@ def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder, else a folder in its warehouse.
 
     One rule for every master: both are folders that all executors of a cluster
-    reach, so nothing lands in a machine's own temporary folder.
+    reach, so nothing lands in a machine's own temporary folder. A warehouse on the
+    local file system is that only where driver and executors are one machine; on a
+    cluster it is an error, and ``spark.checkpoint.dir`` must be set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir") + "/stages"
+        _, files = hadoop_path(spark, folder)
+        if files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                f"executors may not reach {folder}: set spark.checkpoint.dir to a shared folder"
+            )
     return folder.rstrip("/")
 
 
