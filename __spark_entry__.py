@@ -118,15 +118,20 @@ def combination_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_test_report(cleaned(spark, sf_dir), CARDIO, ROW_KEY, LANGUAGE).metrics
+    report = train_test_report(cleaned(spark, sf_dir), CARDIO, ROW_KEY, LANGUAGE, exact=True)
+    return report.metrics.withColumn("value", F.round("value", 6))
 
 
 def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_test_report(cleaned(spark, sf_dir), CARDIO, ROW_KEY, LANGUAGE).coefficients
+    report = train_test_report(cleaned(spark, sf_dir), CARDIO, ROW_KEY, LANGUAGE, exact=True)
+    return report.coefficients.withColumns(
+        {c: F.round(c, 6) for c in ("coefficient", "odds_ratio")}
+    )
 
 
 def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_test_rows(cleaned(spark, sf_dir), CARDIO, ROW_KEY)
+    found = score_test_rows(cleaned(spark, sf_dir), CARDIO, ROW_KEY, exact=True)
+    return found.withColumn("probability_yes", F.round("probability_yes", 6))
 
 
 def score_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,6 +408,56 @@ SELECT 'Risk_Score' AS feature, round(any_value(b1), 4) AS coefficient,
 FROM known, final WHERE NOT is_train"""
 
 
+def _fit_sql(rounds: int = 15, penalty: float = 0.01) -> str:
+    """A logistic fit on all features by Newton steps, each solved by elimination."""
+    names = list(CARDIO.features)
+    size = len(names) + 1
+    x = ["1.0", *[f"x{i}" for i in range(1, size)]]
+    margin = " + ".join(f"b[{i + 1}] * {x[i]}" for i in range(size))
+    rows = []
+    for i in range(size):
+        cells = [
+            f"sum(n * p * (1 - p) * {x[i]} * {x[j]}) / sum(n)" + (f" + {penalty}" if i == j > 0 else "")
+            for j in range(size)
+        ]
+        slope = f"sum(n * (p - label) * {x[i]}) / sum(n)" + (f" + {penalty} * any_value(b)[{i + 1}]" if i else "")
+        rows.append(f"[{', '.join([*cells, slope])}]")
+    steps = []
+    for r in range(1, rounds + 1):
+        solved = f"step{r}"
+        for k in range(1, size + 1):
+            solved = f"""(SELECT b, list_transform(m, lambda row, i: CASE WHEN i = {k}
+      THEN list_transform(row, lambda v: v / row[{k}])
+      ELSE list_transform(row, lambda v, j: v - row[{k}] / m[{k}][{k}] * m[{k}][j]) END) AS m
+    FROM {solved})"""
+        steps.append(
+            f"""step{r} AS MATERIALIZED (
+  SELECT any_value(b) AS b, [{", ".join(rows)}] AS m
+  FROM (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM grouped, fit{r - 1})
+),
+fit{r} AS MATERIALIZED (
+  SELECT list_transform(b, lambda v, i: v - m[i][{size + 1}]) AS b FROM {solved}
+)"""
+        )
+    scales = ", ".join(f'stddev_samp("{f}") AS s{i}' for i, f in enumerate(names, 1))
+    scaled = ", ".join(f'"{f}" / s{i} AS x{i}' for i, f in enumerate(names, 1))
+    plain = ", ".join(f"b[{i + 1}] / s{i}" for i in range(1, size))
+    chance = " + ".join(f'c[{i}] * "{f}"' for i, f in enumerate(names, 1))
+    return f"""{_MODEL},
+scale AS (SELECT {scales} FROM model WHERE is_train),
+grouped AS MATERIALIZED (
+  SELECT label, {scaled}, CAST(count(*) AS DOUBLE) AS n
+  FROM model, scale WHERE is_train GROUP BY ALL
+),
+fit0 AS MATERIALIZED (SELECT list_transform(range({size}), lambda i: 0.0::DOUBLE) AS b),
+{",".join(steps)},
+final AS MATERIALIZED (SELECT b[1] AS b0, [{plain}] AS c FROM fit{rounds}, scale),
+tested AS (
+  SELECT l_orderkey, l_linenumber, label, b0 + {chance} AS margin
+  FROM model, final WHERE NOT is_train
+)"""
+
+
 def _labelled(column: str, labels) -> str:
     cases = " ".join(f"WHEN {code} THEN '{text}'" for code, text in labels.items())
     return f"CASE {column} {cases} END"
@@ -546,6 +601,27 @@ SELECT test_rows, correct,
     ELSE CAST(correct AS DOUBLE) / test_rows END AS accuracy
 FROM judged""",
         "score_model": f"WITH {_SCORE_MODEL}",
+        "model_coefficients": f"""WITH {_fit_sql()}
+SELECT unnest([{", ".join(f"'{f}'" for f in CARDIO.features)}]) AS feature,
+  unnest([{", ".join(f"'{labels.features[f]}'" for f in CARDIO.features)}]) AS "{labels.feature_column}",
+  unnest(list_transform(c, lambda v: round(v, 6))) AS coefficient,
+  unnest(list_transform(c, lambda v: round(exp(v), 6))) AS odds_ratio
+FROM final""",
+        "model_predictions": f"""WITH {_fit_sql()}
+SELECT l_orderkey, l_linenumber, label, CAST(margin > 0 AS DOUBLE) AS prediction,
+  round(1 / (1 + exp(-margin)), 6) AS probability_yes
+FROM tested""",
+        "model_metrics": f"""WITH {_fit_sql()},
+graded AS (
+  SELECT 1 / (1 + exp(-margin)) AS p, sum(label) AS pos, sum(1 - label) AS neg
+  FROM tested GROUP BY p
+),
+won AS (SELECT pos, neg, pos * (sum(neg) OVER (ORDER BY p) - neg / 2) AS w FROM graded)
+SELECT 'model_input_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM model
+UNION ALL SELECT 'test_rows', CAST(count(*) AS DOUBLE) FROM tested
+UNION ALL SELECT 'auc', round(sum(w) / (sum(pos) * sum(neg)), 6) FROM won
+UNION ALL SELECT 'accuracy',
+  round(CAST(count(*) FILTER (WHERE CAST(margin > 0 AS DOUBLE) = label) AS DOUBLE) / count(*), 6) FROM tested""",
         "chunk_numbering": numbered,
         "chunk_cap_per_year": f"""SELECT order_year, chunk_no, count(*) AS row_count,
   min(o_orderkey) AS first_key, max(o_orderkey) AS last_key

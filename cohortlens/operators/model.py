@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import ElementwiseProduct, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -102,13 +103,25 @@ def fit_logistic(
     )
     regression = LogisticRegression(labelCol=LABEL, maxIter=max_iter, regParam=reg, tol=tol)
     if weight is None:
-        return Pipeline(stages=[assembler, regression]).fit(train)
+        return _without_summary(Pipeline(stages=[assembler, regression]).fit(train))
     scale = [1 / d if d > 0 else 0.0 for d in _sample_deviations(train, features, weight)]
     scaler = ElementwiseProduct(
         scalingVec=Vectors.dense(scale), inputCol="features", outputCol="scaled_features"
     )
     regression.setFeaturesCol("scaled_features").setWeightCol(weight).setStandardization(False)
-    return Pipeline(stages=[assembler, scaler, regression]).fit(train)
+    return _without_summary(Pipeline(stages=[assembler, scaler, regression]).fit(train))
+
+
+def _without_summary(fitted: PipelineModel) -> PipelineModel:
+    """The model without its training summary, which holds on to the session.
+
+    A session that has observed a query cannot be sent to tasks, and with it no model
+    that holds on to it.
+    """
+    regression = fitted.stages[-1]
+    none = SparkSession.active().sparkContext._jvm.scala.Option.empty()
+    regression._java_obj.setSummary(none)
+    return fitted
 
 
 def _sample_deviations(df: DataFrame, features: Sequence[str], weight: str) -> list[float]:
@@ -129,6 +142,64 @@ def _sample_deviations(df: DataFrame, features: Sequence[str], weight: str) -> l
     return [math.sqrt(square / (first.total - 1)) for square in squares]
 
 
+@dataclass(frozen=True)
+class Logit:
+    """A fitted model as plain numbers: ``intercept`` and one coefficient a feature."""
+
+    features: tuple[str, ...]
+    intercept: float
+    values: tuple[float, ...]
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``probability_yes`` and ``prediction``, as plain expressions."""
+        terms = [F.col(f) * F.lit(v) for f, v in zip(self.features, self.values, strict=True)]
+        margin = reduce(add, terms, F.lit(self.intercept))
+        return df.withColumns(
+            {
+                "probability_yes": 1 / (1 + F.exp(-margin)),
+                "prediction": (margin > 0).cast("double"),
+            }
+        )
+
+
+def fit_to_the_end(
+    train: DataFrame,
+    features: Sequence[str],
+    reg: float = 0.01,
+    weight: str = WEIGHT,
+    steps: int = 50,
+    tol: float = 1e-12,
+) -> Logit:
+    """The exact optimum of ``fit_logistic``'s objective, by Newton steps from zero.
+
+    Each step is one aggregation of the counted combinations into a gradient and a
+    matrix of the features' number squared, solved on the driver; steps end when no
+    standardised coefficient moves by more than ``tol``.
+    """
+    deviations = _sample_deviations(train, features, weight)
+    scale = np.array([1.0, *[1 / d if d > 0 else 0.0 for d in deviations]])
+    x = [F.lit(1.0), *[F.col(f) * F.lit(float(s)) for f, s in zip(features, scale[1:], strict=True)]]
+    size, w = len(x), F.col(weight)
+    penalty = np.diag([0.0, *[reg] * len(features)])
+    b = np.zeros(size)
+    for _ in range(steps):
+        margin = reduce(add, [term * F.lit(float(v)) for term, v in zip(x, b, strict=True)])
+        p = 1 / (1 + F.exp(-margin))
+        sums = [F.sum(w * (p - F.col(LABEL)) * x[i]) for i in range(size)]
+        sums += [F.sum(w * p * (1 - p) * x[i] * x[j]) for i in range(size) for j in range(i + 1)]
+        found = train.agg(F.sum(w).alias("n"), *[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()
+        total = np.array(found[1:], float) / found["n"]
+        curve = np.zeros((size, size))
+        curve[np.tril_indices(size)] = total[size:]
+        curve += np.tril(curve, -1).T + penalty
+        move = np.linalg.lstsq(curve, total[:size] + penalty @ b, rcond=None)[0]
+        b = b - move
+        if np.abs(move).max() <= tol:
+            break
+    values = b * scale
+    return Logit(tuple(features), float(values[0]), tuple(float(v) for v in values[1:]))
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` with the model's ``rawPrediction``, ``probability`` and ``prediction``."""
     return model.transform(df)
@@ -136,19 +207,19 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def predictions(scored: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Label, predicted class and probability of class 1 as plain columns."""
-    chance = vector_to_array("probability")[1]
-    return scored.select(*carry, LABEL, "prediction", chance.alias("probability_yes"))
+    if "probability_yes" not in scored.columns:
+        scored = scored.withColumn("probability_yes", vector_to_array("probability")[1])
+    return scored.select(*carry, LABEL, "prediction", "probability_yes")
 
 
 def coefficients(
-    model: PipelineModel, features: Sequence[str], labels: Mapping[str, str], label_column: str
+    model: PipelineModel | Logit,
+    features: Sequence[str],
+    labels: Mapping[str, str],
+    label_column: str,
 ) -> DataFrame:
     """Feature, display name, coefficient and odds ratio, largest coefficient first."""
-    regression = model.stages[-1]
-    values = [float(v) for v in regression.coefficients]
-    for stage in model.stages:
-        if isinstance(stage, ElementwiseProduct):
-            values = [float(v * s) for v, s in zip(values, stage.getScalingVec(), strict=True)]
+    values = list(model.values) if isinstance(model, Logit) else _plain_coefficients(model)
     rows = [(f, labels[f], v) for f, v in zip(features, values, strict=True)]
     table = SparkSession.active().createDataFrame(
         rows, f"feature string, `{label_column}` string, coefficient double"
@@ -156,22 +227,33 @@ def coefficients(
     return table.withColumn("odds_ratio", F.exp("coefficient")).orderBy(F.desc("coefficient"))
 
 
+def _plain_coefficients(model: PipelineModel) -> list[float]:
+    """A fitted pipeline's coefficients, of the features as they are stored."""
+    regression = model.stages[-1]
+    values = [float(v) for v in regression.coefficients]
+    for stage in model.stages:
+        if isinstance(stage, ElementwiseProduct):
+            values = [float(v * s) for v, s in zip(values, stage.getScalingVec(), strict=True)]
+    return values
+
+
 def metrics(scored: DataFrame, input_rows: int, weight: str | None = None) -> DataFrame:
     """``model_input_rows``, ``test_rows``, ``auc`` and ``accuracy`` as four rows.
 
-    Without test rows both rates are 0. Runs the evaluation.
+    The area under the ROC curve is exact: from running sums over all distinct
+    probabilities, ties counted half. Without test rows both rates are 0, and the area
+    is 0 where only one class was tested. Runs the evaluation.
     """
     rows = F.lit(1.0) if weight is None else F.col(weight)
+    if "probability_yes" not in scored.columns:
+        scored = scored.withColumn("probability_yes", vector_to_array("probability")[1])
     hits = F.when(F.col("prediction") == F.col(LABEL), rows)
     counts = scored.agg(F.sum(rows).alias("n"), F.sum(hits).alias("correct")).first()
     tested = counts.n or 0.0
     auc = accuracy = 0.0
     if tested:
         accuracy = (counts.correct or 0.0) / tested
-        evaluator = BinaryClassificationEvaluator(labelCol=LABEL)
-        if weight is not None:
-            evaluator.setWeightCol(weight)
-        auc = evaluator.evaluate(scored)
+        auc = auc_by_score(scored, "probability_yes", LABEL, weight=weight).first().auc or 0.0
     values = [
         ("model_input_rows", float(input_rows)),
         ("test_rows", float(tested)),
@@ -181,16 +263,23 @@ def metrics(scored: DataFrame, input_rows: int, weight: str | None = None) -> Da
     return scored.sparkSession.createDataFrame(values, "metric string, value double")
 
 
-def auc_by_score(df: DataFrame, score: str, label: str, coded: bool = False) -> DataFrame:
+def auc_by_score(
+    df: DataFrame, score: str, label: str, coded: bool = False, weight: str | None = None
+) -> DataFrame:
     """Exact area under the ROC curve of a score, ties counted half.
 
+    With ``weight`` each row stands for that many equal rows.
+
     The running sum is over distinct scores, in slices; that runs jobs. With
     ``coded``, for scores known to take few values, one task sums over them instead.
     """
+    yes, no = F.col(label), 1 - F.col(label)
+    if weight is not None:
+        yes, no = yes * F.col(weight), no * F.col(weight)
     by_score = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(score)
-        .agg(F.sum(label).alias("positive"), F.sum(1 - F.col(label)).alias("negative"))
+        .agg(F.sum(yes).alias("positive"), F.sum(no).alias("negative"))
     )
     if coded:
         earlier = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)

@@ -17,11 +17,21 @@ from cohortlens.sources.staging import staged
 from cohortlens.spec import SurveySpec
 
 
+def _scored(fitted: PipelineModel | model.Logit, rows: DataFrame) -> DataFrame:
+    return fitted.score(rows) if isinstance(fitted, model.Logit) else model.score(fitted, rows)
+
+
+def _fitted(train: DataFrame, spec: SurveySpec, exact: bool) -> PipelineModel | model.Logit:
+    if exact:
+        return model.fit_to_the_end(train, spec.features)
+    return model.fit_logistic(train, spec.features, weight=model.WEIGHT)
+
+
 @dataclass
 class ModelReport:
     """A fitted model and what its two tables are made of; each runs when asked for."""
 
-    fitted: PipelineModel
+    fitted: PipelineModel | model.Logit
     test: DataFrame
     input_rows: float
     spec: SurveySpec
@@ -29,7 +39,7 @@ class ModelReport:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return model.metrics(model.score(self.fitted, self.test), self.input_rows, model.WEIGHT)
+        return model.metrics(_scored(self.fitted, self.test), self.input_rows, model.WEIGHT)
 
     @cached_property
     def coefficients(self) -> DataFrame:
@@ -64,9 +74,12 @@ def train_test_report(
     key: Sequence[str] | None = None,
     language: str = "ko",
     hasher: Hasher = row_hash,
+    exact: bool = False,
 ) -> ModelReport | None:
     """Fit on the train rows, for evaluation on the others; None without any model rows.
 
+    ``exact`` fits to the optimum instead of for a number of iterations.
+
     The counted combinations are written once, so that the iterations and the
     evaluation never go back to the rows.
     """
@@ -76,17 +89,20 @@ def train_test_report(
         return None
     train = combinations.where(model.TRAIN)
     test = combinations.where(~F.col(model.TRAIN))
-    fitted = model.fit_logistic(train, spec.features, weight=model.WEIGHT)
+    fitted = _fitted(train, spec, exact)
     return ModelReport(fitted, test, input_rows, spec, language)
 
 
 def score_test_rows(
-    cleaned: DataFrame, spec: SurveySpec, key: Sequence[str], hasher: Hasher = row_hash
+    cleaned: DataFrame,
+    spec: SurveySpec,
+    key: Sequence[str],
+    hasher: Hasher = row_hash,
+    exact: bool = False,
 ) -> DataFrame:
     """Every test row with the class and probability the fitted model gives it."""
     marked = model.mark_split(model.model_frame(cleaned, spec, key), key, hasher=hasher)
     marked = staged(marked)
     train, test = marked.where(model.TRAIN), marked.where(~F.col(model.TRAIN)).drop(model.TRAIN)
     counted = staged(model.collapse(train, [model.LABEL, *spec.features]))
-    fitted = model.fit_logistic(counted, spec.features, weight=model.WEIGHT)
-    return model.predictions(model.score(fitted, test), key)
+    return model.predictions(_scored(_fitted(counted, spec, exact), test), key)

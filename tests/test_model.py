@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.operators import model
 from cohortlens.plans.cleaning import clean_survey
@@ -67,6 +68,44 @@ def test_fit_on_counts_equals_newton(spark, split, solution):
     assert fitted.stages[-1].intercept == pytest.approx(solution[0], abs=1e-4)
 
 
+def test_fit_to_the_end_is_the_optimum(spark, split, solution):
+    """Newton steps over counted rows meet an independent solver more closely than the iterations."""
+    train, test = split
+    counted = model.collapse(train, [model.LABEL, *CARDIO.features])
+    exact = model.fit_to_the_end(counted, CARDIO.features)
+    again = model.fit_to_the_end(counted.repartition(7), CARDIO.features)
+    assert exact.values == pytest.approx(again.values, abs=1e-10)
+    loose = model.fit_logistic(counted, CARDIO.features, weight=model.WEIGHT, max_iter=200, tol=1e-12)
+    assert exact.values == pytest.approx(model._plain_coefficients(loose), abs=1e-4)
+    scored = exact.score(test.limit(50)).collect()
+    for row in scored:
+        margin = exact.intercept + sum(v * row[f] for f, v in zip(CARDIO.features, exact.values, strict=True))
+        assert row.probability_yes == pytest.approx(1 / (1 + math.exp(-margin)))
+        assert row.prediction == float(margin > 0)
+
+
+def test_exact_fit_of_a_constant_feature(spark):
+    rows = [(float(i % 3 == 0), 1.0, float(i % 5), 1.0) for i in range(60)]
+    table = spark.createDataFrame(rows, "label double, same double, other double, weight double")
+    fitted = model.fit_to_the_end(table, ["same", "other"])
+    assert fitted.values[0] == 0.0
+    assert fitted.values[1] == pytest.approx(
+        model._plain_coefficients(model.fit_logistic(table, ["same", "other"], weight="weight", max_iter=200, tol=1e-12))[1],
+        abs=1e-5,
+    )
+
+
+def test_weighted_auc_counts_rows(spark):
+    rows = [(0.2, 0.0, 3.0), (0.2, 1.0, 1.0), (0.7, 1.0, 4.0), (0.7, 0.0, 2.0), (0.9, 0.0, 1.0)]
+    table = spark.createDataFrame(rows, "p double, label double, weight double")
+    single = table.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("weight").cast("int"))))
+    whole = model.auc_by_score(single, "p", "label").first()
+    assert model.auc_by_score(table, "p", "label", weight="weight").first() == whole
+    pairs = [(a, b) for a in single.collect() for b in single.collect() if a.label > b.label]
+    won = sum(1.0 if a.p > b.p else 0.5 if a.p == b.p else 0.0 for a, b in pairs)
+    assert whole.auc == pytest.approx(won / len(pairs))
+
+
 def test_counts_of_a_hot_combination(spark):
     """Half of the rows are equal, so weights are far from uniform."""
     generator = np.random.default_rng(3)
