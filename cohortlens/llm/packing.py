@@ -189,7 +189,7 @@ def packed(
     dtype = np.uint16 if rows[1] == 2 else np.uint32
     order = ["doc_id", "start", "ids_crc32", "doc_tokens", "length"]
     pieces = raw.drop("own").withColumn(
-        "slice", F.pmod(F.xxhash64("doc_id", "start"), F.lit(n_slices)).cast("long")
+        "slice", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "length"), F.lit(n_slices)).cast("long")
     )
     pieces = _ranked(pieces.withColumn("one", F.lit(1).cast("long")), ["class"], order, "one", "rank")
     pieces = staged(pieces.drop("one"))

@@ -60,7 +60,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.deduplicated(_documents(spark, sf_dir)).drop("cuts")
+    found = suffixes.deduplicated(_documents(spark, sf_dir)).drop("cuts")
+    return found.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +102,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = anchors.deduplicated(_documents(spark, sf_dir), window=WINDOW)
     kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
-    return found.select("doc_id", "n_words", "n_removed", kept)
+    left = (F.col("n_words") - F.col("n_removed")).alias("n_kept")
+    return found.select("doc_id", "n_words", "n_removed", kept, left)
 
 
 def importable(query: Query) -> Query:

@@ -6,7 +6,7 @@ from cohortlens.llm import votes
 from cohortlens.llm.urls import LOWERED, UPPER
 
 WORD = r"[^\x20\x09-\x0D]+"
-STOPS = "[.,;:!?]"
+STOPS = f"[{votes.STOPS}]"
 
 
 def ngram_join(size: int, percent: int) -> str:
@@ -81,6 +81,7 @@ def quality_rules() -> str:
     listed = ", ".join(ways)
     cast = ", ".join(f"{_vote(r)} AS v{j}" for j, r in enumerate(votes.RULES))
     rounds = ",\n".join(_round(i) for i in range(1, votes.ROUNDS + 1))
+    scripts = "".join(f"\\p{{{name}}}" for name in votes.UNSPACED)
     return f"""WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
     [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '{WORD}')] AS l
@@ -105,8 +106,10 @@ counts AS (
     length(regexp_replace(array_to_string(w, ''), '[^A-Z]+', '', 'g')) AS n_capitals,
     len([x FOR x IN w IF regexp_matches(x, '{STOPS}$')]) AS n_stops,
     coalesce(list_sum([
-      length(regexp_extract(x, '^\\p{{L}}+')) FOR x IN w IF regexp_matches(x, '^\\p{{L}}+({STOPS}|$)')
-    ]), 0) AS n_plain
+      length(regexp_extract(x, '^(\\p{{L}}\\p{{M}}*)+')) FOR x IN w
+      IF regexp_matches(x, '^(\\p{{L}}\\p{{M}}*)+({STOPS}|$)')
+    ]), 0) AS n_plain,
+    length(regexp_replace(array_to_string(w, ''), '[^{scripts}]+', '', 'g')) AS n_unspaced
   FROM split LEFT JOIN covered USING (doc_id)
 ),
 voted AS (SELECT *, {cast} FROM counts),
@@ -253,7 +256,7 @@ kept AS (
   FROM words ANTI JOIN gone ON gone.r = words.r AND gone.i = words.i GROUP BY words.r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
-  sha256(coalesce(text, '')) AS kept_sha256
+  sha256(coalesce(text, '')) AS kept_sha256, coalesce(n, 0) AS n_kept
 FROM texts LEFT JOIN kept ON kept.r = texts.r"""
 
 

@@ -9,6 +9,9 @@ are gathered into one row, the only thing gathered. A text's posterior probabili
 Everything is DataFrame functions. Repeats of three-word windows are recognised by
 64-bit fingerprints within one text.
 
+Letters count with their combining marks and sentences end as their script ends them;
+rules on words abstain where a script puts no spaces between them.
+
 Defined cases: null text is empty; an empty text has no words, every rule abstains
 and it fails the base; equal rows get equal answers; an empty table gives an empty
 result; other columns of the input are passed over, whatever their names.
@@ -28,6 +31,11 @@ from cohortlens.sources.staging import staged
 SPACES = " \t\n\x0b\x0c\r"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
+# Marks that end a sentence or a part of one, as written in several scripts
+# (ASCII; Devanagari; Arabic; Ethiopic; Chinese and Japanese; Armenian), and the scripts
+# that put no spaces between words.
+STOPS = ".,;:!?" + "।॥" + "،؛؟۔" + "።፣፤" + "。、，；：！？" + "։"
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 ROUNDS = 25
 PRIOR = 0.85  # assumed share of good texts; given, not estimated
 FIRM = 0.9  # posterior at the start for a text whose votes agree
@@ -45,14 +53,19 @@ class Rule:
     good_below: float = float("-inf")
 
 
+def _spaced(value: str) -> str:
+    """``value``, or nothing that a rule votes on where most of the text has no word spaces."""
+    return f"CASE WHEN 2 * n_unspaced > word_chars THEN 0.98 ELSE {value} END"
+
+
 #: Shares of words. A rule without ``bad_from`` or ``good_below`` never casts that vote.
 RULES = (
     Rule("symbols", "n_symbols / n_words", bad_from=0.2),
     Rule("repeats", "n_repeat_words / n_words", bad_from=0.4),
     Rule("same_lines", "n_dup_lines / greatest(n_lines, 1)", bad_from=0.4),
     Rule("capitals", "n_capitals / greatest(word_chars, 1)", bad_from=0.4),
-    Rule("long_words", "word_chars / n_words", bad_from=20.0),
-    Rule("stops_missing", "1 - n_stops / n_words", bad_from=0.99, good_below=0.97),
+    Rule("long_words", _spaced("word_chars / n_words"), bad_from=20.0),
+    Rule("stops_missing", _spaced("1 - n_stops / n_words"), bad_from=0.99, good_below=0.97),
     Rule("stops_crowded", "n_stops / n_words", bad_from=0.6),
     Rule("not_plain", "1 - n_plain / greatest(word_chars, 1)", bad_from=0.3, good_below=0.1),
 )
@@ -62,7 +75,8 @@ def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataF
     """The counts of every text: words, code points in words, symbols, repeats, lines.
 
     Column ``carry`` comes along as it is, a struct of a whole row say. ``n_stops`` are words that end in a stop, ``n_plain`` the code points of words
-    that are letters only but for one stop at the end.
+    that are letters only, with their marks, but for one stop at the end, ``n_unspaced``
+    those of scripts that put no spaces between words.
     """
     body = docs.select(F.col(carry), F.coalesce(text, F.lit("")).alias("body"))
     split = body.select(
@@ -83,6 +97,8 @@ def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataF
         ).alias("windows"),
     )
 
+    scripts = "".join(rf"\p{{Is{name}}}" for name in UNSPACED)
+
     def dropped(column: str, pattern: str) -> Column:
         return F.length(column) - F.length(F.regexp_replace(column, pattern, ""))
 
@@ -98,8 +114,9 @@ def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataF
         .alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         dropped("joined", "[A-Z]+").cast("long").alias("n_capitals"),
-        dropped("line", r"[.,;:!?](?= |\z)").cast("long").alias("n_stops"),
-        dropped("line", r"(?<![^ ])\p{L}++(?![^ .,;:!?])").cast("long").alias("n_plain"),
+        dropped("line", rf"[{STOPS}](?= |\z)").cast("long").alias("n_stops"),
+        dropped("line", rf"(?<![^ ])(?:\p{{L}}\p{{M}}*+)++(?![^ {STOPS}])").cast("long").alias("n_plain"),
+        dropped("joined", f"[{scripts}]+").cast("long").alias("n_unspaced"),
     )
 
 
