@@ -3,7 +3,8 @@
 Rules name a host and the beginning of a path; the longest that fits a URL decides.
 URLs that a rule judges are the labelled ones: at most ``SAMPLE_ROWS`` of them, whose
 keys hash lowest, teach gradient-boosted trees on length, depth, digit ratio, entropy,
-parameter counts and statistics of the host's suffix. The trees judge all others.
+parameter counts and statistics of the host's suffix, which are those of all labelled
+URLs. The trees judge all others.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits no
 rule and is judged by the trees; equal URLs are judged alike; without labelled URLs of
@@ -23,9 +24,12 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.boosting import Trees, fit_trees
 from cohortlens.llm.textbytes import Texts, slices, text_bytes
+from cohortlens.sources.staging import staged
 
 SAMPLE_ROWS = 20_000
 BLOCK_FROM = 0.5
+SUFFIX_LABELS = (1, 2)  # labels of a host that make a suffix
+BROADCAST_SUFFIXES = 200_000  # suffixes sent to every task; beyond, URLs are shuffled
 PRIOR_WEIGHT = 10.0  # labelled URLs that a suffix's block rate is drawn to the mean by
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -112,74 +116,74 @@ def lexical(part: Texts, host: Texts) -> np.ndarray:
     ).astype(np.float64)
 
 
-def suffix(host: str | None, labels: int) -> str:
-    return ".".join((host or "").split(".")[-labels:])
+def with_suffixes(parts: DataFrame) -> DataFrame:
+    """``parts`` beside the block rate and log count of their hosts' suffixes.
 
+    Rates are of all URLs that a rule judges, smoothed towards their mean; a suffix of
+    none of them has the mean and a count of 0. Suffixes are sent to every task while
+    they are few, and joined by a shuffle beyond.
+    """
+    known = parts.where("ruling IS NOT NULL").withColumn(
+        "blocked", (F.col("ruling") == "block").cast("double")
+    )
+    total = known.agg(F.sum("blocked").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    mean = ((total.b or 0.0) + 0.5) / (total.n + 1) if total.n else 0.0
+    for labels in SUFFIX_LABELS:
+        own = F.substring_index("host", ".", -labels)
+        sums = known.groupBy(own.alias(f"suffix_{labels}")).agg(
+            F.sum("blocked").alias("b"), F.count(F.lit(1)).alias("n")
+        )
+        rates = staged(
+            sums.select(
+                f"suffix_{labels}",
+                ((F.col("b") + PRIOR_WEIGHT * mean) / (F.col("n") + PRIOR_WEIGHT)).alias(f"rate_{labels}"),
+                F.log1p("n").alias(f"seen_{labels}"),
+            )
+        )
+        few = rates.count() <= BROADCAST_SUFFIXES
+        parts = parts.withColumn(f"suffix_{labels}", own)
+        parts = parts.join(F.broadcast(rates) if few else rates, f"suffix_{labels}", "left")
+        parts = parts.drop(f"suffix_{labels}")
+    filled = {f"rate_{k}": mean for k in SUFFIX_LABELS} | {f"seen_{k}": 0.0 for k in SUFFIX_LABELS}
+    return parts.fillna(filled)
 
-@dataclass
-class Model:
-    trees: Trees
-    suffixes: list[dict[str, tuple[float, float]]]  # block rate and log count, by labels taken
-    mean: float
 
-    def features(self, part: Texts, host: Texts, hosts: list[str]) -> np.ndarray:
-        unknown = (self.mean, 0.0)
-        extra = [
-            [known.get(suffix(h, k + 1), unknown) for h in hosts]
-            for k, known in enumerate(self.suffixes)
-        ]
-        lex = lexical(part, host)
-        return np.hstack([lex, *(np.array(e, float).reshape(len(hosts), 2) for e in extra)])
+SUFFIX_COLUMNS = [f"{c}_{k}" for k in SUFFIX_LABELS for c in ("rate", "seen")]
 
-    def score(self, part: Texts, host: Texts, hosts: list[str]) -> np.ndarray:
-        return self.trees.score(self.features(part, host, hosts))
 
+def features(part: Texts, host: Texts, rates: np.ndarray) -> np.ndarray:
+    """Lexical features beside those of the hosts' suffixes."""
+    return np.hstack([lexical(part, host), rates])
 
-def learned(parts: DataFrame, key: str = "page_id", url: str = "url") -> Model:
+
+def learned(parts: DataFrame, key: str = "page_id", url: str = "url") -> Trees:
     """Trees of the URLs that a rule judges, a bounded sample of them."""
-    known = parts.where("ruling IS NOT NULL").select(url, "host", "ruling", key)
+    known = parts.where("ruling IS NOT NULL").select(url, "host", "ruling", key, *SUFFIX_COLUMNS)
     known = known.orderBy(F.xxhash64(key), key, url).limit(SAMPLE_ROWS).toArrow()
     y = np.array([r == "block" for r in known["ruling"].to_pylist()], float)
-    hosts = [h or "" for h in known["host"].to_pylist()]
-    mean = float((y.sum() + 0.5) / (len(y) + 1)) if len(y) else 0.0
-    suffixes = []
-    for labels in (1, 2):
-        sums: dict[str, list[float]] = {}
-        for host, block in zip(hosts, y, strict=True):
-            own = sums.setdefault(suffix(host, labels), [0.0, 0.0])
-            own[0] += block
-            own[1] += 1
-        suffixes.append(
-            {
-                s: ((b + PRIOR_WEIGHT * mean) / (n + PRIOR_WEIGHT), float(np.log1p(n)))
-                for s, (b, n) in sums.items()
-            }
-        )
-    model = Model(fit_trees(np.zeros((0, 1)), np.zeros(0)), suffixes, mean)
-    x = model.features(
-        text_bytes(known[url].combine_chunks()), text_bytes(pa.array(hosts, pa.string())), hosts
-    )
-    model.trees = fit_trees(x, y)
+    host = text_bytes(known["host"].combine_chunks())
+    rates = np.stack([known[c].to_numpy() for c in SUFFIX_COLUMNS], axis=1)
+    trees = fit_trees(features(text_bytes(known[url].combine_chunks()), host, rates), y)
     if not len(y):
-        model.trees.intercept = -1.0
-    return model
+        trees.intercept = -1.0
+    return trees
 
 
 def judged(pages: DataFrame, key: str = "page_id", url: str = "url") -> DataFrame:
     """Per row: key as page_id, host, path, rule, verdict and score (block likelier)."""
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"))
-    parts = ruled(parted(rows))
+    parts = with_suffixes(ruled(parted(rows)))
     shared = pages.sparkSession.sparkContext.broadcast(learned(parts))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            hosts = column["host"].to_pylist()
+            rates = np.stack([column[c].to_numpy() for c in SUFFIX_COLUMNS], axis=1)
             found = [np.zeros(0)]
             for part in slices(column["url"]):
                 low, high = part.first_row, part.first_row + len(part)
                 host = text_bytes(column["host"].slice(low, len(part)))
-                found.append(shared.value.score(part, host, hosts[low:high]))
+                found.append(shared.value.score(features(part, host, rates[low:high])))
             p = np.concatenate(found)
             verdict = [
                 ruling or ("block" if x >= BLOCK_FROM else "allow")

@@ -356,3 +356,51 @@ def test_query_equals_its_sql(spark, name):
     found = registry.queries()[name](spark, SF)
     assert sorted(found.columns) == sorted(columns)
     assert Counter(map(tuple, found.select(*columns).collect())) == Counter(wanted.fetchall())
+
+
+def test_suffix_statistics_are_of_all_labelled_urls(spark, monkeypatch):
+    """A host outside the sample that teaches the trees still has its rates, broadcast or not."""
+    rows = [(i, f"http://h{i % 400}.example.org/{'es' if i % 400 % 3 == 0 else 'xx'}/p") for i in range(1200)]
+    rows += [(2000, "http://nowhere.net/x"), (2001, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    monkeypatch.setattr(urls, "SAMPLE_ROWS", 50)
+    parts = urls.ruled(urls.parted(pages))
+    found = urls.with_suffixes(parts).collect()
+    blocked = sum(r.ruling == "block" for r in found)
+    mean = (blocked + 0.5) / (1200 + 1)
+    for r in found:
+        known = (r.host or "").endswith("example.org")
+        assert r.seen_1 == pytest.approx(np.log1p(1200) if known else 0.0)
+        rate = (blocked + urls.PRIOR_WEIGHT * mean) / (1200 + urls.PRIOR_WEIGHT) if known else mean
+        assert r.rate_2 == pytest.approx(rate)
+    monkeypatch.setattr(urls, "BROADCAST_SUFFIXES", 0)
+    assert {tuple(r) for r in urls.with_suffixes(parts).collect()} == {tuple(r) for r in found}
+
+
+def test_differing_texts_of_one_key_are_judged_row_by_row(spark, documents):
+    """The same rows stay at any partitioning; none goes but for another that stays."""
+    same = prose(70, 60)
+    rows = [(1, prose(i, 60)) for i in range(20)] + [(2, same), (1, same), (1, same), (3, same + " more")]
+    rows += [(4, ""), (4, ""), (5, None)]
+    kept = []
+    for parts in (1, 7, 13):
+        found = corpus_pipeline.near_duplicates(spark, documents(rows).repartition(parts), SF).collect()
+        kept.append(Counter((r.doc_id, r.text) for r in found))
+    assert kept[0] == kept[1] == kept[2]
+    assert kept[0] == Counter([*rows[:20], (1, same), (4, ""), (5, None)])
+
+
+def test_rejected_texts_go_whatever_their_keys(spark, documents):
+    good, bad = [(i, prose(i, 80)) for i in range(30)], "# $ % " * 60
+    rows = [*good, (None, bad), (7, bad), (8, None), (None, prose(99, 80))]
+    found = corpus_pipeline.quality_rules(spark, documents(rows), SF).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter([*good, (None, prose(99, 80))])
+
+
+@pytest.mark.parametrize("name", ["op4_suffix_dedup", "op5_decontaminate", "op7_ngram_join", "op10_url_filter"])
+def test_queries_leave_the_session_as_it_was(spark, name):
+    from cohortlens.llm import registry
+
+    before = dict(spark.conf.getAll)
+    registry.queries()[name](spark, SF).count()
+    assert dict(spark.conf.getAll) == before
