@@ -23,9 +23,15 @@ def _listed(keys: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed rules keep."""
-    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
-    return votes.judged(rows, carry="row").where("kept").select("row.*")
+    """Documents that the weighed rules keep.
+
+    A verdict depends on a text alone, so texts are counted once, and the rejected
+    ones are known by their fingerprints.
+    """
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    judged = votes.judged(docs.select(mark.alias("mark"), "text"), carry="mark")
+    rejected = staged(judged.where("NOT kept").select("mark").distinct())
+    return docs.join(_listed(rejected), mark == rejected["mark"], "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
