@@ -4,7 +4,8 @@ The inverted index holds the test items, cut into sections of at most
 ``SECTION_WORDS`` words; impacts are BM25 weights divided by the section's score for
 itself, so that a passage holding a whole section scores 1. Items are few beside the
 corpus, but no bound on them is assumed: they are indexed in shards of at most
-``SHARD_BYTES`` of text, and every document is searched against each shard.
+``SHARD_BYTES`` of text, built in tasks with weights by the counts over all of them,
+and every document is searched against each shard.
 
 Texts are cut into overlapping passages of ``PASSAGE_WORDS`` words, so that every
 section lies whole in one. Each is searched by block-max WAND, for many passages at a
@@ -22,6 +23,7 @@ match; repeated rows match alike; an empty table on either side gives no rows.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -96,18 +98,35 @@ def sections(items: list[tuple[int, str, str]]) -> list[Section]:
     return out
 
 
+@dataclass(frozen=True)
+class Counts:
+    """What BM25 needs of all sections: their number, mean length, and per word how many have it."""
+
+    number: int
+    mean: float
+    having: dict[int, int]
+
+    @staticmethod
+    def of(parts: list[Section]) -> Counts:
+        mean = float(np.mean([len(p.words) for p in parts])) if parts else 1.0
+        return Counts(len(parts), mean, Counter(w for p in parts for w in set(p.words.tolist())))
+
+
 class Index:
-    """Postings of a shard's sections with per-block upper bounds."""
+    """Postings of a shard's sections with per-block upper bounds.
+
+    ``counts`` are those of the sections of all shards; without them, of these.
+    """
 
-    def __init__(self, parts: list[Section]):
+    def __init__(self, parts: list[Section], counts: Counts | None = None):
         self.parts = parts
+        counts = counts or Counts.of(parts)
         lengths = np.array([len(p.words) for p in parts], float)
-        seen = Counter(w for p in parts for w in set(p.words.tolist()))
-        self.terms = np.array(sorted(seen), np.uint64)
-        df = np.array([seen[int(t)] for t in self.terms], float)
-        idf = np.log1p((len(parts) - df + 0.5) / (df + 0.5))
+        self.terms = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p.words for p in parts)]))
+        df = np.array([counts.having[int(t)] for t in self.terms], float)
+        idf = np.log1p((counts.number - df + 0.5) / (df + 0.5))
         rows = []
-        mean = lengths.mean() if len(parts) else 1.0
+        mean = counts.mean
         for number, part in enumerate(parts):
             word, tf = np.unique(part.words, return_counts=True)
             at = np.searchsorted(self.terms, word)
@@ -210,6 +229,12 @@ def verified(section: Section, passage: np.ndarray) -> tuple[float, float]:
 
 
 def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> Iterator[Index]:
+    """The indexes of all shards, one after another.
+
+    Items are cut, their words counted and the indexes built in tasks; the weights in
+    every index are by the counts over all shards, so scores are the same however many
+    there are. Of an index no more than ``SHARD_BYTES`` of text passes the driver.
+    """
     rows = items.select(
         F.col(item).cast("long").alias("item"),
         F.col(question).alias("question"),
@@ -218,14 +243,47 @@ def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> I
     bytes_ = F.octet_length(F.concat_ws(" ", "question", "answer"))
     total = rows.agg(F.sum(bytes_)).first()[0] or 0
     n = max(1, -(-total // SHARD_BYTES))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("item", "question"), F.lit(n)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own, asked, told, shard in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                pair = (asked or "", told or "") if answer else split_answer(asked)
+                for k, s in enumerate(sections([(own, *pair)])):
+                    out.append((shard, own, k, s.words.view(np.int64), len(s.question)))
+            columns = zip(*out, strict=True) if out else [[]] * 5
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+            names = ["shard", "item", "place", "words", "cut"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
+            )
+
+    schema = "shard long, item long, place long, words array<long>, cut long"
+    parts = staged(rows.mapInArrow(cut, schema))
+    sums = parts.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("mean")).first()
+    words = parts.select("shard", F.explode(F.array_distinct("words")).alias("word"))
+    having = words.groupBy("word").agg(F.count(F.lit(1)).alias("having"))
+    terms = words.distinct().join(having, "word").select(F.col("shard").alias("own"), "word", "having")
+
+    def build(own: pa.Table, terms: pa.Table) -> pa.Table:
+        own = own.sort_by([("item", "ascending"), ("place", "ascending"), ("cut", "ascending")])
+        listed = []
+        for item, words, cut in zip(*(own[c].to_pylist() for c in ("item", "words", "cut")), strict=True):
+            words = np.array(words, np.int64).view(np.uint64)
+            listed.append(Section(item, words, words[:cut], words[cut:]))
+        word = np.array(terms["word"].to_pylist(), np.int64).view(np.uint64)
+        counts = Counts(sums.n, sums.mean, dict(zip(word.tolist(), terms["having"].to_pylist(), strict=True)))
+        index = pickle.dumps(Index(listed, counts))
+        return pa.table({"shard": own["shard"].slice(0, 1), "index": pa.array([index], pa.binary())})
+
+    paired = parts.groupBy("shard").cogroup(terms.groupBy("own"))
+    built = staged(paired.applyInArrow(build, "shard long, index binary"))
+    unstage(parts)
     for shard in range(n):
-        own = rows.where(F.pmod(F.xxhash64("item", "question"), F.lit(n)) == shard)
-        own = own.orderBy("item", "question", "answer")
-        listed = [
-            (r.item, *((r.question or "", r.answer or "") if answer else split_answer(r.question)))
-            for r in own.collect()
-        ]
-        yield Index(sections(listed))
+        found = built.where(F.col("shard") == shard).first()
+        yield pickle.loads(found["index"]) if found else Index([])
+    unstage(built)
 
 
 def _found(index: Index, column: pa.Array, threshold: float) -> dict[tuple[int, int], tuple[float, float, float]]:

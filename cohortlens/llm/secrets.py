@@ -92,6 +92,18 @@ def _runs(text: str, joined) -> list[int]:
     return ends
 
 
+def _unit_repeats(text: str) -> dict[int, list[tuple[int, int]]]:
+    """Per place, units (size, times) of two or more characters that follow one another from it."""
+    n, found = len(text), {}
+    for size in range(2, min(LONGEST_WORD, n // 2) + 1):
+        same = 0  # characters from a place on that equal those a unit further
+        for i in range(n - size - 1, -1, -1):
+            same = same + 1 if text[i] == text[i + size] else 0
+            if same >= size and len(set(text[i : i + size])) > 1:
+                found.setdefault(i, []).append((size, same // size + 1))
+    return found
+
+
 def guess_cost(value: str, listed: dict[str, float] = WORD_COST) -> float:
     """Decimal logarithm of the guesses that the cheapest segmentation takes."""
     low = value.lower()
@@ -100,6 +112,7 @@ def guess_cost(value: str, listed: dict[str, float] = WORD_COST) -> float:
     best = [0.0] + [math.inf] * n
     repeats = _runs(low, lambda a, b: a == b) if len(low) == n else list(range(1, n + 1))
     walks = _runs(low, lambda a, b: a + b in STEPS) if len(low) == n else list(range(1, n + 1))
+    again = _unit_repeats(low) if len(low) == n else {}
     for i in range(n):
         here = best[i] + (PIECE_COST if i else 0.0)
 
@@ -114,6 +127,8 @@ def guess_cost(value: str, listed: dict[str, float] = WORD_COST) -> float:
                 offer(end, here + cost + changed * PIECE_COST)
         if repeats[i] - i > 2:
             offer(repeats[i], here + _brute(value[i]) + math.log10(repeats[i] - i))
+        for size, times in again.get(i, ()):
+            offer(i + size * times, here + guess_cost(value[i : i + size], listed) + math.log10(times))
         if walks[i] - i > 2:
             offer(walks[i], here + math.log10(47 * (walks[i] - i)))
         if value[i].isdigit():

@@ -247,6 +247,34 @@ def test_guess_cost_orders_values():
     assert cost("zzpasswordzz") <= sum(map(secrets._brute, "zzpasswordzz"))
 
 
+def test_repeats_of_longer_units_are_cheap():
+    cost = secrets.guess_cost
+    assert cost("abc123abc123abc123") < secrets.DEAR_FROM
+    unit = "kX9#vQ"
+    assert cost(unit) < cost(unit * 3) < cost(unit) + 1
+    assert secrets._unit_repeats("xababab!") == {1: [(2, 3)], 2: [(2, 2)], 3: [(2, 2)]}
+    assert cost("kX9#vQ2!mZ7pkX9#vQ2!mZ7p") > secrets.DEAR_FROM  # twice a dear value
+
+
+def secret(r):
+    kinds = "abcdefghijkmnpqrstuvwxyz", "ABCDEFGHJKLMNPQRSTUVWXYZ", "23456789", "!#%+*"
+    return "".join(r.choice(r.choice(kinds)) for _ in range(r.randint(9, 11)))
+
+
+def test_recall_of_planted_credentials(spark, documents):
+    """Values in contexts that no base pattern knows, or shorter than it asks, and cheap ones."""
+    r = random.Random(8)
+    contexts = ["pwd: {}", "login = {}", "passphrase: {}", "password: {}", "secret={}"]
+    planted = {i: secret(r) for i in range(300)}
+    rows = [(i, f"{prose(i, 30)} {contexts[i % 5].format(v)} {prose(i + 1, 20)}") for i, v in planted.items()]
+    cheap = ["password1", "letmein", "12/31/1999", "qwertyuiop", "aaaaaaaaaa", "abcabcabc", "welcome2020"]
+    rows += [(1000 + i, f"{prose(i, 30)} pwd: {v} {prose(i, 9)}") for i, v in enumerate(cheap)]
+    found = {x.doc_id: x for x in secrets.scanned(documents(rows)).collect()}
+    hit = sum(v not in (found[i].redacted or v) for i, v in planted.items())
+    assert hit >= 0.97 * len(planted)
+    assert not any("guess" in found[1000 + i].spans for i in range(len(cheap)))
+
+
 LETTERS = [
     (1, "pwd: zkqvxwjhgm"), (2, "pwd: zkqvxwjhgm"), (3, "login = ZKQVXWJHGM, then"), (4, "passphrase: Zkqvxwjhgmrt."),
     (5, "password: yesterday"), (6, "it rained yesterday"), (7, "Yesterday was dry"), (8, "login: welcome"),
