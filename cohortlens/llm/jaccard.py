@@ -48,6 +48,7 @@ from cohortlens.llm.textbytes import Texts, shingle_hash, slices
 from cohortlens.sources.staging import staged, unstage
 
 PIVOTS = 16
+LISTED_ELEMENTS = 64  # elements of a group that travel with each of its rows; beyond, pairs are made at every one
 GROUP_PIVOTS = 8  # members of a group that all members of a paired group meet
 SAMPLE_ROWS = 20_000  # rows looked at for frequent elements; only speed hangs on it
 SAMPLE_COUNT = 3  # times in the sample that make an element frequent
@@ -398,14 +399,22 @@ def similar(
     )
     mixed = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = mixed.where("lo <> hi").select("token")
-    left = staged(named.join(mixed, "token", "left_semi"))
-    other = left.select(
-        "token", *[F.col(c).alias(f"o_{c}") for c in ("gid", "cid", "n", "least", "component")]
-    )
-    rest = left.join(other, "token").where(
-        (F.col("cid") < F.col("o_cid"))
+    named = staged(named.join(mixed, "token", "left_semi"))
+    # A pair is made at the first element that both have, where lists of them are short.
+    lists = named.groupBy("gid").agg(F.sort_array(F.collect_set("token")).alias("own"))
+    lists = lists.select("gid", F.when(F.size("own") <= LISTED_ELEMENTS, F.col("own")).alias("own"))
+    left = staged(named.join(lists, "gid"))
+    unstage(named)
+    names = ("gid", "cid", "n", "least", "component", "own")
+    other = left.select(F.col("token").alias("o_token"), *[F.col(c).alias(f"o_{c}") for c in names])
+    shared = F.array_intersect("own", "o_own")
+    rest = left.join(
+        other,
+        (F.col("token") == F.col("o_token"))
+        & (F.col("cid") < F.col("o_cid"))
         & (F.col("component") != F.col("o_component"))
         & (join.percent * F.greatest("n", "o_n") <= 100 * F.least("n", "o_n"))
+        & F.coalesce(F.get(shared, F.lit(0)) == F.col("token"), F.lit(True)),
     )
     rest = rest.select(
         F.col("cid").alias("a"),
@@ -415,8 +424,9 @@ def similar(
         F.least("n", "o_n").alias("n"),
         F.greatest("n", "o_n").alias("k"),
         F.greatest("least", "o_least").alias("least"),
+        F.coalesce(F.when(F.size(shared) > 0, F.size(shared)), F.lit(1)).alias("met"),
     )
-    rest = rest.groupBy("a", "b", *pair).agg(F.count(F.lit(1)).alias("in_open"))
+    rest = rest.groupBy("a", "b", *pair).agg(F.sum("met").alias("in_open"))
     # With what they share in wholly paired runs, all of what their prefixes share.
     closed = runs.where("kind = 1").select("x", "y", F.col("common").alias("in_closed"))
     rest = rest.join(closed, ["x", "y"], "left")

@@ -81,7 +81,7 @@ def quality_rules() -> str:
     listed = ", ".join(ways)
     cast = ", ".join(f"{_vote(r)} AS v{j}" for j, r in enumerate(votes.RULES))
     rounds = ",\n".join(_round(i) for i in range(1, votes.ROUNDS + 1))
-    scripts = "".join(f"\\p{{{name}}}" for name in votes.UNSPACED)
+    scripts = "".join(votes.UNSPACED)
     return f"""WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
     [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '{WORD}')] AS l
@@ -106,8 +106,8 @@ counts AS (
     length(regexp_replace(array_to_string(w, ''), '[^A-Z]+', '', 'g')) AS n_capitals,
     len([x FOR x IN w IF regexp_matches(x, '{STOPS}$')]) AS n_stops,
     coalesce(list_sum([
-      length(regexp_extract(x, '^(\\p{{L}}\\p{{M}}*)+')) FOR x IN w
-      IF regexp_matches(x, '^(\\p{{L}}\\p{{M}}*)+({STOPS}|$)')
+      length(regexp_extract(x, '^\\p{{L}}[\\p{{L}}\\p{{M}}]*')) FOR x IN w
+      IF regexp_matches(x, '^\\p{{L}}[\\p{{L}}\\p{{M}}]*({STOPS}|$)')
     ]), 0) AS n_plain,
     length(regexp_replace(array_to_string(w, ''), '[^{scripts}]+', '', 'g')) AS n_unspaced
   FROM split LEFT JOIN covered USING (doc_id)

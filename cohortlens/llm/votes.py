@@ -32,10 +32,13 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
 # Marks that end a sentence or a part of one, as written in several scripts
-# (ASCII; Devanagari; Arabic; Ethiopic; Chinese and Japanese; Armenian), and the scripts
-# that put no spaces between words.
+# (ASCII; Devanagari; Arabic; Ethiopic; Chinese and Japanese; Armenian), and the ranges of
+# scripts that put no spaces between words (Thai and Lao; Burmese; Khmer; kana; Han).
 STOPS = ".,;:!?" + "।॥" + "،؛؟۔" + "።፣፤" + "。、，；：！？" + "։"
-UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+UNSPACED = (
+    r"\x{0E00}-\x{0EFF}", r"\x{1000}-\x{109F}", r"\x{1780}-\x{17FF}", r"\x{3040}-\x{30FF}",
+    r"\x{3400}-\x{4DBF}", r"\x{4E00}-\x{9FFF}", r"\x{20000}-\x{2FA1F}",
+)
 ROUNDS = 25
 PRIOR = 0.85  # assumed share of good texts; given, not estimated
 FIRM = 0.9  # posterior at the start for a text whose votes agree
@@ -76,7 +79,7 @@ def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataF
 
     Column ``carry`` comes along as it is, a struct of a whole row say. ``n_stops`` are words that end in a stop, ``n_plain`` the code points of words
     that are letters only, with their marks, but for one stop at the end, ``n_unspaced``
-    those of scripts that put no spaces between words.
+    those of scripts that put no spaces between words, 0 unless these may be half.
     """
     body = docs.select(F.col(carry), F.coalesce(text, F.lit("")).alias("body"))
     split = body.select(
@@ -97,8 +100,6 @@ def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataF
         ).alias("windows"),
     )
 
-    scripts = "".join(rf"\p{{Is{name}}}" for name in UNSPACED)
-
     def dropped(column: str, pattern: str) -> Column:
         return F.length(column) - F.length(F.regexp_replace(column, pattern, ""))
 
@@ -115,8 +116,15 @@ def counted(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataF
         F.size("lines").cast("long").alias("n_lines"),
         dropped("joined", "[A-Z]+").cast("long").alias("n_capitals"),
         dropped("line", rf"[{STOPS}](?= |\z)").cast("long").alias("n_stops"),
-        dropped("line", rf"(?<![^ ])(?:\p{{L}}\p{{M}}*+)++(?![^ {STOPS}])").cast("long").alias("n_plain"),
-        dropped("joined", f"[{scripts}]+").cast("long").alias("n_unspaced"),
+        dropped("line", rf"(?<![^ ])\p{{L}}++(?:[\p{{L}}\p{{M}}]++)?+(?![^ {STOPS}])").cast("long").alias("n_plain"),
+        # Half of a text in scripts of three bytes a character makes two bytes on average.
+        F.when(
+            F.octet_length("joined") >= 2 * F.length("joined"),
+            dropped("joined", f"[{''.join(UNSPACED)}]+"),
+        )
+        .otherwise(0)
+        .cast("long")
+        .alias("n_unspaced"),
     )
 
 
