@@ -14,9 +14,10 @@ shared boilerplate seldom stands in a prefix.
    by exact counts whatever the sample showed).
 3. The index is range-partitioned by (element, group), so that a hot element is spread
    over many tasks. Along a run of equal elements every group meets the first ``PIVOTS``
-   of the run (and every run's pivots meet across partitions), those first that share
-   most of their prefix: copies with the fewest changes of their own. Most true links
-   are found without listing all pairs of a run. Pairs of unlike sizes are dropped.
+   of the run's part in its partition, and, where a run may lie in several partitions,
+   the first ``PIVOTS`` of the whole run too: those first that share most of their
+   prefix, copies with the fewest changes of their own. Most true links are found
+   without listing all pairs of a run. Pairs of unlike sizes are dropped.
 4. Group pairs are expanded to class pairs, and each is verified on whole sets. For
    that, classes linked by candidate pairs are laid together (in cells of bounded
    size, a pair in that of its end with fewer pairs), so that a text travels about
@@ -156,7 +157,7 @@ def _run_pairs(join: Join):
     Rows out: kind 1, a pair (x, y) with sizes (n, k) and the larger ``least`` of both,
     once for each element that it meets in; kind 4, the same in a run that is not wholly paired; kind 2, element x
     and group y at a partition's edge; kind 3, element x and group y of a run that was
-    not wholly paired.
+    not wholly paired; both with the group's size n, and its ``own`` as k.
     """
 
     def rows(kind: int, x, y, n, k, least) -> pa.RecordBatch:
@@ -166,7 +167,7 @@ def _run_pairs(join: Join):
         )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 5  # first rows of the run that may go on
+        held = [np.zeros(0, np.int64)] * 6  # first rows of the run that may go on
         seen = crowds = 0  # rows of that run so far, and groups of more than GROUP_PIVOTS classes
         told = False  # whether its rows went out as kind 3
         first_run = True
@@ -174,7 +175,7 @@ def _run_pairs(join: Join):
             if not batch.num_rows:
                 continue
             old = len(held[0])
-            token, gid, n, m, least = (
+            token, gid, n, m, least, own = (
                 np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns, strict=True)
             )
             goes_on = old > 0 and len(token) > old and token[old] == token[0]
@@ -197,16 +198,16 @@ def _run_pairs(join: Join):
             is_open[-1] = (told and len(start) == 1) or seen * goes_on + size[-1] > PIVOTS + 1
             if first_run and len(start) > 1:
                 edge = slice(0, min(size[0], PIVOTS))
-                yield rows(2, token[edge], gid[edge], n[edge], n[edge], least[edge])
+                yield rows(2, token[edge], gid[edge], n[edge], own[edge], least[edge])
             partly = is_open[run[later]]
-            for kind, own in ((1, ~partly), (4, partly)):
-                p, q = pivot[own], later[own]
+            for kind, these in ((1, ~partly), (4, partly)):
+                p, q = pivot[these], later[these]
                 x, y = np.minimum(gid[p], gid[q]), np.maximum(gid[p], gid[q])
                 yield rows(kind, x, y, n[p], n[q], np.maximum(least[p], least[q]))
             out = is_open[run]
             if told:
                 out[:old] = False
-            yield rows(3, token[out], gid[out], n[out], n[out], least[out])
+            yield rows(3, token[out], gid[out], n[out], own[out], least[out])
             # What is known of the last run.
             if len(start) > 1:
                 first_run = False
@@ -214,13 +215,13 @@ def _run_pairs(join: Join):
             else:
                 seen, told, crowds = seen + len(token) - old, bool(is_open[-1]), int(total[-1])
             kept = slice(start[-1], start[-1] + (PIVOTS if told else PIVOTS + 1))
-            held = [token[kept], gid[kept], n[kept], m[kept], least[kept]]
+            held = [c[kept] for c in (token, gid, n, m, least, own)]
         if seen:
-            token, gid, n, _, least = held
+            token, gid, n, _, least, own = held
             if not told:
-                yield rows(3, token, gid, n, n, least)
+                yield rows(3, token, gid, n, own, least)
             edge = slice(0, PIVOTS)
-            yield rows(2, token[edge], gid[edge], n[edge], n[edge], least[edge])
+            yield rows(2, token[edge], gid[edge], n[edge], own[edge], least[edge])
 
     return pairs
 
@@ -254,6 +255,34 @@ def _indexed(index: DataFrame, join: Join) -> DataFrame:
     return rows.select(F.col("at.token").alias("token"), "gid", "n", "m", "least", "own")
 
 
+def _met_heads(runs: DataFrame, join: Join) -> DataFrame:
+    """Pairs of the groups of runs at partitions' edges with the first of the whole run.
+
+    The first of a run are the first of its part in some partition, so they are among
+    the rows of kind 2. A partition has two edges: there are few heads, whatever the rows.
+    """
+    edges = runs.where("kind = 2").select("x", "y", "n", "k", "least").distinct()
+    rank = F.row_number().over(Window.partitionBy("x").orderBy("k", "y"))
+    heads = staged(
+        edges.withColumn("at", rank)
+        .where(F.col("at") <= PIVOTS)
+        .select(F.col("x").alias("token"), F.col("y").alias("head"), F.col("n").alias("hn"), F.col("least").alias("hl"))
+    )
+    few = heads.count() <= BROADCAST_ROWS
+    rows = runs.where("kind = 3").select(F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least")
+    alike = join.percent * F.greatest("n", "hn") <= 100 * F.least("n", "hn")
+    met = rows.join(F.broadcast(heads) if few else heads, "token").where("gid <> head").where(alike)
+    # A pair of two heads is met from both sides.
+    return met.select(
+        "token",
+        F.least("gid", "head").alias("x"),
+        F.greatest("gid", "head").alias("y"),
+        F.least("n", "hn").alias("n"),
+        F.greatest("n", "hn").alias("k"),
+        F.greatest("least", "hl").alias("least"),
+    ).distinct()
+
+
 def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Class pairs of group pairs (a, b): each member meets the other group's pivots."""
     # Ranks to a limit are taken in every task before the shuffle, so no group is gathered.
@@ -357,31 +386,29 @@ def similar(
     index = sized.select(F.explode("prefix").alias("token"), "gid", "n", F.col("m").cast("long").alias("m"))
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = _indexed(index, join).repartitionByRange(shuffles, "token", "own", "gid")
-    index = index.sortWithinPartitions("token", "own", "gid").drop("own")
+    index = index.sortWithinPartitions("token", "own", "gid")
     schema = "kind long, x long, y long, n long, k long, least long"
     met = index.mapInArrow(_run_pairs(join), schema)
     # A pair that could link has as many indexed elements in common: all that it needs but
     # those that neither index holds.
     needed = join.needed(F.col("n"), F.col("k")) - F.col("least") + 1
-    met = met.withColumns({"n": F.least("n", "k"), "k": F.greatest("n", "k")})
+    is_pair = F.col("kind").isin(1, 4)
+    ends = {"n": F.when(is_pair, F.least("n", "k")), "k": F.when(is_pair, F.greatest("n", "k"))}
+    met = met.withColumns({c: F.coalesce(size, c) for c, size in ends.items()})
     pair = ("x", "y", "n", "k", "least")
     runs = staged(met.groupBy("kind", *pair).agg(F.count(F.lit(1)).alias("common")))
-    met = runs.where("kind IN (1, 4)").groupBy(*pair).agg(F.sum("common").alias("common"))
-    met = met.where(F.col("common") >= needed)
+    heads = _met_heads(runs, join).groupBy(*pair).agg(F.count(F.lit(1)).alias("common"))
+    met = runs.where("kind IN (1, 4)").unionByName(heads.withColumn("kind", F.lit(5).cast("long")))
+
+    def met_as(kind: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("common"))), F.lit(0))
+
+    # What is met with a run's first may have been met within a partition too.
+    common = met_as(1) + F.greatest(met_as(4), met_as(5))
+    met = met.groupBy(*pair).agg(common.alias("common")).where(F.col("common") >= needed)
     several = sized.where("m > 1").select("gid")
     members = staged(members)
-    edges = runs.where("kind = 2").select(F.col("x").alias("token"), F.col("y").alias("gid"))
-    ranked = edges.distinct().withColumn(
-        "at", F.row_number().over(Window.partitionBy("token").orderBy("gid"))
-    )
-    across = (
-        ranked.where(F.col("at") <= PIVOTS)
-        .select("token", F.col("gid").alias("x"))
-        .join(ranked.select("token", F.col("gid").alias("y")), "token")
-        .where("x <> y")
-        .select("x", "y")
-    )
-    group_pairs = met.select("x", "y").union(across)
+    group_pairs = met.select("x", "y")
     group_pairs = group_pairs.union(several.select(F.col("gid").alias("x"), F.col("gid").alias("y")))
     group_pairs = group_pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = staged(_expanded(group_pairs.distinct(), members))
