@@ -23,8 +23,15 @@ shared boilerplate seldom stands in a prefix.
    size, a pair in that of its end with fewer pairs), so that a text travels about
    once, not once for each pair.
 5. Runs that were not wholly paired and whose members lie in several components are
-   paired in full across the components, with the same bound on what prefixes share:
-   no link that could join two components is left out. Links inside a component change nothing and are not looked for.
+   looked at again across the components: no link that could join two of them is left
+   out. Links inside a component change nothing and are not looked for. Runs of up to
+   ``SHORT_RUN`` classes are paired in full, with the same bound on what prefixes share.
+   In longer ones, near copies of one text, each class is laid against one pivot and
+   keeps its changes: elements that it lacks and elements that it has beyond the
+   pivot's. How many changes two classes must share in order to link follows from their
+   sizes alone. Those that need share none link with the class of least weight; the
+   others are joined on their rarest changes, a prefix join once more, but without the
+   text that all of them share.
 
 Elements are 59-bit fingerprints; a false equality within a pair of texts has a
 probability of about 1e-12. Defined cases: null, empty or blank text has an empty
@@ -55,6 +62,7 @@ SAMPLE_ROWS = 20_000  # rows looked at for frequent elements; only speed hangs o
 SAMPLE_COUNT = 3  # times in the sample that make an element frequent
 FREQUENT_LIMIT = 100_000  # frequent elements sent to every task, 8 bytes each
 BROADCAST_ROWS = 500_000  # candidates' keys sent to every task; beyond, texts are shuffled
+SHORT_RUN = 32  # classes of an open run that are paired in full; of a longer one, changes are joined
 CELL_CLASSES = 256  # classes of one component that are verified together
 LEVEL_BITS = 4  # the order's first bits: how often the sample has an element, by powers of two
 
@@ -298,6 +306,14 @@ def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return both.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
 
 
+def _texts_of(nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The distinct texts of the keys in a staged table, as (node, text)."""
+    texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
+    few = nodes.count() <= BROADCAST_ROWS
+    texts = texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+    return texts.dropDuplicates(["node", "text"])
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     """The pairs (a, b) of class keys whose whole sets link."""
     # A pair is verified where its end with fewer pairs lives: a pivot's text travels to
@@ -319,11 +335,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, join: Join
     at = F.when(F.struct("da", "a") < F.struct("db", "b"), F.col("cell_a")).otherwise(F.col("cell_b"))
     placed = staged(pairs.join(of("a"), "a").join(of("b"), "b").select(at.alias("cell"), "a", "b"))
     needed = placed.select(F.col("cell").alias("place"), F.explode(F.array("a", "b")).alias("node"))
-    texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    nodes = side.select("node")
-    few = nodes.count() <= BROADCAST_ROWS
-    texts = texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
-    cells = texts.dropDuplicates(["node", "text"]).join(needed.distinct(), "node")
+    cells = _texts_of(side.select("node"), docs, key, text).join(needed.distinct(), "node")
     cells = cells.select(F.col("place").alias("cell"), "node", "text")
 
     def linked_sets(x: np.ndarray, y: np.ndarray) -> bool:
@@ -359,6 +371,107 @@ def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, join: Join
     return links
 
 
+def _changes(rows: DataFrame, docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
+    """Of staged rows (pivot, cid, component), each text's changes of the pivot's text.
+
+    ``delta`` holds the elements that the text has beyond the pivot's, and those that it
+    lacks as their complement. Two texts x and y of a pivot p have
+    |p| - lacks(x) - lacks(y) + s elements in common, s being the changes that they share.
+    So they link exactly when 2 * (100 + percent) * s reaches the sum of their weights.
+    """
+    nodes = staged(rows.select(F.explode(F.array("pivot", "cid")).alias("node")).distinct())
+    texts = staged(_texts_of(nodes, docs, key, text))
+    pivots = rows.select(F.col("pivot").alias("node")).distinct()
+    heads = texts.join(pivots, "node").groupBy(F.col("node").alias("pivot")).agg(F.min("text").alias("head"))
+    met = rows.join(texts.withColumnRenamed("node", "cid"), "cid").join(heads, "pivot")
+    share = 100 + join.percent
+
+    def sets(texts: pa.Array) -> Iterator[np.ndarray]:
+        for part in slices(texts):
+            value, rows = _elements(part, join, np.zeros(0, np.uint64))
+            ends = np.searchsorted(rows, np.arange(len(part) + 1))
+            for i in range(len(part)):
+                yield value[ends[i] : ends[i + 1]].view(np.int64)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, first, which = np.unique(batch.column(0).to_numpy(), return_index=True, return_inverse=True)
+            heads = list(sets(batch.column(4).take(pa.array(first))))
+            sizes, weights, deltas = [], [], []
+            for own, at in zip(sets(batch.column(3)), which, strict=True):
+                head = heads[at]
+                lacks = np.setdiff1d(head, own, assume_unique=True)
+                sizes.append(len(own))
+                weights.append(2 * join.percent * len(own) + share * (2 * len(lacks) - len(head)))
+                deltas.append(np.concatenate((np.setdiff1d(own, head, assume_unique=True), ~lacks)))
+            offsets = np.r_[0, np.cumsum([len(d) for d in deltas])].astype(np.int32)
+            delta = pa.ListArray.from_arrays(
+                pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *deltas]))
+            )
+            columns = [batch.column(0), batch.column(1), batch.column(2)]
+            columns += [pa.array(np.array(c, np.int64)) for c in (sizes, weights)]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, delta], ["pivot", "cid", "component", "n", "weight", "delta"]
+            )
+
+    schema = "pivot long, cid long, component long, n long, weight long, delta array<long>"
+    found = met.select("pivot", "cid", "component", "text", "head").mapInArrow(in_pieces(compared), schema)
+    # Another text of a class's key may be blank; that set links with nothing.
+    found = staged(found.where("n > 0").withColumn("copy", F.xxhash64("delta")))
+    unstage(nodes, texts)
+    return found
+
+
+def _linked_by_changes(
+    rows: DataFrame, docs: DataFrame, key: str, text: str, join: Join
+) -> tuple[DataFrame, DataFrame]:
+    """Links and pairs yet to verify, (a, b) each, that may join components of a pivot's rows."""
+    changed = _changes(rows, docs, key, text, join)
+    share = 2 * (100 + join.percent)
+    low = F.min(F.struct("weight", "cid", "component")).alias("low")
+    best = changed.groupBy("pivot", "component").agg(low).select("pivot", "low.*")
+    first = best.groupBy("pivot").agg(low).select(
+        "pivot", *[F.col(f"low.{c}").alias(f"first_{c}") for c in ("weight", "cid", "component")]
+    )
+    best = staged(best.join(first, "pivot"))
+    # Where any two need share nothing, each of them links with the lightest of all.
+    is_near = (F.col("component") != F.col("first_component")) & (F.col("weight") + F.col("first_weight") <= 0)
+    links = staged(best.where(is_near).select(F.col("cid").alias("a"), F.col("first_cid").alias("b")))
+    heart = F.when(is_near, F.col("first_component")).otherwise(F.col("component"))
+    hearted = best.withColumn("heart", heart)
+    apart = hearted.where("heart <> first_component").groupBy("pivot").agg(F.min("weight").alias("second_weight"))
+    names = ("pivot", "component", "heart", "first_component", "first_weight")
+    hearts = hearted.select(*names).join(apart, "pivot")
+    lightest = F.when(F.col("heart") == F.col("first_component"), F.col("second_weight"))
+    lightest = lightest.otherwise(F.col("first_weight"))
+    least = F.greatest(F.ceil((F.col("weight") + lightest) / share), F.lit(1)).cast("int")
+    row = ("pivot", "cid", "copy", "heart", "n", "weight", "least")
+    at = changed.join(hearts, ["pivot", "component"]).withColumn("least", least)
+    at = staged(at.where(F.size("delta") >= F.col("least")).select(*row, F.explode("delta").alias("element")))
+    # Only changes found in several components can link any.
+    times = at.groupBy("pivot", "element").agg(
+        F.count(F.lit(1)).alias("times"), F.min("heart").alias("lo"), F.max("heart").alias("hi")
+    )
+    met = at.join(times.where("lo <> hi").drop("lo", "hi"), ["pivot", "element"])
+    met = met.groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("times", "element"))).alias("delta"))
+    met = met.where(F.size("delta") >= F.col("least"))
+    kept = F.slice("delta", F.lit(1), F.size("delta") - F.col("least") + 1)
+    met = staged(met.select(*row, F.explode(kept).alias("at")).select(*row, F.col("at.element").alias("element")))
+    other = met.select("pivot", "element", *[F.col(c).alias(f"o_{c}") for c in row[1:]])
+    both = met.join(other, ["pivot", "element"]).where(
+        (F.col("cid") < F.col("o_cid"))
+        & (F.col("heart") != F.col("o_heart"))
+        & (join.percent * F.greatest("n", "o_n") <= 100 * F.least("n", "o_n"))
+    )
+    both = both.groupBy(*row, *[f"o_{c}" for c in row[1:]]).agg(F.count(F.lit(1)).alias("common"))
+    # Of what two share, all but fewer than the larger ``least`` is indexed in both.
+    most = F.col("common") + F.greatest("least", "o_least") - 1
+    both = both.where(share * most >= F.col("weight") + F.col("o_weight"))
+    pairs = staged(both.select(F.col("cid").alias("a"), F.col("o_cid").alias("b")).distinct())
+    unstage(changed, best, at, met)
+    return links, pairs
+
+
 def similar(
     docs: DataFrame, join: Join, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -414,23 +527,33 @@ def similar(
     pairs = staged(_expanded(group_pairs.distinct(), members))
     links = _verified(pairs, docs, key, text, join)
     found = components(links.union(same))
-    # Runs that were not wholly paired: across their components, every pair is looked at.
+    # Runs that were not wholly paired are looked at again, across their components.
     open_rows = runs.where("kind = 3").select(
-        F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least"
+        F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least", F.col("k").alias("changes")
     )
     large = sized.where(F.col("m") > GROUP_PIVOTS + 1)
-    open_rows = open_rows.union(large.select(F.col("gid").alias("token"), "gid", "n", F.lit(1)))
+    open_rows = open_rows.union(large.select(F.col("gid").alias("token"), "gid", "n", F.lit(1), F.lit(0)))
     member_rows = open_rows.distinct().join(members.select("gid", "cid"), "gid")
     named = member_rows.join(found.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "token", "gid", "cid", "n", "least", F.coalesce("component", "cid").alias("component")
+        "token", "gid", "cid", "n", "least", "changes", F.coalesce("component", "cid").alias("component")
+    )
+    mixed = named.groupBy("token").agg(
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.count(F.lit(1)).alias("rows"),
+        F.min(F.struct("changes", "cid")).alias("first"),
     )
-    mixed = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = mixed.where("lo <> hi").select("token")
-    named = staged(named.join(mixed, "token", "left_semi"))
+    mixed = mixed.where("lo <> hi").select(
+        "token", F.when(F.col("rows") > SHORT_RUN, F.col("first.cid")).alias("pivot")
+    )
+    named = staged(named.drop("changes").join(mixed, "token"))
+    # A pivot's runs become one, whose pairs hold those of each.
+    long_rows = staged(named.where("pivot IS NOT NULL").select("pivot", "cid", "component").distinct())
+    changed = [] if long_rows.isEmpty() else _linked_by_changes(long_rows, docs, key, text, join)
     # A pair is made at the first element that both have, where lists of them are short.
     lists = named.groupBy("gid").agg(F.sort_array(F.collect_set("token")).alias("own"))
     lists = lists.select("gid", F.when(F.size("own") <= LISTED_ELEMENTS, F.col("own")).alias("own"))
-    left = staged(named.join(lists, "gid"))
+    left = staged(named.where("pivot IS NULL").join(lists, "gid"))
     unstage(named)
     names = ("gid", "cid", "n", "least", "component", "own")
     other = left.select(F.col("token").alias("o_token"), *[F.col(c).alias(f"o_{c}") for c in names])
@@ -459,14 +582,21 @@ def similar(
     rest = rest.join(closed, ["x", "y"], "left")
     common = F.col("in_open") + F.coalesce("in_closed", F.lit(0))
     rest = rest.where((F.col("x") == F.col("y")) | (common >= needed))
-    rest = staged(rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    final = found
+    rest = rest.select("a", "b")
+    for more in changed[1:]:
+        rest = rest.union(more)
+    rest = staged(rest.distinct().join(pairs, ["a", "b"], "left_anti"))
+    further = list(changed[:1])
     if not rest.isEmpty():
-        more = _verified(rest, docs, key, text, join)
+        further.append(_verified(rest, docs, key, text, join))
+    final = found
+    if further:
         ends = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        final = components(more.union(ends))
-        unstage(more, found)
-    unstage(runs, members, pairs, links, left, rest, grouped)
+        for more in further:
+            ends = ends.union(more)
+        final = components(ends)
+        unstage(found)
+    unstage(runs, members, pairs, links, long_rows, left, rest, grouped, *changed, *further[len(changed[:1]) :])
     return sets.join(final, sets["doc_id"] == final["node"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

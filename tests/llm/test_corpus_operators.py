@@ -46,13 +46,15 @@ def union_find(nodes, links):
     return {n: head(n) for n in nodes}
 
 
+def shingles(text, size):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    n = max(1, len(words) - size + 1) if words else 0
+    return {tuple(words[i : i + size]) for i in range(n)}
+
+
 def plain_join(rows, size, percent):
     """Component per key, and set sizes per row: every pair compared."""
-    sets = []
-    for key, text in rows:
-        words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        n = max(1, len(words) - size + 1) if words else 0
-        sets.append((key, {tuple(words[i : i + size]) for i in range(n)}))
+    sets = [(key, shingles(text, size)) for key, text in rows]
     links = []
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
@@ -95,10 +97,12 @@ def test_join_on_odd_rows(spark, documents, odd, empty):
     assert jaccard.similar(empty, jaccard.Join()).count() == 0
 
 
+@pytest.mark.parametrize("short_run", [1, 8, 1_000])
 @pytest.mark.parametrize("join", [jaccard.Join(4, 85), jaccard.Join(5, 80)])
-def test_join_on_large_groups_of_near_copies(spark, documents, join, monkeypatch):
+def test_join_on_large_groups_of_near_copies(spark, documents, join, short_run, monkeypatch):
     """Groups beyond the pivots and cells, with similarities about the threshold."""
     monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "SHORT_RUN", short_run)
     monkeypatch.setattr(jaccard, "CELL_CLASSES", 8)
     rows = []
     for g in range(3):
@@ -110,6 +114,29 @@ def test_join_on_large_groups_of_near_copies(spark, documents, join, monkeypatch
     held_join(documents, rows, join)
 
 
+def test_links_by_changes_are_those_of_whole_sets(spark, documents):
+    """Every two rows of a pivot as components of their own, whatever they have in common."""
+    join = jaccard.Join(4, 85)
+    base = prose(77, 90)
+    rows = [(i, edited(base, i, i % 5)) for i in range(40)] + [(100 + i, prose(i, 60)) for i in range(6)]
+    rows += [(200 + i, edited(edited(base, 7, 3), 300 + i, 1)) for i in range(12)] + [(3, prose(3, 30)), (4, " ")]
+    keys = sorted({k for k, _ in rows})
+    runs = spark.createDataFrame([(p, k, k) for p in (0, 101, 203) for k in keys], "pivot long, cid long, component long")
+    sure, maybe = jaccard._linked_by_changes(jaccard.staged(runs), documents(rows), "doc_id", "text", join)
+    sure, maybe = ({tuple(sorted(r)) for r in pairs.collect()} for pairs in (sure, maybe))
+    sets = [(k, shingles(t, join.size)) for k, t in rows]
+    true = {
+        (a, b)
+        for a, x in sets
+        for b, y in sets
+        if a < b and x and y and 100 * len(x & y) >= join.percent * len(x | y)
+    }
+    assert sure <= true
+    found = union_find(keys, sure | (maybe & true))
+    assert found == union_find(keys, true)
+    assert len(maybe) < len(keys) ** 2 / 4
+
+
 def test_join_shuffles_texts_where_keys_are_many(spark, documents, monkeypatch):
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 3)
     base = prose(9, 90)
