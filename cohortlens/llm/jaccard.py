@@ -31,7 +31,8 @@ shared boilerplate seldom stands in a prefix.
    pivot's. How many changes two classes must share in order to link follows from their
    sizes alone. Those that need share none link with the class of least weight; the
    others are joined on their rarest changes, a prefix join once more, but without the
-   text that all of them share.
+   text that all of them share. Classes that differ from the pivot by more than half of
+   their size are paired in full with all others of the run.
 
 Elements are 59-bit fingerprints; a false equality within a pair of texts has a
 probability of about 1e-12. Defined cases: null, empty or blank text has an empty
@@ -375,7 +376,8 @@ def _changes(rows: DataFrame, docs: DataFrame, key: str, text: str, join: Join)
     """Of staged rows (pivot, cid, component), each text's changes of the pivot's text.
 
     ``delta`` holds the elements that the text has beyond the pivot's, and those that it
-    lacks as their complement. Two texts x and y of a pivot p have
+    lacks as their complement; it is left empty where they are more than half of the
+    text's size, ``is_far``. Two texts x and y of a pivot p have
     |p| - lacks(x) - lacks(y) + s elements in common, s being the changes that they share.
     So they link exactly when 2 * (100 + percent) * s reaches the sum of their weights.
     """
@@ -397,13 +399,15 @@ def _changes(rows: DataFrame, docs: DataFrame, key: str, text: str, join: Join)
         for batch in batches:
             _, first, which = np.unique(batch.column(0).to_numpy(), return_index=True, return_inverse=True)
             heads = list(sets(batch.column(4).take(pa.array(first))))
-            sizes, weights, deltas = [], [], []
+            sizes, weights, deltas, far = [], [], [], []
             for own, at in zip(sets(batch.column(3)), which, strict=True):
                 head = heads[at]
                 lacks = np.setdiff1d(head, own, assume_unique=True)
+                changes = np.concatenate((np.setdiff1d(own, head, assume_unique=True), ~lacks))
+                far.append(2 * len(changes) > len(own))
                 sizes.append(len(own))
                 weights.append(2 * join.percent * len(own) + share * (2 * len(lacks) - len(head)))
-                deltas.append(np.concatenate((np.setdiff1d(own, head, assume_unique=True), ~lacks)))
+                deltas.append(changes[: 0 if far[-1] else None])
             offsets = np.r_[0, np.cumsum([len(d) for d in deltas])].astype(np.int32)
             delta = pa.ListArray.from_arrays(
                 pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *deltas]))
@@ -411,10 +415,11 @@ def _changes(rows: DataFrame, docs: DataFrame, key: str, text: str, join: Join)
             columns = [batch.column(0), batch.column(1), batch.column(2)]
             columns += [pa.array(np.array(c, np.int64)) for c in (sizes, weights)]
             yield pa.RecordBatch.from_arrays(
-                [*columns, delta], ["pivot", "cid", "component", "n", "weight", "delta"]
+                [*columns, delta, pa.array(far, pa.bool_())],
+                ["pivot", "cid", "component", "n", "weight", "delta", "is_far"],
             )
 
-    schema = "pivot long, cid long, component long, n long, weight long, delta array<long>"
+    schema = "pivot long, cid long, component long, n long, weight long, delta array<long>, is_far boolean"
     found = met.select("pivot", "cid", "component", "text", "head").mapInArrow(in_pieces(compared), schema)
     # Another text of a class's key may be blank; that set links with nothing.
     found = staged(found.where("n > 0").withColumn("copy", F.xxhash64("delta")))
@@ -424,9 +429,14 @@ def _changes(rows: DataFrame, docs: DataFrame, key: str, text: str, join: Join)
 
 def _linked_by_changes(
     rows: DataFrame, docs: DataFrame, key: str, text: str, join: Join
-) -> tuple[DataFrame, DataFrame]:
-    """Links and pairs yet to verify, (a, b) each, that may join components of a pivot's rows."""
-    changed = _changes(rows, docs, key, text, join)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links and pairs yet to verify, (a, b) each, that may join components of a pivot's rows.
+
+    Third, the rows (pivot, cid) that are far from their pivot, whose pairs are not among them.
+    """
+    compared = _changes(rows, docs, key, text, join)
+    far = staged(compared.where("is_far").select("pivot", "cid").distinct())
+    changed = compared.where("NOT is_far")
     share = 2 * (100 + join.percent)
     low = F.min(F.struct("weight", "cid", "component")).alias("low")
     best = changed.groupBy("pivot", "component").agg(low).select("pivot", "low.*")
@@ -468,8 +478,8 @@ def _linked_by_changes(
     most = F.col("common") + F.greatest("least", "o_least") - 1
     both = both.where(share * most >= F.col("weight") + F.col("o_weight"))
     pairs = staged(both.select(F.col("cid").alias("a"), F.col("o_cid").alias("b")).distinct())
-    unstage(changed, best, at, met)
-    return links, pairs
+    unstage(compared, best, at, met)
+    return links, pairs, far
 
 
 def similar(
@@ -553,22 +563,29 @@ def similar(
     # A pair is made at the first element that both have, where lists of them are short.
     lists = named.groupBy("gid").agg(F.sort_array(F.collect_set("token")).alias("own"))
     lists = lists.select("gid", F.when(F.size("own") <= LISTED_ELEMENTS, F.col("own")).alias("own"))
-    left = staged(named.where("pivot IS NULL").join(lists, "gid"))
+    # Of long runs, pairs with an end far from the pivot are made here too.
+    rows = named.withColumn("whole", F.col("pivot").isNull())
+    if changed:
+        far = changed[2].withColumn("is_far", F.lit(True))
+        whole = F.col("whole") | F.col("is_far").isNotNull()
+        rows = rows.join(far, ["pivot", "cid"], "left").withColumn("whole", whole)
+    wanted = rows.where("whole").select("token").distinct()
+    left = staged(rows.join(wanted, "token", "left_semi").join(lists, "gid"))
     unstage(named)
-    names = ("gid", "cid", "n", "least", "component", "own")
+    names = ("gid", "cid", "n", "least", "component", "own", "whole")
     other = left.select(F.col("token").alias("o_token"), *[F.col(c).alias(f"o_{c}") for c in names])
     shared = F.array_intersect("own", "o_own")
-    rest = left.join(
+    rest = left.where("whole").join(
         other,
         (F.col("token") == F.col("o_token"))
-        & (F.col("cid") < F.col("o_cid"))
+        & ((F.col("cid") < F.col("o_cid")) | ~F.col("o_whole"))
         & (F.col("component") != F.col("o_component"))
         & (join.percent * F.greatest("n", "o_n") <= 100 * F.least("n", "o_n"))
         & F.coalesce(F.get(shared, F.lit(0)) == F.col("token"), F.lit(True)),
     )
     rest = rest.select(
-        F.col("cid").alias("a"),
-        F.col("o_cid").alias("b"),
+        F.least("cid", "o_cid").alias("a"),
+        F.greatest("cid", "o_cid").alias("b"),
         F.least("gid", "o_gid").alias("x"),
         F.greatest("gid", "o_gid").alias("y"),
         F.least("n", "o_n").alias("n"),
@@ -583,7 +600,7 @@ def similar(
     common = F.col("in_open") + F.coalesce("in_closed", F.lit(0))
     rest = rest.where((F.col("x") == F.col("y")) | (common >= needed))
     rest = rest.select("a", "b")
-    for more in changed[1:]:
+    for more in changed[1:2]:
         rest = rest.union(more)
     rest = staged(rest.distinct().join(pairs, ["a", "b"], "left_anti"))
     further = list(changed[:1])
