@@ -18,7 +18,7 @@ from cohortlens.plans.cleaning import clean_survey
 from cohortlens.plans.coded_lineitem import coded_lineitem
 from cohortlens.sinks import save_query, write_cleaned, write_parts
 from cohortlens.sources import read_cleaned, read_parts, read_survey
-from cohortlens.sources.staging import hadoop_path, shared_folder
+from cohortlens.sources.staging import compiled, hadoop_path, shared_folder
 from cohortlens.spec import CARDIO
 
 # Columns that yearly files of odd years lack.
@@ -66,7 +66,8 @@ def yearly_files(spark: SparkSession, sf_dir: str, name: str = "{year}_{n}.csv")
     early = raw.where(odd).drop(*LATE_COLUMNS)
     early = early.select(*reversed(early.columns))
     for part, rows in (("odd", early), ("even", raw.where(~odd))):
-        rows.write.partitionBy(CARDIO.year).option("header", True).csv(f"{folder}/{part}")
+        with compiled(spark):
+            rows.write.partitionBy(CARDIO.year).option("header", True).csv(f"{folder}/{part}")
         where, files = hadoop_path(spark, f"{folder}/{part}")
         for year in files.listStatus(where):
             kept = [f.getPath() for f in files.listStatus(year.getPath())] if year.isDirectory() else []

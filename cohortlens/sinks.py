@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators.blocks import CHUNK
 from cohortlens.operators.clean import observed_counts
-from cohortlens.sources.staging import hadoop_path, staged, unstage
+from cohortlens.sources.staging import compiled, hadoop_path, staged, unstage
 
 ROWS_PER_FILE = 10_000_000
 RESULT_ROWS = 1_000_000  # rows of a result that still become one file
@@ -58,10 +58,12 @@ def write_parts(
     if fmt == "csv":
         writer = writer.option("header", True)
     if not by_chunk:
-        writer.format(fmt).save(uri)
+        with compiled(df.sparkSession):
+            writer.format(fmt).save(uri)
         return
     try:
-        writer.format(fmt).save(target)
+        with compiled(df.sparkSession):
+            writer.format(fmt).save(target)
         swap_years(df.sparkSession, target, uri)
     finally:
         where, files = hadoop_path(df.sparkSession, target)
@@ -133,10 +135,11 @@ def write_cleaned(
     # Behind the shuffle, where a task that runs again is counted once.
     df, observation = observed_counts(df, year)
     writer = df.write.mode("overwrite")
-    if fmt == "csv":
-        writer.option("header", True).csv(uri)
-    else:
-        writer.partitionBy(year).format(fmt).save(uri)
+    with compiled(df.sparkSession):
+        if fmt == "csv":
+            writer.option("header", True).csv(uri)
+        else:
+            writer.partitionBy(year).format(fmt).save(uri)
     return observation
 
 

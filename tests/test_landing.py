@@ -5,6 +5,7 @@ import sys
 import types
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from cohortlens import sinks
@@ -171,3 +172,18 @@ def test_the_entry_survives_a_missing_library(monkeypatch):
     assert "rate_by_age" in entry.queries()
     assert "pipeline" not in entry.queries()
     monkeypatch.delitem(sys.modules, "__spark_entry__", raising=False)
+
+
+@pytest.mark.parametrize("by_chunk", [False, True])
+def test_rows_are_landed_by_methods_that_the_jit_takes(spark, tmp_path, monkeypatch, by_chunk):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before, seen, save = spark.conf.get(name), [], DataFrameWriter.save
+
+    def spied(self, *args, **options):
+        seen.append(int(spark.conf.get(name)))
+        return save(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "save", spied)
+    sinks.write_parts(blocks(spark, [(2001, 1, "a")]), str(tmp_path / "raw"), YEAR, by_chunk=by_chunk)
+    assert seen and max(seen) <= 8000
+    assert spark.conf.get(name) == before
