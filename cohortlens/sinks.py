@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from cohortlens.operators.clean import observed_counts
 from cohortlens.sources.staging import compiled, hadoop_path, staged, unstage
 
 ROWS_PER_FILE = 10_000_000
+TASK_ROWS = 500_000  # rows of a block of unknown size that one task gets
 RESULT_ROWS = 1_000_000  # rows of a result that still become one file
 SOURCE = "source_name"
 # Folders that readers pass over: new blocks on their way in, old ones on their way out.
@@ -26,6 +29,7 @@ def write_parts(
     fmt: str = "parquet",
     by_chunk: bool = False,
     rebalance: bool = False,
+    block_rows: int | None = None,
 ) -> None:
     """Land raw rows under ``uri``, one directory per year, replacing only those years.
 
@@ -33,41 +37,62 @@ def write_parts(
     a wide extract leaves little once narrowed; ``rebalance`` shuffles the narrow
     rows by year into full-sized files and splits a year too large for one task.
     With ``by_chunk`` the rows carry block numbers, and source files if blocks are
-    counted per file, and each block
-    becomes one file in its own directory; a block is at most one chunk, so no task
-    gets more. All blocks are written beside the old ones first; then each year's
+    counted per file, and each block gets its own directory. Blocks known to hold at
+    most ``block_rows`` become one file each; without that bound the rows are staged
+    and counted, and a block of more than ``TASK_ROWS`` is dealt to several tasks, so
+    none gets more than it can sort. All blocks are written beside the old ones first; then each year's
     folder is put in the place of the old one, so that a write that fails leaves the
     blocks landed before, and the rows are worked out once.
     """
-    folders, target = [year], uri
-    if by_chunk:
-        restore_years(df.sparkSession, uri)
+    spark = df.sparkSession
+
+    def write(rows: DataFrame, target: str, folders: list[str]) -> None:
+        writer = (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", rows_per_file)
+            .partitionBy(*folders)
+        )
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.format(fmt).save(target)
+
+    with compiled(spark):
+        if not by_chunk:
+            df = df.drop(CHUNK, SOURCE)
+            write(df.hint("rebalance", F.col(year)) if rebalance else df, uri, [year])
+            return
+        restore_years(spark, uri)
         target = f"{uri}/{INCOMING}-{uuid.uuid4().hex}"
-        folders += [c for c in (SOURCE, CHUNK) if c in df.columns]
-        df = df.repartition(*folders)
-    else:
-        df = df.drop(CHUNK, SOURCE)
-        if rebalance:
-            df = df.hint("rebalance", F.col(year))
-    writer = (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(*folders)
+        folders = [year, *(c for c in (SOURCE, CHUNK) if c in df.columns)]
+        kept = [] if block_rows else [staged(df)]
+        try:
+            dealt = df.repartition(*folders) if block_rows else _dealt(kept[0], folders)
+            write(dealt, target, folders)
+            swap_years(spark, target, uri)
+        finally:
+            unstage(*kept)
+            where, files = hadoop_path(spark, target)
+            files.delete(where, True)
+
+
+def _dealt(rows: DataFrame, folders: list[str]) -> DataFrame:
+    """Staged rows with each block in one task, and one of more than ``TASK_ROWS`` in several."""
+    spark = rows.sparkSession
+    blocks = rows.groupBy(*folders).agg(F.count(F.lit(1)).alias("n"))
+    large = blocks.where(F.col("n") > TASK_ROWS).select(
+        *[F.col(c).alias(f"_large_{c}") for c in folders],
+        F.ceil(F.col("n") / TASK_ROWS).alias("_slices"),
     )
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    if not by_chunk:
-        with compiled(df.sparkSession):
-            writer.format(fmt).save(uri)
-        return
-    try:
-        with compiled(df.sparkSession):
-            writer.format(fmt).save(target)
-        swap_years(df.sparkSession, target, uri)
-    finally:
-        where, files = hadoop_path(df.sparkSession, target)
-        files.delete(where, True)
+    total = rows.count()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
+    # At most one large block for each ``TASK_ROWS`` rows, so the table is short.
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in folders])
+    slice_ = F.coalesce(F.pmod(F.col("_row"), F.col("_slices")), F.lit(0))
+    placed = rows.withColumn("_row", F.col("_metadata.row_index"))
+    placed = placed.join(F.broadcast(large), same, "left")
+    # Ranges, as hashes would lay several slices together.
+    return placed.repartitionByRange(parts, *folders, slice_).select(*rows.columns)
 
 
 def _folders(spark: SparkSession, uri: str) -> list[str]:

@@ -174,6 +174,31 @@ def test_the_entry_survives_a_missing_library(monkeypatch):
     monkeypatch.delitem(sys.modules, "__spark_entry__", raising=False)
 
 
+def test_a_large_block_is_dealt_to_several_tasks(spark, tmp_path, monkeypatch):
+    """Rows per task stay bounded, small blocks stay one file, and copies are kept."""
+    monkeypatch.setattr(sinks, "TASK_ROWS", 20)
+    rows = [(2001, 1, str(i % 3)) for i in range(100)]
+    rows += [(2002, 1, "b"), (2002, 1, "b"), (None, 2, None), (2001, None, "d")]
+    folder = str(tmp_path / "raw")
+    sinks.write_parts(blocks(spark, rows).repartition(3), folder, YEAR, by_chunk=True)
+    large = glob.glob(f"{folder}/{YEAR}=2001/{CHUNK}=1/part-*")
+    assert len(large) >= 3
+    assert max(spark.read.parquet(p).count() for p in large) <= 40
+    for block in (f"{YEAR}=2002/{CHUNK}=1", f"{YEAR}=__HIVE_DEFAULT_PARTITION__/{CHUNK}=2"):
+        assert len(glob.glob(f"{folder}/{block}/part-*")) == 1
+    schema = f"answer string, `{YEAR}` int, `{CHUNK}` long"
+    found = [tuple(r) for r in spark.read.schema(schema).parquet(folder).collect()]
+    assert sorted(found, key=str) == sorted([(a, y, c) for y, c, a in rows], key=str)
+
+
+def test_blocks_of_known_size_stay_one_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "TASK_ROWS", 5)
+    rows = [(2001, 1 + i // 10, str(i)) for i in range(30)]
+    folder = str(tmp_path / "raw")
+    sinks.write_parts(blocks(spark, rows).repartition(3), folder, YEAR, by_chunk=True, block_rows=10)
+    assert len(glob.glob(f"{folder}/{YEAR}=2001/{CHUNK}=*/part-*.parquet")) == 3
+
+
 @pytest.mark.parametrize("by_chunk", [False, True])
 def test_rows_are_landed_by_methods_that_the_jit_takes(spark, tmp_path, monkeypatch, by_chunk):
     name = "spark.sql.codegen.hugeMethodLimit"
