@@ -40,9 +40,10 @@ def collect(
     # Places are counted in a scan of no columns; only rows within the cap are kept after.
     placed = read_yearly(spark, source, spec, positions=True)
     numbered = number_chunks(placed, chunk_size, [file], split, row, max_chunks)
-    name = F.regexp_extract(F.col(file), "([^/]*)$", 1)
-    numbered = numbered.withColumn(SOURCE, name).drop(file)
-    write_parts(numbered, target, spec.year, rows_per_file, fmt, exact_chunks, rebalance)
+    numbered = numbered.withColumn(SOURCE, F.substring_index(file, "/", -1)).drop(file)
+    write_parts(
+        numbered, target, spec.year, rows_per_file, fmt, exact_chunks, rebalance, block_rows=chunk_size
+    )
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -16,11 +16,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Lines of byte order marks and white space only.
+BLANK = r"(?U)^\uFEFF*[\s\x1C-\x1F]*$"
+PLACES = (1 << 33) - 1  # of a row id, the bits that count a task's rows
+
 
 @dataclass(frozen=True)
 class FileLayout:
@@ -67,45 +70,35 @@ def escaped(path: str) -> str:
 
 
 @contextmanager
-def _one_file_a_task(spark: SparkSession) -> Iterator[None]:
-    """Scans started within give every file a task, and hand over one row at a time."""
-    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    settings = {
-        "spark.sql.files.openCostInBytes": limit,
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
-    }
-    before = {name: spark.conf.get(name) for name in settings}
+def _one_split_a_task(spark: SparkSession) -> Iterator[None]:
+    """Scans started within give every split of a file a task."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
     try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
+        spark.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        spark.conf.set(name, before)
 
 
 def first_lines(spark: SparkSession, paths: Sequence[str], glob: str | None) -> dict[str, str]:
     """The first line that is not blank of each file, by path; files without one are left out.
 
-    One job with a task for each file, which stops after the first line: whatever the
-    size of the files, about one buffer of each is read.
+    One job over the splits of all files, in Spark's own reader and without parsing
+    cells; one line of each split leaves its task.
     """
-    # Files in this mode are not split, and blank lines are passed over as in any CSV scan.
-    reader = spark.read.schema("line string").option("multiLine", True)
-    reader = reader.option("sep", "\x01").option("quote", "").option("mode", "PERMISSIVE")
+    # Blank lines are passed over as in any CSV scan.
+    reader = spark.read.schema("line string").option("sep", "\x01").option("quote", "")
+    reader = reader.option("mode", "PERMISSIVE")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    lines = reader.csv(list(paths)).select(F.col("_metadata.file_path").alias("uri"), "line")
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            line = batch.column(1)[0].as_py()
-            if line is not None and line.lstrip("\ufeff").strip():
-                yield batch
-                return
-
-    with _one_file_a_task(spark):
-        found = lines.mapInArrow(first, lines.schema).collect()
+    lines = reader.csv(list(paths)).select(
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("start"), "line"
+    )
+    written = lines.where(~F.col("line").rlike(BLANK)).withColumn("place", F.monotonically_increasing_id())
+    firsts = written.where(F.col("place").bitwiseAND(PLACES) == 0).drop("place")
+    with _one_split_a_task(spark):
+        found = firsts.groupBy("uri").agg(F.min_by("line", "start").alias("line")).collect()
     return {unquote(row.uri): row.line for row in found}
 
 

@@ -262,3 +262,18 @@ def test_every_landed_folder_is_cleaned(spark, tmp_path, fmt):
         sinks.write_parts(read_survey(spark, str(source), CARDIO), folders[-1], fmt=fmt)
     counts = clean.clean(spark, folders, str(tmp_path / "out"), landed=fmt).collect()
     assert {r["YEAR"]: r["row_count"] for r in counts} == {2011: 2, 2012: 2}
+
+
+def test_headers_are_found_without_sending_lines_to_python(spark, tmp_path, monkeypatch):
+    """Files of several splits, blank lines before the header among them."""
+    write(tmp_path, "part_2011_1.csv", "﻿\n \t\n　\n SEX,CVDINFR4\n" + "1,2\n" * 50_000)
+    write(tmp_path, "part_2011_2.csv", "\n" * 100_000 + "CVDINFR4,SEX\n2,1\n")
+    write(tmp_path, "part_2011_3.csv", "\n \n")
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", None, raising=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = header_module.first_lines(spark, [str(tmp_path)], None)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    lines = {path.rpartition("/")[2]: line for path, line in found.items()}
+    assert lines == {"part_2011_1.csv": " SEX,CVDINFR4", "part_2011_2.csv": "CVDINFR4,SEX"}
