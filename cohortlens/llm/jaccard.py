@@ -11,13 +11,16 @@ shared boilerplate seldom stands in a prefix.
    meets along its elements, it must share ``least`` of them. A group with fewer links
    with nothing; of the others all but the last ``least - 1``, by how many groups have
    them, are indexed: two that share ``least`` share one of these (a prefix of the prefix,
-   by exact counts whatever the sample showed).
+   by exact counts whatever the sample showed). Elements that exactly the same groups
+   have are one with a ``weight``, so near copies do not meet at each that they share.
 3. The index is range-partitioned by (element, group), so that a hot element is spread
    over many tasks. Along a run of equal elements every group meets the first ``PIVOTS``
    of the run's part in its partition, and, where a run may lie in several partitions,
    the first ``PIVOTS`` of the whole run too: those first that share most of their
    prefix, copies with the fewest changes of their own. Most true links are found
-   without listing all pairs of a run. Pairs of unlike sizes are dropped.
+   without listing all pairs of a run: a row makes ``PIVOTS`` of them and one open row at
+   most, however long its run. Pairs of unlike sizes are dropped, and those that must share
+   more than the index ``has`` of one of them.
 4. Group pairs are expanded to class pairs, and each is verified on whole sets. For
    that, classes linked by candidate pairs are laid together (in cells of bounded
    size, a pair in that of its end with fewer pairs), so that a text travels about
@@ -56,7 +59,7 @@ from cohortlens.llm.components import components
 from cohortlens.llm.textbytes import Texts, shingle_hash, slices
 from cohortlens.sources.staging import staged, unstage
 
-PIVOTS = 16
+PIVOTS = 2  # only speed hangs on it: what these leave unconnected is looked at again
 LISTED_ELEMENTS = 64  # elements of a group that travel with each of its rows; beyond, pairs are made at every one
 GROUP_PIVOTS = 8  # members of a group that all members of a paired group meet
 SAMPLE_ROWS = 20_000  # rows looked at for frequent elements; only speed hangs on it
@@ -88,6 +91,18 @@ class Join:
         common = F.ceil(self.percent * (n + k) / (100 + self.percent))
         return common - F.greatest(self.after_prefix(n), self.after_prefix(k))
 
+    def can_share(self, n, k, least, has) -> np.ndarray:
+        """Whether sets of ``n`` and ``k`` are of like sizes and ``has`` indexed elements are enough to link."""
+        after = -(-self.percent * np.maximum(n, k) // 100) - 1
+        needed = -(-self.percent * (n + k) // (100 + self.percent)) - after
+        alike = self.percent * np.maximum(n, k) <= 100 * np.minimum(n, k)
+        return alike & (needed - least < has)
+
+    def could_share(self, n: str, k: str, least: Column, has: Column) -> Column:
+        """``can_share`` of columns."""
+        alike = self.percent * F.greatest(n, k) <= 100 * F.least(n, k)
+        return alike & (self.needed(F.col(n), F.col(k)) - least < has)
+
 
 def _elements(part: Texts, join: Join, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct elements and their rows, by row and then in the order of all elements.
@@ -166,17 +181,18 @@ def _run_pairs(join: Join):
     Rows out: kind 1, a pair (x, y) with sizes (n, k) and the larger ``least`` of both,
     once for each element that it meets in; kind 4, the same in a run that is not wholly paired; kind 2, element x
     and group y at a partition's edge; kind 3, element x and group y of a run that was
-    not wholly paired; both with the group's size n, and its ``own`` as k.
+    not wholly paired; both with the group's size n, and its ``own`` as k. All with the
+    element's ``weight`` and the (lesser) ``has``.
     """
 
-    def rows(kind: int, x, y, n, k, least) -> pa.RecordBatch:
-        columns = [np.full(len(x), kind), x, y, n, k, least]
+    def rows(kind: int, x, y, n, k, least, has, weight) -> pa.RecordBatch:
+        columns = [np.full(len(x), kind), x, y, n, k, least, has, weight]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], ["kind", "x", "y", "n", "k", "least"]
+            [pa.array(c) for c in columns], ["kind", "x", "y", "n", "k", "least", "has", "weight"]
         )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 6  # first rows of the run that may go on
+        held = [np.zeros(0, np.int64)] * 8  # first rows of the run that may go on
         seen = crowds = 0  # rows of that run so far, and groups of more than GROUP_PIVOTS classes
         told = False  # whether its rows went out as kind 3
         first_run = True
@@ -184,7 +200,7 @@ def _run_pairs(join: Join):
             if not batch.num_rows:
                 continue
             old = len(held[0])
-            token, gid, n, m, least, own = (
+            token, gid, n, m, least, own, has, weight = (
                 np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns, strict=True)
             )
             goes_on = old > 0 and len(token) > old and token[old] == token[0]
@@ -196,8 +212,9 @@ def _run_pairs(join: Join):
             later = np.repeat(np.arange(len(token)), count)
             inside = np.arange(len(later)) - np.repeat(np.cumsum(count) - count, count)
             pivot = start[run[later]] + inside
-            alike = join.percent * np.maximum(n[pivot], n[later]) <= 100 * np.minimum(n[pivot], n[later])
-            pivot, later = pivot[alike], later[alike]
+            most, fewest = np.maximum(least[pivot], least[later]), np.minimum(has[pivot], has[later])
+            could = join.can_share(n[pivot], n[later], most, fewest)
+            pivot, later, most, fewest = pivot[could], later[could], most[could], fewest[could]
             crowd = (m > GROUP_PIVOTS).astype(np.int64)
             total = np.add.reduceat(crowd, start)
             if old:
@@ -207,16 +224,16 @@ def _run_pairs(join: Join):
             is_open[-1] = (told and len(start) == 1) or seen * goes_on + size[-1] > PIVOTS + 1
             if first_run and len(start) > 1:
                 edge = slice(0, min(size[0], PIVOTS))
-                yield rows(2, token[edge], gid[edge], n[edge], own[edge], least[edge])
+                yield rows(2, *(c[edge] for c in (token, gid, n, own, least, has, weight)))
             partly = is_open[run[later]]
             for kind, these in ((1, ~partly), (4, partly)):
                 p, q = pivot[these], later[these]
                 x, y = np.minimum(gid[p], gid[q]), np.maximum(gid[p], gid[q])
-                yield rows(kind, x, y, n[p], n[q], np.maximum(least[p], least[q]))
+                yield rows(kind, x, y, n[p], n[q], most[these], fewest[these], weight[q])
             out = is_open[run]
             if told:
                 out[:old] = False
-            yield rows(3, token[out], gid[out], n[out], own[out], least[out])
+            yield rows(3, *(c[out] for c in (token, gid, n, own, least, has, weight)))
             # What is known of the last run.
             if len(start) > 1:
                 first_run = False
@@ -224,22 +241,23 @@ def _run_pairs(join: Join):
             else:
                 seen, told, crowds = seen + len(token) - old, bool(is_open[-1]), int(total[-1])
             kept = slice(start[-1], start[-1] + (PIVOTS if told else PIVOTS + 1))
-            held = [c[kept] for c in (token, gid, n, m, least, own)]
+            held = [c[kept] for c in (token, gid, n, m, least, own, has, weight)]
         if seen:
-            token, gid, n, _, least, own = held
+            token, gid, n, _, least, own, has, weight = held
             if not told:
-                yield rows(3, token, gid, n, own, least)
+                yield rows(3, token, gid, n, own, least, has, weight)
             edge = slice(0, PIVOTS)
-            yield rows(2, token[edge], gid[edge], n[edge], own[edge], least[edge])
+            yield rows(2, *(c[edge] for c in (token, gid, n, own, least, has, weight)))
 
     return pairs
 
 
 def _indexed(index: DataFrame, join: Join) -> DataFrame:
-    """The rows (token, gid, n, m) that can pair, with ``least`` and ``own``.
+    """A staged table of the rows (token, gid, n, m) that can pair, with ``least``, ``own``, ``has`` and ``weight``.
 
     ``least`` is the number of prefix elements that a group must share with any other,
-    ``own`` that of its elements which no other group has in its prefix.
+    ``own`` that of its elements which no other group has in its prefix, ``has`` that of
+    its elements in the index. A token stands for the ``weight`` that the same groups have.
     """
     index = index.repartition("token")
     shared = index.groupBy("token").agg(
@@ -259,9 +277,19 @@ def _indexed(index: DataFrame, join: Join) -> DataFrame:
     )
     groups = groups.where(F.size("tokens") >= F.col("least"))
     own = (n - join.after_prefix(n) - F.size("tokens")).cast("long")
-    kept = F.slice("tokens", F.lit(1), F.size("tokens") - F.col("least").cast("int") + 1)
-    rows = groups.select(F.explode(kept).alias("at"), "gid", "n", "m", "least", own.alias("own"))
-    return rows.select(F.col("at.token").alias("token"), "gid", "n", "m", "least", "own")
+    has = F.size("tokens") - F.col("least").cast("int") + 1
+    kept = F.slice("tokens", F.lit(1), has)
+    rows = groups.select(
+        F.explode(kept).alias("at"), "gid", "n", "m", "least", own.alias("own"), has.cast("long").alias("has")
+    )
+    rows = staged(rows.select(F.col("at.token").alias("token"), "gid", "n", "m", "least", "own", "has"))
+    # Two hashes of 64 bits tell a token's groups; one group alone pairs nothing.
+    told = [F.bit_xor(F.xxhash64(F.lit(i), "gid")).alias(f"s{i}") for i in (1, 2)]
+    sets = rows.groupBy("token").agg(F.count(F.lit(1)).alias("groups"), *told).where("groups > 1")
+    alike = sets.groupBy("groups", "s1", "s2").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
+    index = staged(rows.join(alike.select("token", "weight"), "token"))
+    unstage(rows)
+    return index
 
 
 def _met_heads(runs: DataFrame, join: Join) -> DataFrame:
@@ -270,25 +298,32 @@ def _met_heads(runs: DataFrame, join: Join) -> DataFrame:
     The first of a run are the first of its part in some partition, so they are among
     the rows of kind 2. A partition has two edges: there are few heads, whatever the rows.
     """
-    edges = runs.where("kind = 2").select("x", "y", "n", "k", "least").distinct()
+    edges = runs.where("kind = 2").select("x", "y", "n", "k", "least", "has").distinct()
     rank = F.row_number().over(Window.partitionBy("x").orderBy("k", "y"))
     heads = staged(
         edges.withColumn("at", rank)
         .where(F.col("at") <= PIVOTS)
-        .select(F.col("x").alias("token"), F.col("y").alias("head"), F.col("n").alias("hn"), F.col("least").alias("hl"))
+        .select(
+            F.col("x").alias("token"),
+            F.col("y").alias("head"),
+            *[F.col(c).alias(f"head_{c}") for c in ("n", "least", "has")],
+        )
     )
     few = heads.count() <= BROADCAST_ROWS
-    rows = runs.where("kind = 3").select(F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least")
-    alike = join.percent * F.greatest("n", "hn") <= 100 * F.least("n", "hn")
-    met = rows.join(F.broadcast(heads) if few else heads, "token").where("gid <> head").where(alike)
+    rows = runs.where("kind = 3").select(
+        F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least", "has", "weight"
+    )
+    could = join.could_share("n", "head_n", F.greatest("least", "head_least"), F.least("has", "head_has"))
+    met = rows.join(F.broadcast(heads) if few else heads, "token").where("gid <> head").where(could)
     # A pair of two heads is met from both sides.
     return met.select(
         "token",
         F.least("gid", "head").alias("x"),
         F.greatest("gid", "head").alias("y"),
-        F.least("n", "hn").alias("n"),
-        F.greatest("n", "hn").alias("k"),
-        F.greatest("least", "hl").alias("least"),
+        F.least("n", "head_n").alias("n"),
+        F.greatest("n", "head_n").alias("k"),
+        F.greatest("least", "head_least").alias("least"),
+        "weight",
     ).distinct()
 
 
@@ -508,10 +543,11 @@ def similar(
     )
     index = sized.select(F.explode("prefix").alias("token"), "gid", "n", F.col("m").cast("long").alias("m"))
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = _indexed(index, join).repartitionByRange(shuffles, "token", "own", "gid")
-    index = index.sortWithinPartitions("token", "own", "gid")
-    schema = "kind long, x long, y long, n long, k long, least long"
-    met = index.mapInArrow(_run_pairs(join), schema)
+    index = _indexed(index, join)
+    rows = index.select("token", "gid", "n", "m", "least", "own", "has", "weight")
+    rows = rows.repartitionByRange(shuffles, "token", "own", "gid").sortWithinPartitions("token", "own", "gid")
+    schema = "kind long, x long, y long, n long, k long, least long, has long, weight long"
+    met = rows.mapInArrow(_run_pairs(join), schema)
     # A pair that could link has as many indexed elements in common: all that it needs but
     # those that neither index holds.
     needed = join.needed(F.col("n"), F.col("k")) - F.col("least") + 1
@@ -519,9 +555,12 @@ def similar(
     ends = {"n": F.when(is_pair, F.least("n", "k")), "k": F.when(is_pair, F.greatest("n", "k"))}
     met = met.withColumns({c: F.coalesce(size, c) for c, size in ends.items()})
     pair = ("x", "y", "n", "k", "least")
-    runs = staged(met.groupBy("kind", *pair).agg(F.count(F.lit(1)).alias("common")))
-    heads = _met_heads(runs, join).groupBy(*pair).agg(F.count(F.lit(1)).alias("common"))
-    met = runs.where("kind IN (1, 4)").unionByName(heads.withColumn("kind", F.lit(5).cast("long")))
+    counted = F.sum("weight").alias("common")
+    runs = staged(met.groupBy("kind", *pair).agg(counted, F.max("has").alias("has"), F.max("weight").alias("weight")))
+    unstage(index)
+    heads = _met_heads(runs, join).groupBy(*pair).agg(counted)
+    runs_of = runs.drop("has", "weight")
+    met = runs_of.where("kind IN (1, 4)").unionByName(heads.withColumn("kind", F.lit(5).cast("long")))
 
     def met_as(kind: int) -> Column:
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("common"))), F.lit(0))
@@ -539,13 +578,15 @@ def similar(
     found = components(links.union(same))
     # Runs that were not wholly paired are looked at again, across their components.
     open_rows = runs.where("kind = 3").select(
-        F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least", F.col("k").alias("changes")
+        F.col("x").alias("token"), F.col("y").alias("gid"), "n", "least", "has", "weight", F.col("k").alias("changes")
     )
     large = sized.where(F.col("m") > GROUP_PIVOTS + 1)
-    open_rows = open_rows.union(large.select(F.col("gid").alias("token"), "gid", "n", F.lit(1), F.lit(0)))
+    # Members of one group have equal prefixes: what the index has of them bounds no pair.
+    one, none = F.lit(1), F.lit(0)
+    open_rows = open_rows.union(large.select(F.col("gid").alias("token"), "gid", "n", one, none, one, none))
     member_rows = open_rows.distinct().join(members.select("gid", "cid"), "gid")
     named = member_rows.join(found.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "token", "gid", "cid", "n", "least", "changes", F.coalesce("component", "cid").alias("component")
+        "token", "gid", "cid", "n", "least", "has", "weight", "changes", F.coalesce("component", "cid").alias("component")
     )
     mixed = named.groupBy("token").agg(
         F.min("component").alias("lo"),
@@ -561,7 +602,7 @@ def similar(
     long_rows = staged(named.where("pivot IS NOT NULL").select("pivot", "cid", "component").distinct())
     changed = [] if long_rows.isEmpty() else _linked_by_changes(long_rows, docs, key, text, join)
     # A pair is made at the first element that both have, where lists of them are short.
-    lists = named.groupBy("gid").agg(F.sort_array(F.collect_set("token")).alias("own"))
+    lists = named.groupBy("gid").agg(F.sort_array(F.collect_set(F.struct("token", "weight"))).alias("own"))
     lists = lists.select("gid", F.when(F.size("own") <= LISTED_ELEMENTS, F.col("own")).alias("own"))
     # Of long runs, pairs with an end far from the pivot are made here too.
     rows = named.withColumn("whole", F.col("pivot").isNull())
@@ -572,16 +613,17 @@ def similar(
     wanted = rows.where("whole").select("token").distinct()
     left = staged(rows.join(wanted, "token", "left_semi").join(lists, "gid"))
     unstage(named)
-    names = ("gid", "cid", "n", "least", "component", "own", "whole")
+    names = ("gid", "cid", "n", "least", "has", "component", "own", "whole")
     other = left.select(F.col("token").alias("o_token"), *[F.col(c).alias(f"o_{c}") for c in names])
     shared = F.array_intersect("own", "o_own")
+    could = join.could_share("n", "o_n", F.greatest("least", "o_least"), F.least("has", "o_has"))
     rest = left.where("whole").join(
         other,
         (F.col("token") == F.col("o_token"))
         & ((F.col("cid") < F.col("o_cid")) | ~F.col("o_whole"))
         & (F.col("component") != F.col("o_component"))
-        & (join.percent * F.greatest("n", "o_n") <= 100 * F.least("n", "o_n"))
-        & F.coalesce(F.get(shared, F.lit(0)) == F.col("token"), F.lit(True)),
+        & ((F.col("gid") == F.col("o_gid")) | could)
+        & F.coalesce(F.get(shared, F.lit(0))["token"] == F.col("token"), F.lit(True)),
     )
     rest = rest.select(
         F.least("cid", "o_cid").alias("a"),
@@ -591,7 +633,9 @@ def similar(
         F.least("n", "o_n").alias("n"),
         F.greatest("n", "o_n").alias("k"),
         F.greatest("least", "o_least").alias("least"),
-        F.coalesce(F.when(F.size(shared) > 0, F.size(shared)), F.lit(1)).alias("met"),
+        F.when(F.size(shared) > 0, F.aggregate(shared, F.lit(0).cast("long"), lambda sum_, at: sum_ + at["weight"]))
+        .otherwise(F.col("weight"))
+        .alias("met"),
     )
     rest = rest.groupBy("a", "b", *pair).agg(F.sum("met").alias("in_open"))
     # With what they share in wholly paired runs, all of what their prefixes share.

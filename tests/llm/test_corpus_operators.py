@@ -114,6 +114,34 @@ def test_join_on_large_groups_of_near_copies(spark, documents, join, short_run,
     held_join(documents, rows, join)
 
 
+def test_near_copies_meet_a_few_times_each(spark, documents, monkeypatch):
+    """Along long runs, three rows for each prefix element at most, and one element for those that all share."""
+    join, made = jaccard.Join(4, 85), spark.sparkContext.accumulator(0)
+    run_pairs = jaccard._run_pairs
+
+    def counting(join):
+        pairs = run_pairs(join)
+
+        def counted(batches):
+            for batch in pairs(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return counted
+
+    monkeypatch.setattr(jaccard, "_run_pairs", counting)
+    base = prose(41, 150)
+    words = base.split()
+    edits = [(i, " ".join([*words[: 3 * i], f"new{i}", *words[3 * i + 1 :]])) for i in range(45)]
+    held_join(documents, edits, join)
+    elements = sum(int(join.prefix(len(shingles(text, join.size)))) for _, text in edits)
+    assert 0 < made.value <= 3 * elements
+    before = made.value
+    # The same prefix but for what stands in one text alone: every shared element is one.
+    held_join(documents, [(i, f"{base} {prose(i, 6)}") for i in range(45)], join)
+    assert 0 < made.value - before <= 3 * 45
+
+
 def test_links_by_changes_are_those_of_whole_sets(spark, documents):
     """Every two rows of a pivot as components of their own, whatever they have in common."""
     join = jaccard.Join(4, 85)
