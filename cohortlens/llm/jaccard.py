@@ -5,7 +5,11 @@ Two sets with Jaccard similarity of at least ``t`` share an element among the fi
 here is by how often a bounded sample has an element, then by fingerprint, so that
 shared boilerplate seldom stands in a prefix.
 
-1. Equal sets become one class; classes of the same size and prefix one group.
+1. Equal sets become one class; classes of the same size and prefix one group. Sets that
+   link share a mark (``marks``), the fingerprint of several elements at once. Groups
+   connected by marks are a family, and only families of several groups go on: texts
+   that have no more in common than single elements, of which there are the more the
+   more texts there are, go here. An element is one of its family's.
 2. Prefix elements of one group alone pair nothing and go. Prefixes of linked sets share
    more than one element unless the sets differ much in size: by the sizes that a group
    meets along its elements, it must share ``least`` of them. A group with fewer links
@@ -51,10 +55,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm import in_pieces
+from cohortlens.llm import in_pieces, marks
 from cohortlens.llm.components import components
 from cohortlens.llm.textbytes import Texts, shingle_hash, slices
 from cohortlens.sources.staging import staged, unstage
@@ -68,6 +73,7 @@ FREQUENT_LIMIT = 100_000  # frequent elements sent to every task, 8 bytes each
 BROADCAST_ROWS = 500_000  # candidates' keys sent to every task; beyond, texts are shuffled
 SHORT_RUN = 32  # classes of an open run that are paired in full; of a longer one, changes are joined
 CELL_CLASSES = 256  # classes of one component that are verified together
+LEAST_BUCKETS = 64  # of marks, which 32 bits tell apart within one; a false equality costs time only
 LEVEL_BITS = 4  # the order's first bits: how often the sample has an element, by powers of two
 
 
@@ -144,11 +150,44 @@ def frequent_elements(docs: DataFrame, text: str, join: Join) -> np.ndarray:
     return (value | (level.to_numpy() << np.uint64(63 - LEVEL_BITS)))[order]
 
 
-def shingle_sets(docs: DataFrame, key: str, text: str, join: Join, frequent) -> DataFrame:
-    """Per row: key, set size ``n``, fingerprints ``f1``, ``f2`` of the set, its ``prefix``."""
+SETS = {
+    "place": pa.int64(),
+    "doc_id": pa.int64(),
+    "n": pa.int64(),
+    "f1": pa.int64(),
+    "f2": pa.int64(),
+    "prefix": pa.list_(pa.int64()),
+    "bucket": pa.int64(),
+    "marks": pa.binary(),
+    "rows": pa.binary(),
+    "other": pa.int64(),
+}
+
+
+def _row_batch(count: int, **columns) -> pa.RecordBatch:
+    """A batch of ``SETS`` whose other columns are null."""
+    filled = [pa.array(columns[c], t) if c in columns else pa.nulls(count, t) for c, t in SETS.items()]
+    return pa.RecordBatch.from_arrays(filled, list(SETS))
+
+
+def shingle_sets(docs: DataFrame, key: str, text: str, join: Join, frequent, buckets: int) -> DataFrame:
+    """Per row: its ``place``, key, set size ``n``, fingerprints ``f1``, ``f2`` of the set, its ``prefix``.
+
+    Besides, with a null ``n``, the ``marks`` of a ``bucket`` and their ``rows`` from
+    ``place`` on, and places with an ``other`` whose mark they share.
+    """
+
+    def sent(packed: pa.RecordBatch, links: np.ndarray) -> Iterator[pa.RecordBatch]:
+        columns = dict(zip(("place", "bucket", "marks", "rows"), packed.columns, strict=True))
+        yield _row_batch(packed.num_rows, **columns)
+        if links.size:
+            yield _row_batch(links.shape[1], place=links[0], other=links[1])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 33
         for batch in batches:
+            keyed = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            sender = marks.Sender(base, buckets, sent)
             for part in slices(batch.column(1)):
                 value, rows = _elements(part, join, frequent)
                 n = np.bincount(rows, minlength=len(part))
@@ -160,19 +199,37 @@ def shingle_sets(docs: DataFrame, key: str, text: str, join: Join, frequent) ->
                 place = np.arange(len(value)) - np.repeat(starts, n)
                 prefix = value[place < np.repeat(wanted, n)].view(np.int64)
                 offsets = np.r_[0, np.cumsum(wanted)].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(part.first_row, len(part)),
-                        pa.array(n.astype(np.int64)),
-                        pa.array((sums[ends] - sums[starts]).view(np.int64)),
-                        pa.array((squares[ends] - squares[starts]).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)),
-                    ],
-                    ["doc_id", "n", "f1", "f2", "prefix"],
+                yield _row_batch(
+                    len(part),
+                    place=base + part.first_row + np.arange(len(part)),
+                    doc_id=batch.column(0).slice(part.first_row, len(part)),
+                    n=n.astype(np.int64),
+                    f1=(sums[ends] - sums[starts]).view(np.int64),
+                    f2=(squares[ends] - squares[starts]).view(np.int64),
+                    prefix=pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)),
                 )
+                level = np.uint64(63 - LEVEL_BITS)
+                is_rare, plain = value >> level == 0, value & np.uint64((1 << int(level)) - 1)
+                own = keyed[part.first_row : part.first_row + len(part)]
+                mark, row = marks.of_sets(plain, is_rare, rows, np.where(own, n, 0), join.percent)
+                yield from sender.add(mark, row + part.first_row)
+            yield from sender.flush()
+            base += batch.num_rows
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(in_pieces(summed), "doc_id long, n long, f1 long, f2 long, prefix array<long>")
+    return rows.mapInArrow(
+        in_pieces(summed),
+        "place long, doc_id long, n long, f1 long, f2 long, prefix array<long>, "
+        "bucket long, marks binary, rows binary, other long",
+    )
+
+
+def _families(sets: DataFrame, same: DataFrame) -> DataFrame:
+    """A staged table of ``node`` and ``component`` of the places that marks or ``same`` (a, b) connect."""
+    packed = sets.where("bucket IS NOT NULL").select(F.col("place").alias("slice"), "bucket", "marks", "rows")
+    links = packed.groupBy("bucket").applyInArrow(marks.met, "a long, b long")
+    within = sets.where("other IS NOT NULL").select(F.col("place").alias("a"), F.col("other").alias("b"))
+    return components(links.union(within).union(same))
 
 
 def _run_pairs(join: Join):
@@ -522,28 +579,39 @@ def similar(
 ) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the least key reachable by links."""
     spark = docs.sparkSession
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = frequent_elements(docs, text, join)
-    sets = staged(shingle_sets(docs, key, text, join, frequent))
+    sets = shingle_sets(docs, key, text, join, frequent, max(shuffles, LEAST_BUCKETS))
+    sets = staged(sets.withColumns({"h1": F.xxhash64("n", "prefix"), "h2": F.xxhash64(F.lit(1), "prefix", "n")}))
     whole = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = whole.groupBy("n", "f1", "f2").agg(
-        F.min("doc_id").alias("cid"), F.min_by("prefix", "doc_id").alias("prefix")
+        F.min("doc_id").alias("cid"), F.min("place").alias("place"), *[F.first(h).alias(h) for h in ("h1", "h2")]
     )
+    firsts = classes.groupBy("h1", "h2").agg(F.min("cid").alias("gid"), F.min("place").alias("head"))
+    grouped = staged(classes.drop("place").join(firsts, ["h1", "h2"]))
     # Rows of one key are one document, whatever their texts.
-    keyed = whole.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("b"))
-    same = whole.join(keyed, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), "b")
-    same = same.where("a <> b").distinct()
-    grouped = classes.withColumns(
-        {"h1": F.xxhash64("n", "prefix"), "h2": F.xxhash64(F.lit(1), "prefix", "n")}
-    )
-    firsts = grouped.groupBy("h1", "h2").agg(F.min("cid").alias("gid"))
-    grouped = staged(grouped.join(firsts, ["h1", "h2"]))
+    known = whole.select("doc_id", "place", "n", "f1", "f2").join(grouped, ["n", "f1", "f2"])
+    known = staged(known.select("doc_id", "cid", "place", "head"))
+    same = known.where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b")).distinct()
     members = grouped.select("gid", "cid")
     sized = grouped.groupBy("gid", "h1", "h2").agg(
-        F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("head").alias("head")
     )
-    index = sized.select(F.explode("prefix").alias("token"), "gid", "n", F.col("m").cast("long").alias("m"))
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    families = _families(sets, known.where("place <> head").select(F.col("place").alias("a"), F.col("head").alias("b")))
+    family = families.select(F.col("node").alias("head"), F.col("component").alias("family"))
+    marked = staged(sized.select("gid", "n", F.col("m").cast("long").alias("m"), "head").join(family, "head"))
+    several = marked.groupBy("family").count().where("count > 1").select("family")
+    near = staged(marked.join(several, "family", "left_semi").withColumnRenamed("head", "place"))
+    prefixes = sets.where("n > 0").select("place", "prefix")
+    index = prefixes.join(F.broadcast(near) if near.count() <= BROADCAST_ROWS else near, "place")
+    index = index.select("family", F.explode("prefix").alias("token"), "gid", "n", "m")
+    # Within an element's place in the order, told apart by family.
+    own = F.xxhash64("token", "family").bitwiseAND(F.lit((1 << 32) - 1))
+    token = F.col("token").bitwiseAND(F.lit(-1 << 32)).bitwiseOR(own)
+    index = index.select(token.alias("token"), "gid", "n", "m")
     index = _indexed(index, join)
+    sizes = staged(sets.where("n IS NOT NULL").select("doc_id", "n"))
+    unstage(sets, families, marked, near)
     rows = index.select("token", "gid", "n", "m", "least", "own", "has", "weight")
     rows = rows.repartitionByRange(shuffles, "token", "own", "gid").sortWithinPartitions("token", "own", "gid")
     schema = "kind long, x long, y long, n long, k long, least long, has long, weight long"
@@ -568,10 +636,10 @@ def similar(
     # What is met with a run's first may have been met within a partition too.
     common = met_as(1) + F.greatest(met_as(4), met_as(5))
     met = met.groupBy(*pair).agg(common.alias("common")).where(F.col("common") >= needed)
-    several = sized.where("m > 1").select("gid")
+    larger = sized.where("m > 1").select("gid")
     members = staged(members)
     group_pairs = met.select("x", "y")
-    group_pairs = group_pairs.union(several.select(F.col("gid").alias("x"), F.col("gid").alias("y")))
+    group_pairs = group_pairs.union(larger.select(F.col("gid").alias("x"), F.col("gid").alias("y")))
     group_pairs = group_pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = staged(_expanded(group_pairs.distinct(), members))
     links = _verified(pairs, docs, key, text, join)
@@ -657,8 +725,8 @@ def similar(
             ends = ends.union(more)
         final = components(ends)
         unstage(found)
-    unstage(runs, members, pairs, links, long_rows, left, rest, grouped, *changed, *further[len(changed[:1]) :])
-    return sets.join(final, sets["doc_id"] == final["node"], "left").select(
+    unstage(runs, members, pairs, links, long_rows, left, rest, grouped, known, *changed, *further[len(changed[:1]) :])
+    return sizes.join(final, sizes["doc_id"] == final["node"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),

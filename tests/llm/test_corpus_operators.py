@@ -14,11 +14,13 @@ from cohortlens.llm import (
     decontaminate,
     jaccard,
     langid,
+    marks,
     quality,
     registry,
     urls,
 )
 from cohortlens.llm.components import components
+from cohortlens.llm.textbytes import mix
 
 from .conftest import ODD, prose
 
@@ -142,6 +144,70 @@ def test_near_copies_meet_a_few_times_each(spark, documents, monkeypatch):
     assert 0 < made.value - before <= 3 * 45
 
 
+def test_elements_met_by_chance_pair_nothing(spark, documents, monkeypatch):
+    """Texts of few words share many elements, each with other texts; only near copies are laid together."""
+    join, made = jaccard.Join(4, 85), spark.sparkContext.accumulator(0)
+    run_pairs = jaccard._run_pairs
+
+    def counting(join):
+        pairs = run_pairs(join)
+
+        def counted(batches):
+            for batch in pairs(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return counted
+
+    monkeypatch.setattr(jaccard, "_run_pairs", counting)
+    r = random.Random(5)
+    words = prose(12, 8).split()
+    rows = [(i, " ".join(r.choices(words, k=r.randint(100, 220)))) for i in range(300)]
+    rows += [(1000 + i, edited(rows[i][1], i, 1)) for i in range(10)]
+    held_join(documents, rows, join)
+    assert 0 < made.value <= 10 * 3 * 33
+
+
+def test_sets_that_link_share_a_mark():
+    r = np.random.RandomState(3)
+    linked = 0
+    for percent in (50, 80, 85, 95):
+        for most in (8, 20, 150):
+            for _ in range(150):
+                n = r.randint(1, most + 1)
+                common = n - r.randint(0, (100 - percent) * n // 100 + 1)
+                whole = common + r.randint(0, (100 - percent) * n // 100 + 1)  # elements of the other
+                values = mix(r.randint(1 << 40) + np.arange(n + whole - common).astype(np.uint64))
+                if 100 * common < percent * len(values) or len(values) == common:
+                    continue
+                rows = np.repeat([0, 1], [n, whole])
+                values = np.concatenate((values[:n], values[n - common :]))
+                found, of = marks.of_sets(values, values % np.uint64(3) > 0, rows, np.array([n, whole]), percent)
+                assert set(found[of == 0]) & set(found[of == 1])
+                linked += 1
+    assert linked > 300
+
+
+def test_a_common_mark_is_sent_once_and_its_rows_are_linked():
+    import pyarrow as pa
+
+    r = np.random.RandomState(4)
+    values = mix(r.randint(0, 60, 400).astype(np.uint64))
+    pieces = [(100, values[:250], r.randint(0, 30, 250)), (1000, values[250:], r.randint(0, 30, 150))]
+    packed, links = zip(*(marks.sent(base, mark, row, 7) for base, mark, row in pieces), strict=True)
+    assert all(len(b.column(2)[i].as_py()) // 4 <= 60 for b in packed for i in range(b.num_rows))
+    table = pa.Table.from_batches(packed)
+    got = [tuple(p) for own in links for p in own.T.tolist()]
+    for bucket in range(7):
+        own = marks.met(table.filter(pa.compute.equal(table["bucket"], bucket)))
+        got += zip(own["a"].to_pylist(), own["b"].to_pylist(), strict=True)
+    have = [(base + at, m) for base, mark, row in pieces for m, at in zip(mark.tolist(), row.tolist(), strict=True)]
+    first = {}
+    want = [(place, first.setdefault(m, place)) for place, m in sorted(have)]
+    nodes = {place for place, _ in have}
+    assert union_find(nodes, got) == union_find(nodes, want)
+
+
 def test_links_by_changes_are_those_of_whole_sets(spark, documents):
     """Every two rows of a pivot as components of their own, whatever they have in common."""
     join = jaccard.Join(4, 85)
