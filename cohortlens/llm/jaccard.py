@@ -73,7 +73,9 @@ FREQUENT_LIMIT = 100_000  # frequent elements sent to every task, 8 bytes each
 BROADCAST_ROWS = 500_000  # candidates' keys sent to every task; beyond, texts are shuffled
 SHORT_RUN = 32  # classes of an open run that are paired in full; of a longer one, changes are joined
 CELL_CLASSES = 256  # classes of one component that are verified together
-LEAST_BUCKETS = 64  # of marks, which 32 bits tell apart within one; a false equality costs time only
+BUCKETS = 4  # of marks for each shuffle partition; 32 bits tell them apart within one, so
+LEAST_BUCKETS = 256  # only speed hangs on them
+SLICE_BYTES = 1 << 17  # of texts whose marks are worked out at once
 LEVEL_BITS = 4  # the order's first bits: how often the sample has an element, by powers of two
 
 
@@ -188,7 +190,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str, join: Join, frequent, buc
         for batch in batches:
             keyed = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             sender = marks.Sender(base, buckets, sent)
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), SLICE_BYTES):
                 value, rows = _elements(part, join, frequent)
                 n = np.bincount(rows, minlength=len(part))
                 ends = np.cumsum(n)
@@ -581,7 +583,7 @@ def similar(
     spark = docs.sparkSession
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = frequent_elements(docs, text, join)
-    sets = shingle_sets(docs, key, text, join, frequent, max(shuffles, LEAST_BUCKETS))
+    sets = shingle_sets(docs, key, text, join, frequent, max(BUCKETS * shuffles, LEAST_BUCKETS))
     sets = staged(sets.withColumns({"h1": F.xxhash64("n", "prefix"), "h2": F.xxhash64(F.lit(1), "prefix", "n")}))
     whole = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = whole.groupBy("n", "f1", "f2").agg(

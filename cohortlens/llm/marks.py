@@ -23,7 +23,8 @@ from cohortlens.llm.anchors import _offsets, _packed, _rows_by_bucket, _unpacked
 from cohortlens.llm.textbytes import mix
 
 SPARE = 8  # parts for each that is left out
-MOST_MARKS = 1 << 19  # marks that are held before they are sent
+MOST_MARKS = 1 << 16  # marks that are held before they are sent, or
+MARKS_A_BUCKET = 64  # as many for each bucket, so that packed rows stay sizeable
 _U = np.uint64
 _LOW = _U(0xFFFFFFFF)
 
@@ -132,7 +133,7 @@ class Sender:
 
     def add(self, mark: np.ndarray, row: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.held.append((mark, row))
-        if sum(len(m) for m, _ in self.held) > MOST_MARKS:
+        if sum(len(m) for m, _ in self.held) > max(MOST_MARKS, MARKS_A_BUCKET * self.buckets):
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
